@@ -43,7 +43,7 @@ def _encoder(tokenizer_json: str, cache_size: int = 400_000):
             if len(w) > 1 and w[-1] in ".," and w[-2].isalnum():
                 core, tail = w[:-1], w[-1]
             cores[w] = (core, tail)
-        new = sorted({x for pair in cores.values() for x in pair} - known.keys())
+        new = sorted({x for pair in cores.values() for x in pair if x not in known})
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             for w, e in zip(part, batch(part, add_special_tokens=False), strict=True):
@@ -59,7 +59,7 @@ def _encoder(tokenizer_json: str, cache_size: int = 400_000):
             if len(known) > cache_size:
                 known.clear()
                 known[""] = b""
-            learn(set(words) - known.keys())
+            learn({w for w in words if w not in known})
             return b"".join(map(known.__getitem__, words))
 
     return encode
