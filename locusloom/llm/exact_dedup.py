@@ -3,8 +3,8 @@
 Each level groups the documents that are still together by the next run of bytes (runs grow fourfold, so levels grow
 with the logarithm of the longest text). A document that is alone leaves, and so does a group whose run is shorter
 than the level's width: its texts have ended and are equal byte for byte, no digest decides. Only groups are shuffled
-(pre-aggregated, one row for each prefix and map task); they are joined back to the documents by broadcast while they
-are few and by a skew-splitting join beyond.
+(pre-aggregated, one row for each prefix and map task); they are joined back to the documents by a skew-splitting join
+(the first level's, which meet every text, by broadcast while they are few).
 
 Cases: null text is empty; a row that repeats an id counts as a document of its own; null ids never become
 ``keep_id`` unless a group has no other; an empty table gives no rows; extra columns are ignored.
@@ -32,7 +32,7 @@ def exact_dedup(docs: DataFrame, width: int = 64, growth: int = 4, small_rows: i
         groups = now.select("grp", digit.alias("digit"), "doc_id").groupBy("grp", "digit").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("keep"))
         groups = scratch.cut(groups.where("size > 1").select("*", F.monotonically_increasing_id().alias("next")), f"groups{level}")
         groups = groups.select(F.col("grp").alias("g_grp"), "digit", "size", "keep", "next")
-        small = if_small(groups, max(1, small_rows * 64 // width))
+        small = groups if level else if_small(groups, small_rows)
         ended = F.octet_length("digit") < width
         rows = now.join(small, (F.col("grp") == F.col("g_grp")) & (digit == F.col("digit")), "left")
         goes_on = F.col("next").isNotNull() & ~ended
