@@ -14,7 +14,9 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -33,34 +35,50 @@ def _encoder(tokenizer_json: str, cache_size: int = 400_000):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_str(tokenizer_json)
-    batch = getattr(tok, "encode_batch_fast", tok.encode_batch)
+    whole, merge_word = getattr(tok, "encode_batch_fast", tok.encode_batch), tok.model.tokenize
     known: dict[str, bytes] = {"": b""}
+    # bytes as the byte-level alphabet spells them: printable ones as themselves, the others from U+0100 on
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spelled = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in plain)}
 
     def learn(words: set[str]) -> None:
-        cores = {}
+        tails, hard = {}, []
         for w in words:
             core, tail = w, ""
             if len(w) > 1 and w[-1] in ".," and w[-2].isalnum():
                 core, tail = w[:-1], w[-1]
-            cores[w] = (core, tail)
-        new = sorted({x for pair in cores.values() for x in pair if x not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, batch(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        for w, (core, tail) in cores.items():
+                tails[w] = core, tail
+            for x in (core, tail) if tail else (core,):
+                if x in known:
+                    continue
+                if x.isascii():
+                    if x.isalpha():  # one word, whose normal form is its lower case
+                        low = x.lower()
+                        if low not in known:
+                            known[low] = array("I", [t.id for t in merge_word(low)]).tobytes()
+                        known[x] = known[low]
+                        continue
+                elif x.isalpha() and x.lower().isalpha() and "\u03a3" not in x and is_normalized("NFC", x):
+                    known[x] = array("I", [t.id for t in merge_word(x.lower().encode().decode("latin-1").translate(spelled))]).tobytes()
+                    continue
+                known[x] = b""
+                hard.append(x)
+        for at in range(0, len(hard), 20_000):
+            part = hard[at : at + 20_000]
+            for x, e in zip(part, whole(part, add_special_tokens=False), strict=True):
+                known[x] = array("I", e.ids).tobytes()
+        for w, (core, tail) in tails.items():
             known[w] = known[core] + known[tail]
 
     def encode(text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
+        if missing := set(words).difference(known):
             if len(known) > cache_size:
                 known.clear()
                 known[""] = b""
-            learn({w for w in words if w not in known})
-            return b"".join(map(known.__getitem__, words))
+                missing = set(words)
+            learn(missing)
+        return b"".join(map(known.__getitem__, words))
 
     return encode
 
