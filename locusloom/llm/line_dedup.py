@@ -8,8 +8,8 @@ length) is at least ``similarity``. Of each connected group of lines, the first
 stays and all others go. Lines of fewer than ``min_words`` words are never touched.
 
 The number of blocks follows from the number of classes, so that chance meetings stay a few per class at any size; the
-pairs found are the same for any number. Inside a block's bucket classes are first compared with the smallest one, and
-then only across components.
+pairs found are the same for any number. Inside a block's bucket classes are first compared with the most central one,
+and then only across components.
 
 Cases: null texts stay null; empty texts and lines stay; rows with a null id are left alone; rows that repeat an id
 share its line numbers, so equal rows lose the same lines; an empty table gives no rows; columns of other names pass
@@ -25,7 +25,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import components, cross_pairs
+from .graph import cross_pairs, link_buckets
 from .scratch import Scratch, if_small, read
 
 PAIR = 0x100000001
@@ -86,7 +86,7 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
     classes = scratch.cut(per.select("*", F.monotonically_increasing_id().alias("node")), "classes")
     blocks, agree = choose_blocks(max(1, classes.count()), max_bits)
     keyed = classes.select(block_keys("simhash", blocks, agree).alias("key"), "node", F.col("simhash").alias("s"), F.col("n_chars").alias("m"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").drop("high")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high").drop("low", "high")
     rows = scratch.cut(keyed.join(shared, "key"), "rows")
     alike = "bit_count(x.s ^ y.s) <= {d} AND greatest(x.m, y.m) * {k} <= least(x.m, y.m)".format(d=max_bits, k=similarity)
 
@@ -102,16 +102,14 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
         distance = F.expr(f"levenshtein(ta, tb, cast(floor({1 - similarity} * greatest(length(ta), length(tb)) + 1e-9) as int))")
         return scratch.cut(both.where((distance >= 0) & (longer > 0)).select("a", "b"), f"{tag}-links")
 
-    low = classes.select(F.col("node").alias("low"), F.col("simhash").alias("ls"), F.col("n_chars").alias("lm"))
-    star = rows.where("node <> low").select("low", "node", "s", "m").distinct().join(low, "low")
-    star = star.where(f"bit_count(s ^ ls) <= {max_bits} AND greatest(m, lm) * {similarity} <= least(m, lm)").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    links = confirm(star, "star")
-    labels = components(links, scratch, "comp1")
-    tried = spark.read.schema("a long, b long").parquet(scratch.path("star-pairs"))
-    more = confirm(cross_pairs(rows.select("key", "node", "s", "m"), labels, alike).join(tried, ["a", "b"], "left_anti"), "cross")
-    if not more.isEmpty():
-        labels = components(labels.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch, "comp2")
+    marks = classes.select("node", F.col("simhash").alias("s"), F.col("n_chars").alias("m"))
 
+    def near(pairs: DataFrame, tag: str) -> DataFrame:
+        """Pairs within the SimHash distance first: most need no look at their texts."""
+        both = pairs.join(marks.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("m").alias("ma")), "a").join(marks.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("m").alias("mb")), "b")
+        return confirm(both.where(f"bit_count(sa ^ sb) <= {max_bits} AND greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), tag)
+
+    labels = link_buckets(rows, near, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1)
     grouped = classes.join(labels, "node", "left").select("c1", "c2", "n", F.coalesce("comp", "node").alias("grp"))
     sizes = grouped.groupBy("grp").agg(F.sum("n").alias("all")).where("all > 1")
     again = scratch.cut(grouped.join(sizes, "grp").select("c1", "c2", "grp"), "again")

@@ -6,8 +6,9 @@ the pigeonhole principle two signatures that differ in at most ``chunks * (error
 keys, so every pair under that distance meets. Pairs that meet are confirmed on the full shingle sets.
 
 Documents with equal sets are first folded into the one with the smallest id. Inside a bucket documents are compared
-with the bucket's smallest id; what is then linked forms components, and only pairs of different components that share
-a bucket are compared next. A bucket that is still large is split by the keys of a second, independent signature.
+with its most central one first; what is then linked forms components, and only pairs of different components that
+share a bucket are compared next (but for pairs whose whole signatures differ by five standard deviations more than
+the similarity allows). A bucket that is large is split by the keys of a second, independent signature.
 
 Cases: null and wordless texts have no set, so they link with nothing; null ids get a null component and stay; rows
 that repeat an id are one document and any row's link counts for it; an empty table gives no rows.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import components, cross_pairs
+from .graph import central_pairs, components, cross_pairs, link_buckets, split_buckets
 from .scratch import Scratch, if_small, read, text_of
 
 SHINGLE, CHUNKS, WIDTH, ERRORS = 5, 12, 5, 1
@@ -140,6 +141,59 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(keys, "key")
 
 
+def most_differing(percent: int) -> int:
+    """Symbols that differ in a pair of exactly the similarity asked for: mean and five standard deviations."""
+    n, p = 2 * SYMBOLS, 1 - percent / 100
+    return int(n * p + 5 * (n * p * (1 - p)) ** 0.5) + 1
+
+
+def family_pairs(live: DataFrame, families: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int, block: int, largest: int, small_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Likely links ``a, b`` between the components of a family, and the nodes of families too large for that.
+
+    ``live``: ``node, comp``; a family is what buckets connect, so pairs never cross families. A family's nodes are
+    dealt to blocks; each task meets two blocks with their signatures and full sets and emits only pairs that reach the
+    similarity by hashed sets, never the pairs it looked at.
+    """
+    named = live.distinct().join(families, "node", "left").withColumn("fam", F.coalesce("fam", "node"))
+    sizes = named.groupBy("fam").agg(F.count(F.lit(1)).alias("g"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("fam", "g")
+    dealt = scratch.cut(named.join(sizes, "fam").select("node", "comp", "fam", "g"), "families")
+    wanted = if_small(dealt.where(F.col("g") <= largest).select("node").distinct(), small_rows)
+    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("text")).join(wanted, "node", "left_semi")
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHash()
+        for b in batches:
+            yield pa.record_batch([b.column("node"), pa.array([shingle_hashes(words_of(t.as_py()), known).tobytes() for t in b.column("text")], pa.binary())], names=["node", "shingles"])
+
+    sets = texts.mapInArrow(shingle, "node long, shingles binary")
+    k = F.ceil(F.col("g") / block).cast("int")
+    rows = dealt.where(F.col("g") <= largest).withColumn("blk", F.pmod(F.xxhash64("node"), k).cast("int"))
+    rows = rows.join(nodes.select("node", "sig"), "node").join(sets, "node")
+    met = rows.select("*", F.explode(F.sequence(F.lit(0), k - 1)).alias("other")).select("node", "comp", "fam", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "sig", "shingles")
+    most = most_differing(percent)
+
+    def compare(t: pa.Table) -> pa.Table:
+        node, comp, blk = (t.column(c).to_numpy() for c in ("node", "comp", "blk"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
+        sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        right = np.flatnonzero(blk == j)
+        a, b = [], []
+        for x in np.flatnonzero(blk == i).tolist():
+            ys = right if i != j else right[right > x]
+            ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(size[ys], size[x]) >= percent * np.maximum(size[ys], size[x]))]
+            for y in ys[(sig[ys] != sig[x]).sum(axis=1) <= most].tolist():
+                at = np.searchsorted(sets[x], sets[y])
+                both = int((sets[x][np.minimum(at, size[x] - 1)] == sets[y]).sum())
+                if 100 * both >= percent * (size[x] + size[y] - both):
+                    a.append(min(node[x], node[y]))
+                    b.append(max(node[x], node[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return met.groupBy("fam", "i", "j").applyInArrow(compare, "a long, b long").distinct(), dealt.where(F.col("g") > largest).select("node")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, tag: str, percent: int, small_rows: int) -> DataFrame:
     """The pairs ``a, b`` whose full shingle sets have 100 * intersection >= percent * union."""
     pairs = scratch.cut(pairs, f"{tag}-pairs")
@@ -169,7 +223,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, tag: str, perce
     return scratch.cut(joined.mapInArrow(run, "a long, b long").distinct(), f"{tag}-links")
 
 
-def near_dedup(docs: DataFrame, percent: int = 75, hot_bucket: int = 2000, small_rows: int = 200_000) -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = 75, hot_bucket: int = 2000, block: int = 256, largest_family: int = 20_000, small_rows: int = 200_000) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     scratch = Scratch(docs.sparkSession, "neardup")
     signed = scratch.cut(signatures(docs), "signed")
@@ -191,19 +245,20 @@ def near_dedup(docs: DataFrame, percent: int = 75, hot_bucket: int = 2000, small
     else:
         finer = None
 
-    def star(r: DataFrame) -> DataFrame:
-        return r.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-
-    first = star(rows) if finer is None else star(rows).unionByName(star(finer))
-    links = confirm(first.distinct(), docs, scratch, "star", percent, small_rows).unionByName(same_id)
-    labels = components(links, scratch, "comp1")
-    rest = rows.where(F.col("size") <= hot_bucket).select("key", "node", "n")
-    rest = rest if finer is None else rest.unionByName(finer.select("key", "node", "n"))
-    tried = scratch.spark.read.schema("a long, b long").parquet(scratch.path("star-pairs"))
-    cross = cross_pairs(rest, labels, "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)").join(tried, ["a", "b"], "left_anti")
-    more = confirm(cross, docs, scratch, "cross", percent, small_rows)
-    if not more.isEmpty():
-        labels = components(labels.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch, "comp2")
+    met = rows.where(F.col("size") <= hot_bucket).select("key", "node", "n", "size")
+    if finer is not None:
+        stars = hot.select("key", "node", "n", "size")
+        met = met.unionByName(finer.select("key", "node", "n", "size"))
+    seeds = same_id if finer is None else same_id.unionByName(confirm(central_pairs(stars), docs, scratch, "hot", percent, small_rows))
+
+    def finish(labels: DataFrame) -> DataFrame:
+        tried = scratch.spark.read.schema("a long, b long").parquet(scratch.path("star0-pairs"))
+        families = components(tried, scratch, "families-of").withColumnRenamed("comp", "fam")
+        live = split_buckets(met, labels, 0).select("node", "comp")
+        pairs, rest = family_pairs(live, families, nodes, docs, scratch, percent, block, largest_family, small_rows)
+        return pairs if rest.isEmpty() else pairs.unionByName(cross_pairs(met.join(rest.distinct(), "node", "left_semi"), labels, f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
+
+    labels = link_buckets(met, lambda pairs, tag: confirm(pairs, docs, scratch, tag, percent, small_rows), finish, scratch, seeds)
 
     reps = copies.join(repeated, "doc_id", "left_anti").select(F.col("doc_id").alias("copy_id"), "rep")
     out = signed.select("doc_id", "n_shingles").join(reps, F.col("doc_id") == F.col("copy_id"), "left")
