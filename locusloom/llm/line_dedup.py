@@ -1,14 +1,14 @@
 """Fuzzy line dedup, with DataFrame functions only.
 
 Lines are normalised to their lower-cased words. Lines with equal words are one class. Each class gets a 64-bit SimHash
-of its words: a class's words are exploded and counted per bit in 32 sums of two packed counters. Classes meet when
+of its words, counted per bit in packed counters. Classes meet when
 their SimHashes agree in some choice of blocks (by the pigeonhole principle this finds every pair that differs in at
 most ``max_bits`` bits); a pair is linked if that holds and its edit similarity (1 - Levenshtein distance / longer
 length) is at least ``similarity``. Of each connected group of lines, the first occurrence (by document, then line)
 stays and all others go. Lines of fewer than ``min_words`` words are never touched.
 
-The number of blocks follows from the number of classes, so that chance meetings stay a few per class at any size; the
-pairs found are the same for any number. Inside a block's bucket classes are first compared with the most central one,
+The number of blocks (six or more, three of which must agree) follows from the number of classes, so that chance
+meetings stay rare at any size; the pairs found are the same for any number. Inside a block's bucket classes are first compared with the most central one,
 and then only across components.
 
 Cases: null texts stay null; empty texts and lines stay; rows with a null id are left alone; rows that repeat an id
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from .graph import cross_pairs, link_buckets
 from .scratch import Scratch, if_small, read
 
-PAIR = 0x100000001
-
 
 def words_of(line: str = "line") -> Column:
     """Lower-cased runs of letters, digits and characters beyond ASCII."""
@@ -44,23 +42,41 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def simhash(rows: DataFrame) -> DataFrame:
-    """``doc_id, line_no, c1, c2, n_chars, simhash`` of rows with ``words``."""
-    w = rows.select("doc_id", "line_no", "c1", "c2", F.length(F.array_join("words", " ")).alias("n_chars"), F.explode("words").alias("word"))
-    w = w.withColumn("h", F.xxhash64("word")).drop("word")
-    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(PAIR))).alias(f"s{i}") for i in range(32)]
-    g = w.groupBy("doc_id", "line_no", "c1", "c2", "n_chars").agg(F.count(F.lit(1)).alias("n"), *sums)
+    """``doc_id, line_no, c1, c2, n_chars, simhash`` of rows with ``words``.
+
+    Words are counted in blocks of at most 127: eight sums of eight one-byte counters hold the counts of all 64 bits
+    (few columns keep the generated code small enough to be compiled). A bit is set if more than half of the line's
+    words have it. Lines of one block are decided from the bytes at once; longer ones add up wider counters first.
+    """
+    key = ["doc_id", "line_no", "c1", "c2", "n_chars"]
+    rows = rows.select(*key[:4], F.length(F.array_join("words", " ")).alias("n_chars"), F.size("words").alias("n"), "words")
+    w = rows.select(*key, "n", F.posexplode("words").alias("pos", "word"))  # a step of its own: else lengths are computed per word
+    w = w.select(*key, "n", F.expr("pos div 127").alias("blk"), F.xxhash64("word").alias("h"))
+    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(0x0101010101010101))).alias(f"s{i}") for i in range(8)]
+    g = w.groupBy(*key, "n", "blk").agg(*sums)
+
+    wide, ones = F.lit(0x00FF00FF00FF00FF), F.lit(0x0001000100010001)
+    limit = (F.lit(255).cast("long") - F.expr("n div 2")) * ones
+    bits = F.lit(0).cast("long")
+    for i in range(8):
+        for shift in (0, 8):
+            more = F.shiftrightunsigned(F.shiftrightunsigned(f"s{i}", shift).bitwiseAND(wide) + limit, 8).bitwiseAND(ones)
+            bits = bits.bitwiseOR(F.shiftleft(more, i + shift))
+    short = g.where("n <= 127").select(*key, bits.alias("simhash"))
+
+    pairs = [(i, j) for i in range(8) for j in range(4)]
+    totals = [F.sum(F.shiftrightunsigned(f"s{i}", 8 * j).bitwiseAND(F.lit(0x000000FF000000FF))).alias(f"t{i}_{j}") for i, j in pairs]
+    t = g.where("n > 127").groupBy(*key, "n").agg(*totals)
     bits = F.lit(0).cast("long")
-    for i in range(32):
-        low, high = F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"s{i}", 32)
-        bits = bits.bitwiseOR(F.when(2 * low > F.col("n"), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-        top = (1 << (32 + i)) - ((1 << 64) if i == 31 else 0)
-        bits = bits.bitwiseOR(F.when(2 * high > F.col("n"), F.lit(top).cast("long")).otherwise(F.lit(0).cast("long")))
-    return g.select("doc_id", "line_no", "c1", "c2", "n_chars", bits.alias("simhash"))
+    for i, j in pairs:
+        for place, count in ((8 * j + i, F.col(f"t{i}_{j}").bitwiseAND(F.lit(0xFFFFFFFF))), (8 * (j + 4) + i, F.shiftrightunsigned(f"t{i}_{j}", 32))):
+            bits = bits.bitwiseOR(F.when(2 * count > F.col("n"), F.shiftleft(F.lit(1).cast("long"), place)).otherwise(F.lit(0).cast("long")))
+    return short.unionByName(t.select(*key, bits.alias("simhash")))
 
 
 def choose_blocks(classes: int, max_bits: int) -> tuple[int, int]:
     """(blocks, how many of them must agree): the fewest with at most one chance meeting per class expected."""
-    for agree in range(1, 12):
+    for agree in range(3, 12):
         blocks = max_bits + agree
         if classes * comb(blocks, agree) <= 2.0 ** (64 * agree / blocks) or agree == 11:
             return blocks, agree
