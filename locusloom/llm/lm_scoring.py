@@ -52,7 +52,7 @@ class Tokens:
         self.train = np.repeat(~np.array(held_out, bool), self.sizes)
         x = (prev ^ (prev >> np.uint64(31))) * _P + self.hash
         x = (x ^ (x >> np.uint64(29))) * _P
-        self.pair = x ^ (x >> np.uint64(32))
+        self.pair = (x ^ (x >> np.uint64(32))) >> np.uint64(8)  # 56 bits: seven bytes are sent
         # START is asked for like a word: its count is the number of training texts
         self.words, self.word_of = np.unique(np.concatenate([self.hash, prev[first]]), return_inverse=True)
         self.pairs, self.pair_at, self.pair_of = np.unique(self.pair, return_index=True, return_inverse=True)
@@ -62,9 +62,9 @@ class Tokens:
         self.pair_count = np.bincount(self.pair_of, self.train, len(self.pairs)).astype(np.int64)
 
     @staticmethod
-    def edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
+    def edges(sorted_hashes: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
         """Where each bucket's part of the sorted hashes begins, and the end."""
-        b = ((sorted_hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        b = ((sorted_hashes >> np.uint64(bits - 32)) * np.uint64(buckets)) >> np.uint64(32)
         return np.searchsorted(b, np.arange(buckets + 1).astype(np.uint64))
 
 
@@ -78,14 +78,34 @@ def _table(rows: list[tuple], types: list, schema: str) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[f.strip().split(" ")[0] for f in schema.split(",")])
 
 
+def _seven(h: np.ndarray) -> bytes:
+    return np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+
+
+def _from_seven(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return out.view(np.uint64).ravel()
+
+
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, named by the first byte."""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max(initial=0)) < 256**w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _from_small(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _ask(buckets: int):
     def run(t: pa.Table) -> pa.Table:
         k, chunk = Tokens(t.column("text"), t.column("held_out").to_pylist()), t.column("chunk")[0].as_py()
-        w, p, rows = Tokens.edges(k.words, buckets), Tokens.edges(k.pairs, buckets), []
+        w, p, rows = Tokens.edges(k.words, buckets), Tokens.edges(k.pairs, buckets, 56), []
         for b in range(buckets):
             ws, ps = slice(w[b], w[b + 1]), slice(p[b], p[b + 1])
             if ws.stop > ws.start or ps.stop > ps.start:
-                rows.append((b, chunk, k.words[ws].tobytes(), k.word_count[ws].astype(np.uint32).tobytes(), k.pairs[ps].tobytes(), k.pair_count[ps].astype(np.uint32).tobytes()))
+                rows.append((b, chunk, k.words[ws].tobytes(), _small(k.word_count[ws]), _seven(k.pairs[ps]), _small(k.pair_count[ps])))
         return _table(rows, [pa.int32(), pa.int32()] + [pa.binary()] * 4, ASKED)
 
     return run
@@ -98,8 +118,8 @@ def _answer(t: pa.Table) -> pa.Table:
     rows: list[list] = [[c, t.column("bucket")[0].as_py(), b"", b""] for c in t.column("chunk").to_pylist()]
     n_tokens = n_types = 0
     for name, place in (("word", 2), ("pair", 3)):
-        h = [np.frombuffer(x, np.uint64) for x in t.column(f"{name}s").to_pylist()]
-        c = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column(f"{name}_counts").to_pylist()]).astype(np.int64)
+        h = [np.frombuffer(x, np.uint64) if name == "word" else _from_seven(x) for x in t.column(f"{name}s").to_pylist()]
+        c = np.concatenate([_from_small(x) for x in t.column(f"{name}_counts").to_pylist()])
         flat = np.concatenate(h)
         u, inverse = np.unique(flat, return_inverse=True)
         total = np.bincount(inverse, c, len(u)).astype(np.int64)
@@ -176,7 +196,7 @@ def _score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     return _table(rows, types, SEEN)
 
 
-def lm_score(docs: DataFrame, fold: int = 7, held: int = 2, chunk_bytes: int = 8 << 20) -> DataFrame:
+def lm_score(docs: DataFrame, fold: int = 7, held: int = 2, chunk_bytes: int = 6 << 20) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
     scratch = Scratch(docs.sparkSession, "lm")
     rows = docs.select("doc_id", text_of().alias("text"), (crc_mod("doc_id", fold) == held).alias("held_out"))
