@@ -7,7 +7,7 @@ most ``max_bits`` bits); a pair is linked if that holds and its edit similarity
 length) is at least ``similarity``. Of each connected group of lines, the first occurrence (by document, then line)
 stays and all others go. Lines of fewer than ``min_words`` words are never touched.
 
-The number of blocks (six or more, three of which must agree) follows from the number of classes, so that chance
+The number of blocks (five or more, two of which must agree) follows from the number of classes, so that chance
 meetings stay rare at any size; the pairs found are the same for any number. Inside a block's bucket classes are first compared with the most central one,
 and then only across components.
 
@@ -41,7 +41,7 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     return rows.select("doc_id", "line_no", "words", F.xxhash64("words").alias("c1"), F.xxhash64(F.lit(7), F.reverse("words")).alias("c2"))
 
 
-def simhash(rows: DataFrame) -> DataFrame:
+def simhash(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, line_no, c1, c2, n_chars, simhash`` of rows with ``words``.
 
     Words are counted in blocks of at most 127: eight sums of eight one-byte counters hold the counts of all 64 bits
@@ -53,7 +53,7 @@ def simhash(rows: DataFrame) -> DataFrame:
     w = rows.select(*key, "n", F.posexplode("words").alias("pos", "word"))  # a step of its own: else lengths are computed per word
     w = w.select(*key, "n", F.expr("pos div 127").alias("blk"), F.xxhash64("word").alias("h"))
     sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(0x0101010101010101))).alias(f"s{i}") for i in range(8)]
-    g = w.groupBy(*key, "n", "blk").agg(*sums)
+    g = scratch.cut(w.groupBy(*key, "n", "blk").agg(*sums), "word-blocks")  # read twice below
 
     wide, ones = F.lit(0x00FF00FF00FF00FF), F.lit(0x0001000100010001)
     limit = (F.lit(255).cast("long") - F.expr("n div 2")) * ones
@@ -76,7 +76,7 @@ def simhash(rows: DataFrame) -> DataFrame:
 
 def choose_blocks(classes: int, max_bits: int) -> tuple[int, int]:
     """(blocks, how many of them must agree): the fewest with at most one chance meeting per class expected."""
-    for agree in range(3, 12):
+    for agree in range(2, 12):
         blocks = max_bits + agree
         if classes * comb(blocks, agree) <= 2.0 ** (64 * agree / blocks) or agree == 11:
             return blocks, agree
@@ -97,7 +97,8 @@ def block_keys(sim: str, blocks: int, agree: int) -> Column:
 def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int, similarity: float, small_rows: int) -> DataFrame:
     """Occurrences to remove: ``doc_id, line_no``."""
     spark = docs.sparkSession
-    occurrences = scratch.cut(simhash(lines_of(docs, min_words)), "occurrences")
+    occurrences = scratch.cut(simhash(lines_of(docs, min_words), scratch), "occurrences")
+    scratch.drop("word-blocks")
     per = occurrences.groupBy("c1", "c2").agg(F.min(F.col("doc_id")).alias("first_doc"), F.count(F.lit(1)).alias("n"), F.min("simhash").alias("simhash"), F.min("n_chars").alias("n_chars"))
     classes = scratch.cut(per.select("*", F.monotonically_increasing_id().alias("node")), "classes")
     blocks, agree = choose_blocks(max(1, classes.count()), max_bits)
