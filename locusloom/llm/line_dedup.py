@@ -8,8 +8,9 @@ length) is at least ``similarity``. Of each connected group of lines, the first
 stays and all others go. Lines of fewer than ``min_words`` words are never touched.
 
 The number of blocks (five or more, two of which must agree) follows from the number of classes, so that chance
-meetings stay rare at any size; the pairs found are the same for any number. Inside a block's bucket classes are first compared with the most central one,
-and then only across components.
+meetings stay rare at any size; the pairs found are the same for any number. Buckets of two or three classes are known
+from their least, largest and xor-ed members alone, so that only the rows of larger ones are gathered; inside these
+classes are first compared with the most central one, and then only across components.
 
 Cases: null texts stay null; empty texts and lines stay; rows with a null id are left alone; rows that repeat an id
 share its line numbers, so equal rows lose the same lines; an empty table gives no rows; columns of other names pass
@@ -29,49 +30,61 @@ from .graph import cross_pairs, link_buckets
 from .scratch import Scratch, if_small, read
 
 
-def words_of(line: str = "line") -> Column:
-    """Lower-cased runs of letters, digits and characters beyond ASCII."""
-    return F.array_remove(F.split(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+#: One ASCII character that is neither letter nor digit nor line feed, each named singly: Java looks such a set up in a
+#: table, which is faster than comparing with ranges.
+SEPARATORS = "[" + "".join(f"\\x{c:02x}" for c in [*range(10), *range(11, 48), *range(58, 97), *range(123, 128)]) + "]+"
+
+#: Counters of one byte hold the bits of at most so many words (their sum must stay positive).
+CHUNK = 127
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, line_no, words`` and the 128-bit identity ``c1, c2`` of the lines that take part."""
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "line_no", words_of().alias("words")).where(F.size("words") >= min_words)
-    return rows.select("doc_id", "line_no", "words", F.xxhash64("words").alias("c1"), F.xxhash64(F.lit(7), F.reverse("words")).alias("c2"))
+    """``doc_id, line_no, norm`` and the 128-bit identity ``c1, c2`` of the lines that take part.
+
+    ``norm`` has the line's words, lower-cased runs of letters, digits and characters beyond ASCII, with one blank
+    between two. A text is normalised in one go before it is split, so that the test of a line's length, which Spark
+    moves down to the generator, doesn't do that work again.
+    """
+    whole = F.split(F.regexp_replace(F.lower("text"), SEPARATORS, " "), "\n")
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(whole).alias("line_no", "line"))
+    norm = F.trim("line")
+    blanks = F.length(norm) - F.length(F.replace(norm, F.lit(" ")))
+    rows = rows.where((blanks >= min_words - 1) & (norm != "")).select("doc_id", "line_no", norm.alias("norm"))
+    return rows.select("*", F.xxhash64("norm").alias("c1"), F.xxhash64(F.lit(7), "norm").alias("c2"))
 
 
-def simhash(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, line_no, c1, c2, n_chars, simhash`` of rows with ``words``.
+def simhash(rows: DataFrame) -> DataFrame:
+    """``doc_id, line_no, c1, c2, n_chars, simhash`` of rows with ``norm``, without a shuffle.
 
-    Words are counted in blocks of at most 127: eight sums of eight one-byte counters hold the counts of all 64 bits
-    (few columns keep the generated code small enough to be compiled). A bit is set if more than half of the line's
-    words have it. Lines of one block are decided from the bytes at once; longer ones add up wider counters first.
+    Every chunk of a line's words is added up in eight numbers of eight one-byte counters: number i, byte j counts bit
+    8 * j + i of the words' hashes. A bit is set if more than half of the line's words have it. Lines of one chunk are
+    decided from all bytes of a number at once; longer ones add up their chunks, bit by bit.
     """
+    zero = F.lit(0).cast("long")
+
+    def add(counters: Column, h: Column) -> Column:
+        return F.array(*[F.get(counters, F.lit(i)) + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(0x0101010101010101)) for i in range(8)])
+
     key = ["doc_id", "line_no", "c1", "c2", "n_chars"]
-    rows = rows.select(*key[:4], F.length(F.array_join("words", " ")).alias("n_chars"), F.size("words").alias("n"), "words")
-    w = rows.select(*key, "n", F.posexplode("words").alias("pos", "word"))  # a step of its own: else lengths are computed per word
-    w = w.select(*key, "n", F.expr("pos div 127").alias("blk"), F.xxhash64("word").alias("h"))
-    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(0x0101010101010101))).alias(f"s{i}") for i in range(8)]
-    g = scratch.cut(w.groupBy(*key, "n", "blk").agg(*sums), "word-blocks")  # read twice below
+    rows = rows.select(*key[:4], F.length("norm").alias("n_chars"), F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    starts = F.sequence(F.lit(1), F.size("hashes"), F.lit(CHUNK))
+    chunks = F.transform(starts, lambda at: F.aggregate(F.slice("hashes", at, F.lit(CHUNK)), F.array(*[zero] * 8), add))
+    rows = rows.select(*key, F.size("hashes").alias("n"), chunks.alias("chunks"))
 
     wide, ones = F.lit(0x00FF00FF00FF00FF), F.lit(0x0001000100010001)
     limit = (F.lit(255).cast("long") - F.expr("n div 2")) * ones
-    bits = F.lit(0).cast("long")
+    at_once = zero
     for i in range(8):
         for shift in (0, 8):
-            more = F.shiftrightunsigned(F.shiftrightunsigned(f"s{i}", shift).bitwiseAND(wide) + limit, 8).bitwiseAND(ones)
-            bits = bits.bitwiseOR(F.shiftleft(more, i + shift))
-    short = g.where("n <= 127").select(*key, bits.alias("simhash"))
+            more = F.shiftrightunsigned(F.shiftrightunsigned(F.get(F.get("chunks", F.lit(0)), F.lit(i)), shift).bitwiseAND(wide) + limit, 8).bitwiseAND(ones)
+            at_once = at_once.bitwiseOR(F.shiftleft(more, i + shift))
+
+    def count(bit: Column) -> Column:
+        byte = lambda c: F.call_function("shiftrightunsigned", F.get(c, bit % 8), bit - bit % 8).bitwiseAND(F.lit(255))
+        return F.aggregate("chunks", zero, lambda total, c: total + byte(c))
 
-    pairs = [(i, j) for i in range(8) for j in range(4)]
-    totals = [F.sum(F.shiftrightunsigned(f"s{i}", 8 * j).bitwiseAND(F.lit(0x000000FF000000FF))).alias(f"t{i}_{j}") for i, j in pairs]
-    t = g.where("n > 127").groupBy(*key, "n").agg(*totals)
-    bits = F.lit(0).cast("long")
-    for i, j in pairs:
-        for place, count in ((8 * j + i, F.col(f"t{i}_{j}").bitwiseAND(F.lit(0xFFFFFFFF))), (8 * (j + 4) + i, F.shiftrightunsigned(f"t{i}_{j}", 32))):
-            bits = bits.bitwiseOR(F.when(2 * count > F.col("n"), F.shiftleft(F.lit(1).cast("long"), place)).otherwise(F.lit(0).cast("long")))
-    return short.unionByName(t.select(*key, bits.alias("simhash")))
+    bit_by_bit = F.aggregate(F.sequence(F.lit(0), F.lit(63)), zero, lambda bits, bit: F.when(count(bit) * 2 > F.col("n"), bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))).otherwise(bits))
+    return rows.select(*key, F.when(F.col("n") <= CHUNK, at_once).otherwise(bit_by_bit).alias("simhash"))
 
 
 def choose_blocks(classes: int, max_bits: int) -> tuple[int, int]:
@@ -97,8 +110,7 @@ def block_keys(sim: str, blocks: int, agree: int) -> Column:
 def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int, similarity: float, small_rows: int) -> DataFrame:
     """Occurrences to remove: ``doc_id, line_no``."""
     spark = docs.sparkSession
-    occurrences = scratch.cut(simhash(lines_of(docs, min_words), scratch), "occurrences")
-    scratch.drop("word-blocks")
+    occurrences = scratch.cut(simhash(lines_of(docs, min_words)), "occurrences")
     per = occurrences.groupBy("c1", "c2").agg(F.min(F.col("doc_id")).alias("first_doc"), F.count(F.lit(1)).alias("n"), F.min("simhash").alias("simhash"), F.min("n_chars").alias("n_chars"))
     classes = scratch.cut(per.select("*", F.monotonically_increasing_id().alias("node")), "classes")
     blocks, agree = choose_blocks(max(1, classes.count()), max_bits)
@@ -110,9 +122,11 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
         """``a, b`` with the edit similarity asked for. Texts are read again, of the candidates' classes only."""
         pairs = scratch.cut(pairs, f"{tag}-pairs")
+        if pairs.isEmpty():
+            return pairs
         nodes = scratch.cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(classes, "node").select("node", "c1", "c2", "first_doc"), f"{tag}-nodes")
         wanted = if_small(nodes.select(F.col("first_doc").alias("doc_id")).distinct(), small_rows)
-        found = lines_of(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), min_words).select("c1", "c2", F.array_join("words", " ").alias("t"))
+        found = lines_of(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), min_words).select("c1", "c2", F.col("norm").alias("t"))
         texts = scratch.cut(found.join(if_small(nodes, small_rows), ["c1", "c2"]).select("node", "t").dropDuplicates(["node"]), f"{tag}-texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
         longer = F.greatest(F.length("ta"), F.length("tb"))
@@ -130,10 +144,10 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
     grouped = classes.join(labels, "node", "left").select("c1", "c2", "n", F.coalesce("comp", "node").alias("grp"))
     sizes = grouped.groupBy("grp").agg(F.sum("n").alias("all")).where("all > 1")
     again = scratch.cut(grouped.join(sizes, "grp").select("c1", "c2", "grp"), "again")
-    met = scratch.cut(occurrences.join(if_small(again, small_rows), ["c1", "c2"]).select("doc_id", "line_no", "grp"), "met")
-    stays = met.groupBy("grp").agg(F.min("doc_id").alias("doc_id"))
-    stays = met.join(stays, ["grp", "doc_id"]).groupBy("grp", "doc_id").agg(F.min("line_no").alias("line_no"))
-    return met.join(stays, ["grp", "doc_id", "line_no"], "left_anti").select("doc_id", "line_no")
+    repeats = scratch.cut(occurrences.join(if_small(again, small_rows), ["c1", "c2"]).select("doc_id", "line_no", "grp"), "repeats")
+    stays = repeats.groupBy("grp").agg(F.min("doc_id").alias("doc_id"))
+    stays = repeats.join(stays, ["grp", "doc_id"]).groupBy("grp", "doc_id").agg(F.min("line_no").alias("line_no"))
+    return repeats.join(stays, ["grp", "doc_id", "line_no"], "left_anti").select("doc_id", "line_no")
 
 
 def line_dedup(docs: DataFrame, min_words: int = 5, max_bits: int = 3, similarity: float = 0.8, small_rows: int = 500_000) -> DataFrame:

@@ -3,10 +3,12 @@
 import collections
 import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from locusloom.llm import decontamination, exact_dedup, graph, language_id, line_dedup, lm_scoring, near_dedup, packing, toxicity, url_filters, warc
@@ -180,6 +182,40 @@ def test_url_filters(spark):
     assert url_filters.judge(cap, log.limit(0)).where("decision <> 'allow'").count() == 0
 
 
+def test_simhash_against_brute_force(spark):
+    rnd, mask = random.Random(5), 2**64 - 1
+    texts = [" ".join(rnd.choice(["alpha", "beta", "gamma", "Delta,", "\u00e9t\u00e9", "42"]) + str(rnd.randrange(30)) for _ in range(n)) for n in (5, 6, 31, 126, 127, 128, 129, 254, 255, 600)]
+    rows = line_dedup.lines_of(spark.createDataFrame([(1, "\n".join(texts))], "doc_id long, text string"), 5)
+    got = {r.line_no: (r.n_chars, r.simhash & mask) for r in line_dedup.simhash(rows).collect()}
+    for k, text in enumerate(texts):
+        words = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower())
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+        assert got[k] == (len(" ".join(words)), sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes)))
+
+
+def test_line_groups_against_brute_force(spark):
+    """Families of near-equal long lines: buckets of two, three and more classes."""
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    lines = []
+    for copies in (1, 2, 3, 4, 9):
+        base = [rnd.choice(vocabulary) for _ in range(300)]
+        for _ in range(copies):
+            w = list(base)
+            w[rnd.randrange(300)] = rnd.choice(vocabulary)
+            lines.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    sims = {r.doc_id: r.simhash for r in line_dedup.simhash(line_dedup.lines_of(docs, 5)).collect()}
+    root = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            if ((sims[i] ^ sims[j]) & (2**64 - 1)).bit_count() <= 3:  # these lines differ in two words at most
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    kept = {r.doc_id for r in line_dedup.line_dedup(docs).where("removed_lines = 0").collect()}
+    assert kept == set(root) and len(kept) < len(lines)
+
+
 def test_line_dedup(spark):
     r = random.Random(3)
     long = words(r, 150)
