@@ -76,16 +76,17 @@ def cross_pairs(rows: DataFrame, labels: DataFrame, also: str) -> DataFrame:
     return x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def link_buckets(rows: DataFrame, confirm, finish, scratch: Scratch, seed_links: DataFrame | None = None, rounds: int = 2) -> DataFrame:
+def link_buckets(rows: DataFrame, confirm, finish, scratch: Scratch, seed_links: DataFrame | None = None, rounds: int = 2, more_pairs: DataFrame | None = None) -> DataFrame:
     """Components (``node, comp``) of all links between nodes that share a bucket.
 
     ``rows``: ``key, node, size`` (of the bucket). ``confirm(pairs, tag)`` returns those of the pairs ``a, b`` that are
     links. First come stars around central nodes, then around members of each bucket's largest component; every round
-    is linear in the rows. At last ``finish(labels)`` gives what is left to confirm of the pairs that share a bucket
+    is linear in the rows. ``more_pairs`` are confirmed with the first stars. At last ``finish(labels)`` gives what is left to confirm of the pairs that share a bucket
     but not a component, so nothing is missed.
     """
     pairs_of = lambda k: scratch.spark.read.schema("a long, b long").parquet(scratch.path(f"star{k}-pairs"))
-    links = confirm(central_pairs(rows), "star0")
+    first = central_pairs(rows) if more_pairs is None else central_pairs(rows).unionByName(more_pairs).distinct()
+    links = confirm(first, "star0")
     labels = components(links if seed_links is None else links.unionByName(seed_links), scratch, "comp0")
     tried = pairs_of(0)
     for k in range(1, rounds + 2):

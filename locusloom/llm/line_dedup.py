@@ -115,8 +115,10 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
     classes = scratch.cut(per.select("*", F.monotonically_increasing_id().alias("node")), "classes")
     blocks, agree = choose_blocks(max(1, classes.count()), max_bits)
     keyed = classes.select(block_keys("simhash", blocks, agree).alias("key"), "node", F.col("simhash").alias("s"), F.col("n_chars").alias("m"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high").drop("low", "high")
-    rows = scratch.cut(keyed.join(shared, "key"), "rows")
+    met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"), F.count(F.lit(1)).alias("size"))
+    met = scratch.cut(met.where("low <> high").withColumn("mid", F.expr("IF(size = 3, all ^ low ^ high, NULL)")), "met")
+    few = met.where("size <= 3").select(F.inline(F.expr("array(struct(low AS a, high AS b), struct(low AS a, mid AS b), struct(mid AS a, high AS b))"))).where("b IS NOT NULL AND a IS NOT NULL").distinct()
+    rows = scratch.cut(keyed.join(if_small(met.where("size > 3").select("key", "size"), small_rows), "key"), "rows")
     alike = "bit_count(x.s ^ y.s) <= {d} AND greatest(x.m, y.m) * {k} <= least(x.m, y.m)".format(d=max_bits, k=similarity)
 
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
@@ -140,7 +142,7 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
         both = pairs.join(marks.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("m").alias("ma")), "a").join(marks.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("m").alias("mb")), "b")
         return confirm(both.where(f"bit_count(sa ^ sb) <= {max_bits} AND greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), tag)
 
-    labels = link_buckets(rows, near, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1)
+    labels = link_buckets(rows, near, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1, more_pairs=few)
     grouped = classes.join(labels, "node", "left").select("c1", "c2", "n", F.coalesce("comp", "node").alias("grp"))
     sizes = grouped.groupBy("grp").agg(F.sum("n").alias("all")).where("all > 1")
     again = scratch.cut(grouped.join(sizes, "grp").select("c1", "c2", "grp"), "again")
