@@ -37,6 +37,9 @@ SEPARATORS = "[" + "".join(f"\\x{c:02x}" for c in [*range(10), *range(11, 48), *
 #: Counters of one byte hold the bits of at most so many words (their sum must stay positive).
 CHUNK = 127
 
+#: Edits that the first, narrow comparison of two lines allows for.
+NARROW = 48
+
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, line_no, norm`` and the 128-bit identity ``c1, c2`` of the lines that take part.
@@ -131,9 +134,10 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
         found = lines_of(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), min_words).select("c1", "c2", F.col("norm").alias("t"))
         texts = scratch.cut(found.join(if_small(nodes, small_rows), ["c1", "c2"]).select("node", "t").dropDuplicates(["node"]), f"{tag}-texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-        longer = F.greatest(F.length("ta"), F.length("tb"))
-        distance = F.expr(f"levenshtein(ta, tb, cast(floor({1 - similarity} * greatest(length(ta), length(tb)) + 1e-9) as int))")
-        return scratch.cut(both.where((distance >= 0) & (longer > 0)).select("a", "b"), f"{tag}-links")
+        # A narrow band settles most pairs; only those that it leaves open need one as wide as the limit.
+        both = both.withColumn("most", F.expr(f"cast(floor({1 - similarity} * greatest(length(ta), length(tb)) + 1e-9) as int)"))
+        same = f"levenshtein(ta, tb, least(most, {NARROW})) >= 0 OR (most > {NARROW} AND levenshtein(ta, tb, most) >= 0)"
+        return scratch.cut(both.where(same).select("a", "b"), f"{tag}-links")
 
     marks = classes.select("node", F.col("simhash").alias("s"), F.col("n_chars").alias("m"))
 
