@@ -1,16 +1,18 @@
 """Fuzzy line dedup, with DataFrame functions only.
 
-Lines are normalised to their lower-cased words. Lines with equal words are one class. Each class gets a 64-bit SimHash
-of its words, counted per bit in packed counters. Classes meet when
-their SimHashes agree in some choice of blocks (by the pigeonhole principle this finds every pair that differs in at
-most ``max_bits`` bits); a pair is linked if that holds and its edit similarity (1 - Levenshtein distance / longer
-length) is at least ``similarity``. Of each connected group of lines, the first occurrence (by document, then line)
-stays and all others go. Lines of fewer than ``min_words`` words are never touched.
-
-The number of blocks (five or more, two of which must agree) follows from the number of classes, so that chance
-meetings stay rare at any size; the pairs found are the same for any number. Buckets of two or three classes are known
-from their least, largest and xor-ed members alone, so that only the rows of larger ones are gathered; inside these
-classes are first compared with the most central one, and then only across components.
+Lines are normalised to their lower-cased words. Lines with equal words are one class. Each class gets MinHashes of the
+set of its word pairs (with both ends marked), ``BANDS`` times ``ROWS`` of them; classes meet when all MinHashes of some
+band agree, and a pair is linked if its edit similarity (1 - Levenshtein distance / longer length) is at least
+``similarity``. Nothing but the lengths, which bound that similarity, stands between meeting and comparing. Of each
+connected group of lines, the first occurrence (by document, then line) stays and all others go. Lines of fewer than
+``min_words`` words are never touched.
+
+Two lines that share a part j of their pairs meet with probability 1 - (1 - j ** ROWS) ** BANDS: 0.99 for j = 0.5, which
+is one changed word in five or two in eleven. Lines with a letter changed in most of their words can be missed.
+
+Buckets of two or three classes are known from their least, largest and xor-ed members alone, so that only the rows of
+larger ones are gathered; inside these classes are first compared with the most central one, and then only across
+components.
 
 Cases: null texts stay null; empty texts and lines stay; rows with a null id are left alone; rows that repeat an id
 share its line numbers, so equal rows lose the same lines; an empty table gives no rows; columns of other names pass
@@ -19,9 +21,7 @@ through.
 
 from __future__ import annotations
 
-from math import comb
-
-from itertools import combinations
+import random
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,11 @@ CHUNK = 127
 #: Edits that the first, narrow comparison of two lines allows for.
 NARROW = 48
 
+#: MinHashes of a band, and bands.
+ROWS, BANDS = 2, 16
+_RANDOM = random.Random(17)
+SEEDS = [_RANDOM.randrange(-(1 << 63), 1 << 63) for _ in range(ROWS * BANDS)]
+
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, line_no, norm`` and the 128-bit identity ``c1, c2`` of the lines that take part.
@@ -90,39 +95,33 @@ def simhash(rows: DataFrame) -> DataFrame:
     return rows.select(*key, F.when(F.col("n") <= CHUNK, at_once).otherwise(bit_by_bit).alias("simhash"))
 
 
-def choose_blocks(classes: int, max_bits: int) -> tuple[int, int]:
-    """(blocks, how many of them must agree): the fewest with at most one chance meeting per class expected."""
-    for agree in range(2, 12):
-        blocks = max_bits + agree
-        if classes * comb(blocks, agree) <= 2.0 ** (64 * agree / blocks) or agree == 11:
-            return blocks, agree
-    raise AssertionError
+def sketch(rows: DataFrame) -> DataFrame:
+    """``doc_id, line_no, c1, c2, n_chars, keys`` of rows with ``norm``, without a shuffle: one key per band.
 
-
-def block_keys(sim: str, blocks: int, agree: int) -> Column:
-    """All choices of ``agree`` of ``blocks`` parts of the SimHash, each as one number."""
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    keys = []
-    for j, chosen in enumerate(combinations(range(blocks), agree)):
-        mask = sum(((1 << (edges[b + 1] - edges[b])) - 1) << edges[b] for b in chosen)
-        mask -= (1 << 64) if mask >= 1 << 63 else 0
-        keys.append(F.xxhash64(F.lit(j), F.col(sim).bitwiseAND(F.lit(mask).cast("long"))))
-    return F.explode(F.array(*keys))
+    A MinHash is the least of the pairs' hashes after a xor with a seed.
+    """
+    key = ["doc_id", "line_no", "c1", "c2", "n_chars"]
+    mark = F.array(F.lit(0).cast("long"))
+    rows = rows.select(*key[:4], F.length("norm").alias("n_chars"), F.concat(mark, F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)), mark).alias("hashes"))
+    n = F.size("hashes") - 1
+    rows = rows.select(*key, F.zip_with(F.slice("hashes", 1, n), F.slice("hashes", 2, n), lambda a, b: F.xxhash64(a, b)).alias("pairs"))
+    seeds = F.lit(SEEDS).cast("array<bigint>")
+    rows = rows.select(*key, F.transform(seeds, lambda seed: F.array_min(F.transform("pairs", lambda x: x.bitwiseXOR(seed)))).alias("least"))
+    return rows.select(*key, F.array(*[F.hash(*(F.get("least", F.lit(ROWS * j + i)) for i in range(ROWS))) for j in range(BANDS)]).alias("keys"))
 
 
-def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int, similarity: float, small_rows: int) -> DataFrame:
+def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: float, small_rows: int) -> DataFrame:
     """Occurrences to remove: ``doc_id, line_no``."""
     spark = docs.sparkSession
-    occurrences = scratch.cut(simhash(lines_of(docs, min_words)), "occurrences")
-    per = occurrences.groupBy("c1", "c2").agg(F.min(F.col("doc_id")).alias("first_doc"), F.count(F.lit(1)).alias("n"), F.min("simhash").alias("simhash"), F.min("n_chars").alias("n_chars"))
+    occurrences = scratch.cut(sketch(lines_of(docs, min_words)), "occurrences")
+    per = occurrences.groupBy("c1", "c2").agg(F.min(F.col("doc_id")).alias("first_doc"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"), F.min("n_chars").alias("n_chars"))
     classes = scratch.cut(per.select("*", F.monotonically_increasing_id().alias("node")), "classes")
-    blocks, agree = choose_blocks(max(1, classes.count()), max_bits)
-    keyed = classes.select(block_keys("simhash", blocks, agree).alias("key"), "node", F.col("simhash").alias("s"), F.col("n_chars").alias("m"))
+    keyed = classes.select(F.posexplode("keys").alias("band", "key"), "node", F.col("n_chars").alias("m")).select((F.col("band") * F.lit(1 << 32) + F.col("key")).alias("key"), "node", "m")
     met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"), F.count(F.lit(1)).alias("size"))
     met = scratch.cut(met.where("low <> high").withColumn("mid", F.expr("IF(size = 3, all ^ low ^ high, NULL)")), "met")
     few = met.where("size <= 3").select(F.inline(F.expr("array(struct(low AS a, high AS b), struct(low AS a, mid AS b), struct(mid AS a, high AS b))"))).where("b IS NOT NULL AND a IS NOT NULL").distinct()
     rows = scratch.cut(keyed.join(if_small(met.where("size > 3").select("key", "size"), small_rows), "key"), "rows")
-    alike = "bit_count(x.s ^ y.s) <= {d} AND greatest(x.m, y.m) * {k} <= least(x.m, y.m)".format(d=max_bits, k=similarity)
+    alike = f"greatest(x.m, y.m) * {similarity} <= least(x.m, y.m)"
 
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
         """``a, b`` with the edit similarity asked for. Texts are read again, of the candidates' classes only."""
@@ -139,12 +138,12 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
         same = f"levenshtein(ta, tb, least(most, {NARROW})) >= 0 OR (most > {NARROW} AND levenshtein(ta, tb, most) >= 0)"
         return scratch.cut(both.where(same).select("a", "b"), f"{tag}-links")
 
-    marks = classes.select("node", F.col("simhash").alias("s"), F.col("n_chars").alias("m"))
+    marks = classes.select("node", F.col("n_chars").alias("m"))
 
     def near(pairs: DataFrame, tag: str) -> DataFrame:
-        """Pairs within the SimHash distance first: most need no look at their texts."""
-        both = pairs.join(marks.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("m").alias("ma")), "a").join(marks.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("m").alias("mb")), "b")
-        return confirm(both.where(f"bit_count(sa ^ sb) <= {max_bits} AND greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), tag)
+        """Pairs of lengths that allow for the edit similarity first: others need no look at their texts."""
+        both = pairs.join(marks.select(F.col("node").alias("a"), F.col("m").alias("ma")), "a").join(marks.select(F.col("node").alias("b"), F.col("m").alias("mb")), "b")
+        return confirm(both.where(f"greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), tag)
 
     labels = link_buckets(rows, near, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1, more_pairs=few)
     grouped = classes.join(labels, "node", "left").select("c1", "c2", "n", F.coalesce("comp", "node").alias("grp"))
@@ -156,10 +155,10 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, max_bits: int
     return repeats.join(stays, ["grp", "doc_id", "line_no"], "left_anti").select("doc_id", "line_no")
 
 
-def line_dedup(docs: DataFrame, min_words: int = 5, max_bits: int = 3, similarity: float = 0.8, small_rows: int = 500_000) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = 5, similarity: float = 0.8, small_rows: int = 500_000) -> DataFrame:
     """``docs`` with the columns they came with, ``text`` without the lines that go, and ``removed_lines``."""
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = line_groups(docs, scratch, min_words, max_bits, similarity, small_rows)
+    gone = line_groups(docs, scratch, min_words, similarity, small_rows)
     per_doc = scratch.cut(gone.groupBy(F.col("doc_id").alias("gone_doc")).agg(F.sort_array(F.collect_set("line_no")).alias("gone_lines")), "gone")
     out = docs.join(if_small(per_doc, small_rows // 5), F.col("doc_id") == F.col("gone_doc"), "left")
     lines = F.split("text", "\n")

@@ -230,3 +230,32 @@ def test_empty_tables(docs):
     none = docs.limit(0)
     for f in (exact_dedup.exact_dedup, near_dedup.near_dedup, lm_scoring.lm_score, line_dedup.line_dedup, packing.pack_documents):
         assert f(none).count() == 0
+
+
+def test_line_recall_against_brute_force_edit_similarity(spark):
+    """Lines of 5-60 words with one word replaced, one letter added, or both; pairs by edit similarity alone."""
+    rnd = random.Random(23)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(3, 9))) for _ in range(3000)]
+    base = [[rnd.choice(vocabulary) for _ in range(5 + k % 56)] for k in range(224)]
+    lines = [" ".join(w) for w in base]
+    for k, w in enumerate(base):
+        w = list(w)
+        if k % 3 != 1:
+            w[rnd.randrange(len(w))] = rnd.choice(vocabulary)
+        if k % 3 != 0:
+            at = rnd.randrange(len(w))
+            w[at] += "q"
+        lines.append(" ".join(w))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    alike = {k for k in range(224) if distance(lines[k], lines[224 + k]) <= 0.2 * max(len(lines[k]), len(lines[224 + k]))}
+    removed = {r.doc_id for r in line_dedup.line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("removed_lines = 1").collect()}
+    found = {k for k in alike if 224 + k in removed}
+    assert len(alike) > 200 and removed == {224 + k for k in found} and len(found) >= 0.97 * len(alike), (len(found), len(alike))
