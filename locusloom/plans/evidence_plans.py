@@ -102,7 +102,7 @@ def outer_feature_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read(spark, sf_dir, "lineitem")
     a = l.where("l_quantity > 48").groupBy(F.col("l_suppkey").alias("gene_id")).agg(F.count(F.lit(1)).alias("a"))
     b = l.where("l_discount > 0.08").groupBy(F.col("l_suppkey").alias("gene_id")).agg(F.count(F.lit(1)).alias("b"))
-    c = read(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("gene_id"), F.lit(1).cast("long").alias("c"))
+    c = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("gene_id"), F.lit(1).cast("long").alias("c"))
     t = a.join(b, "gene_id", "full_outer").join(c, "gene_id", "full_outer")
     zero = F.lit(0).cast("long")
     return t.select("gene_id", *(F.coalesce(x, zero).alias(x) for x in "abc"))

@@ -101,7 +101,7 @@ def depth_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zero_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loci.gaps(cds(spark, sf_dir).where("gene % 40 = 0"), ["chrom"], 10)
+    return loci.gaps(cds(spark, sf_dir), ["chrom"], 10)
 
 
 def evidence_score(spark: SparkSession, sf_dir: str) -> DataFrame:
