@@ -4,7 +4,8 @@ A word is a bag of hashed character n-grams and itself. A window of words averag
 over the average gives the odds. Embeddings and softmax are trained jointly in numpy: first every window of a labelled
 document carries the document's label, then only the document's most toxic window does, as a document is toxic if any
 part of it is. Unseen misspellings share n-grams with what was learned. A document's score is that of its worst window;
-all windows of the whole text count.
+all windows of the whole text count. A run of letters of more than ``LONG`` bytes, such as a passage without ASCII
+separators, is cut into pieces that each count as a word and overlap, so that no n-gram is lost.
 
 Since the softmax is linear in the average, a word adds one number (its n-grams' sum); tasks look words up in a cache.
 The training sample is bounded: about ``per_class`` toxic and ``clean`` times as many other documents,
@@ -30,10 +31,22 @@ from .scratch import crc_mod, read
 
 WINDOW, BUCKETS, DIM, GRAMS = 32, 1 << 18, 8, (3, 4, 5)
 
+#: Longer words are cut into pieces of ``PIECE`` bytes.
+LONG, PIECE = 200, 32
+
+
+def pieces_of(text: str) -> list[bytes]:
+    """The words of a text, long ones cut."""
+    words = words_of(text)
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    step = PIECE - max(GRAMS) + 1
+    return [p for w in words for p in ([w] if len(w) <= LONG else [w[i : i + PIECE] for i in range(0, len(w) - max(GRAMS) + 1, step)])]
+
 
 def grams_of(word: bytes) -> list[int]:
     """Buckets of the word's n-grams (with ends marked) and of the word itself."""
-    w = b"<" + word[:200] + b">"
+    w = b"<" + word + b">"
     return [zlib.crc32(w[i : i + n]) % BUCKETS for n in GRAMS for i in range(len(w) - n + 1)] + [zlib.crc32(word, 1) % BUCKETS]
 
 
@@ -113,7 +126,7 @@ def training_docs(docs: DataFrame, labels: DataFrame, per_class: int, per_doc: i
         for b in batches:
             out = []
             for text in b.column("text"):
-                w = words_of(text.as_py() or "")
+                w = pieces_of(text.as_py() or "")
                 starts = np.arange(0, len(w), WINDOW)
                 starts = starts[np.unique(np.linspace(0, len(starts) - 1, min(per_doc, len(starts))).astype(int))] if len(starts) else starts
                 out.append(b"\n".join(b" ".join(w[s : s + WINDOW]) for s in starts.tolist()))
@@ -148,7 +161,7 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, float] | None, fold: int =
         for b in batches:
             scores = []
             for text in b.column(1):
-                w = words_of(text.as_py() or "") if z is not None else []
+                w = pieces_of(text.as_py() or "") if z is not None else []
                 if not w:
                     scores.append(bias)
                     continue

@@ -259,3 +259,18 @@ def test_line_recall_against_brute_force_edit_similarity(spark):
     removed = {r.doc_id for r in line_dedup.line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("removed_lines = 1").collect()}
     found = {k for k in alike if 224 + k in removed}
     assert len(alike) > 200 and removed == {224 + k for k in found} and len(found) >= 0.97 * len(alike), (len(found), len(alike))
+
+
+def test_toxic_term_late_in_a_long_word(spark):
+    """One run of letters, Latin or not: n-grams beyond byte 200 count in prediction and in training."""
+    term, z = "zzbadzz", np.zeros(toxicity.BUCKETS)
+    inner = [zlib.crc32(term.encode()[i : i + n]) % toxicity.BUCKETS for n in toxicity.GRAMS for i in range(len(term) - n + 1)]
+    z[inner] = 50.0
+    texts = ["a" * 400, "字" * 130] + [f"{'a' * n}{term}{'a' * (393 - n)}" for n in (230, 251, 300, 393)] + ["字" * 90 + term + "字" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.predict(docs, (z, 0.0)).collect()}
+    assert all(got[i] > max(got[0], got[1]) + 0.1 for i in range(2, 7)), got
+    labels = spark.createDataFrame([(i, int(i > 1)) for i in range(7)], "doc_id long, toxic int")
+    learned = toxicity.training_docs(docs, labels, 50, 16, 1000)
+    toxic = [windows for y, windows in learned if y]
+    assert toxic and all(set(inner) <= {g for w in windows for x in w for g in toxicity.grams_of(x)} for windows in toxic)
