@@ -2,15 +2,14 @@
 
 The model is a bigram model with absolute discounting. Every word that training texts have is a state; an arc from
 state h on word w carries log10((c(hw) - D) / c(h)); the failure arc of h leads to the root and carries the mass that
-discounting freed, pooled over states of a similar count (classes by powers of two); the root's arcs carry the
-add-one unigrams. A text is traversed once from left to right: take the arc, or the failure arc and the root's.
+discounting freed, D * (distinct words after h) / c(h); the root's arcs carry the add-one unigrams. A text is traversed once from left to right: take the arc, or the failure arc and the root's.
 
 No task holds the whole model. Texts are dealt to chunks of about ``chunk_bytes``; a chunk's distinct words and
 bigrams go to buckets by hash, where the counts of all chunks meet; each bucket sends back, for each chunk, the totals
 of what that chunk asked for, in the order asked. So every chunk builds the part of the automaton that its texts can
 reach, with the counts of the whole corpus. Blobs and not single n-grams are shuffled; a frequent n-gram is one entry
-per chunk. Failure weights need sums over all chunks, so the traversal counts how often each class's failure arc was
-taken, and the weights are applied at the end.
+per chunk. Failure weights need sums over all chunks, so the traversal counts how often each state's failure arc was
+taken; each chunk sends the distinct pairs it owns of each state to buckets and gets the states' totals back the same way.
 
 Cases: null text is empty (its only token is the end); null ids count by the crc of the empty text; rows that repeat
 an id are texts of their own; an empty table gives no rows; with no training text everything is scored by the empty
@@ -29,7 +28,7 @@ from .near_dedup import WordHash, words_of
 from .scratch import Scratch, crc_mod, read, text_of
 
 END, START = 0x5851F42D4C957F2D, 0x14057B7EF767814F
-CLASSES, DISCOUNT = 48, 0.6
+DISCOUNT = 0.6
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,7 +69,9 @@ class Tokens:
 
 ASKED = "bucket int, chunk int, words binary, word_counts binary, pairs binary, pair_counts binary"
 ANSWER = "chunk int, bucket int, words binary, pairs binary"
-SEEN = "kind int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, arcs double, at_root long, a array<long>, b array<long>"
+SEEN = "kind int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, arcs double, at_root long, a array<long>, b array<long>, chunk int, bucket int, states binary, owned binary"
+TOTALS = "chunk int, bucket int, distinct binary"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, arcs double, at_root long"
 
 
 def _table(rows: list[tuple], types: list, schema: str) -> pa.Table:
@@ -143,33 +144,33 @@ class BackoffAutomaton:
     def __init__(self, word_total: np.ndarray, arcs: dict[int, float], size: int):
         self.arcs, self.size = arcs, size
         self.root = np.log10(word_total + 1.0).tolist()  # less log10 of all mass, applied at the end
-        self.fail_class = np.where(word_total > 0, np.log2(np.maximum(word_total, 1)).astype(np.int64), -1).tolist()
+        self.trained = (word_total > 0).tolist()
 
     def traverse(self, state: int, words: list[int]) -> tuple[float, int, dict[int, int]]:
-        """Sum of arc weights, tokens scored at the root, and failure arcs taken by class."""
-        arcs, root, fail_class, size = self.arcs.get, self.root, self.fail_class, self.size
+        """Sum of arc weights, tokens scored at the root, and failure arcs taken by state."""
+        arcs, root, trained, size = self.arcs.get, self.root, self.trained, self.size
         total, at_root, failed = 0.0, 0, {}
         for w in words:
             weight = arcs(state * size + w)
             if weight is None:
                 total += root[w]
                 at_root += 1
-                c = fail_class[state]
-                if c >= 0:
-                    failed[c] = failed.get(c, 0) + 1
+                if trained[state]:
+                    failed[state] = failed.get(state, 0) + 1
             else:
                 total += weight
             state = w
         return total, at_root, failed
 
 
-def _score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    types = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+def _score(key: tuple, left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
+    types = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     right = right.sort_by("bucket")
     words = np.frombuffer(b"".join(right.column("words").to_pylist()), np.int64)
     pairs = np.frombuffer(b"".join(right.column("pairs").to_pylist()), np.int64)
     if not left.num_rows:  # chunk -1
-        return _table([(2, None, None, 0, 0, 0.0, 0.0, 0, [int(words.sum())], [int(pairs.sum())])], types, SEEN)
+        return _table([(2, None, None, 0, 0, 0.0, 0.0, 0, [int(words.sum())], [int(pairs.sum())], -1, -1, None, None)], types, SEEN)
+    chunk = left.column("chunk")[0].as_py()
     held = left.column("held_out").to_pylist()
     k = Tokens(left.column("text"), held)
     size = len(k.words)
@@ -178,24 +179,51 @@ def _score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     before[k.first] = k.word_of[k.n :]
     total, owner = pairs >> 1, pairs & 1
     h, w = before[k.pair_at], k.word_of[: k.n][k.pair_at]
-    classes = np.log2(np.maximum(words, 1)).astype(np.int64)
-    distinct = np.bincount(classes[h], owner, CLASSES).astype(np.int64)
-    mass = np.bincount(classes[h], k.pair_count, CLASSES).astype(np.int64)
+    owned = np.bincount(h, owner, size).astype(np.int64)
     seen = total > 0
     keys = (h[seen] * size + w[seen]).tolist()
     auto = BackoffAutomaton(words, dict(zip(keys, np.log10((total[seen] - DISCOUNT) / words[h[seen]]).tolist(), strict=True)), size)
     flat, start = k.word_of[: k.n].tolist(), k.word_of[k.n :].tolist()
     base = np.add.reduceat(np.log10(words[k.word_of[: k.n]] + 1.0), k.first)
     known = np.add.reduceat((words[k.word_of[: k.n]] > 0).astype(np.int64), k.first)
+    found = []
+    for d, i in enumerate(k.first.tolist()):
+        found.append(auto.traverse(start[d], flat[i : i + int(k.sizes[d])]))
+    wanted = owned > 0
+    wanted[[state for _, _, failed in found for state in failed]] = True
+    place = np.cumsum(wanted) - 1
     rows = []
-    for d, (i, doc_id) in enumerate(zip(k.first.tolist(), left.column("doc_id").to_pylist(), strict=True)):
-        n = int(k.sizes[d])
-        arcs, at_root, failed = auto.traverse(start[d], flat[i : i + n])
-        rows.append((0, doc_id, held[d], n, int(known[d]), float(base[d]), arcs, at_root, list(failed), list(failed.values())))
-    rows.append((1, None, None, 0, 0, 0.0, 0.0, 0, distinct.tolist(), mass.tolist()))
+    for d, (doc_id, (arcs, at_root, failed)) in enumerate(zip(left.column("doc_id").to_pylist(), found, strict=True)):
+        arcs += sum(n * float(np.log10(DISCOUNT / words[state])) for state, n in failed.items())
+        rows.append((0, doc_id, held[d], int(k.sizes[d]), int(known[d]), float(base[d]), arcs, at_root, place[list(failed)].tolist() if failed else [], list(failed.values()), chunk, None, None, None))
+    states, owned = k.words[wanted], owned[wanted]
+    edge = Tokens.edges(states, buckets)
+    for b in range(buckets):
+        part = slice(edge[b], edge[b + 1])
+        if part.stop > part.start:
+            rows.append((1, None, None, 0, 0, 0.0, 0.0, 0, None, None, chunk, b, states[part].tobytes(), _small(owned[part])))
     return _table(rows, types, SEEN)
 
 
+def _totals(t: pa.Table) -> pa.Table:
+    """Distinct training pairs of each state of a bucket, for each chunk in the order asked."""
+    h = [np.frombuffer(x, np.uint64) for x in t.column("states").to_pylist()]
+    u, inverse = np.unique(np.concatenate(h), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate([_from_small(x) for x in t.column("owned").to_pylist()]), len(u)).astype(np.int64)
+    parts = np.split(total[inverse], np.cumsum([len(x) for x in h])[:-1])
+    rows = [(c, b, _small(x)) for c, b, x in zip(t.column("chunk").to_pylist(), t.column("bucket").to_pylist(), parts, strict=True)]
+    return _table(rows, [pa.int32(), pa.int32(), pa.binary()], TOTALS)
+
+
+def _fail(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """A chunk's texts with the failure arcs' weights in ``arcs``."""
+    parts = [_from_small(x) for x in right.sort_by("bucket").column("distinct").to_pylist()]
+    weight = np.log10(np.maximum(np.concatenate(parts), 1)) if parts else np.zeros(0)
+    arcs = [x + float(weight[np.array(a, np.int64)] @ np.array(n, np.float64)) if a else x for x, a, n in zip(left.column("arcs").to_pylist(), left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True)]
+    names = [f.strip().split(" ")[0] for f in SCORED.split(",")]
+    return pa.table([pa.array(arcs, pa.float64()) if n == "arcs" else left.column(n) for n in names], names=names)
+
+
 def lm_score(docs: DataFrame, fold: int = 7, held: int = 2, chunk_bytes: int = 6 << 20) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
     scratch = Scratch(docs.sparkSession, "lm")
@@ -204,17 +232,18 @@ def lm_score(docs: DataFrame, fold: int = 7, held: int = 2, chunk_bytes: int = 6
     chunks = max(1, -(-size // chunk_bytes))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     answers = dealt.groupBy("chunk").applyInArrow(_ask(chunks), ASKED).groupBy("bucket").applyInArrow(_answer, ANSWER)
-    seen = scratch.cut(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score, SEEN), "seen")
 
-    stats = seen.where("kind = 1").select(F.posexplode(F.arrays_zip("a", "b"))).groupBy("pos").agg(F.sum("col.a"), F.sum("col.b")).collect()
-    weight = {c: float(np.log10(min(1.0, max(DISCOUNT * max(t, 1) / m, 1e-12)))) for c, t, m in stats if m}
+    def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        return _score(key, left, right, chunks)
+
+    seen = scratch.cut(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, SEEN), "seen")
+
+    totals = seen.where("kind = 1").select("chunk", "bucket", "states", "owned").groupBy("bucket").applyInArrow(_totals, TOTALS)
     whole = seen.where("kind = 2").agg(F.sum(F.element_at("a", 1)), F.sum(F.element_at("b", 1))).first()
     n, v = whole[0] or 0, whole[1] or 0
     log_all = float(np.log10(n + v + 1))
-    table = F.create_map(*(F.lit(x) for c in range(CLASSES) for x in (c, weight.get(c, 0.0))))
-    failing = F.aggregate(F.zip_with("a", "b", lambda c, k: table[c.cast("int")] * k), F.lit(0.0), lambda s, x: s + x)
-    out = seen.where("kind = 0")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * log_all).alias("base_score"), (F.col("arcs") - F.col("at_root") * log_all + failing).alias("score"))
+    out = seen.where("kind = 0").drop("states", "owned").groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(_fail, SCORED)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * log_all).alias("base_score"), (F.col("arcs") - F.col("at_root") * log_all).alias("score"))
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

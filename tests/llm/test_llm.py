@@ -274,3 +274,32 @@ def test_toxic_term_late_in_a_long_word(spark):
     learned = toxicity.training_docs(docs, labels, 50, 16, 1000)
     toxic = [windows for y, windows in learned if y]
     assert toxic and all(set(inner) <= {g for w in windows for x in w for g in toxicity.grams_of(x)} for windows in toxic)
+
+
+def test_lm_against_brute_force_backoff(spark):
+    """Scores of a skewed corpus (a passage repeated often) and the mass of each state."""
+    r = random.Random(31)
+    texts = ["boiler plate text always follows"] * 60 + [" ".join(words(r, 30)) for _ in range(20)] + [f"boiler {w} text w3 always w{i}" for i, w in enumerate(["new", "w1", "w2", "plate"] * 10)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    one, two, after = collections.Counter(), collections.Counter(), collections.defaultdict(set)
+    for i, t in enumerate(texts):
+        if not held(i):
+            w = ["^", *t.split(), "$"]
+            one.update(w)
+            two.update(zip(w, w[1:], strict=False))
+            for a, b in zip(w, w[1:], strict=False):
+                after[a].add(b)
+    n, v = sum(one.values()) - one["^"], len(one) - 1
+
+    def p(a, b):
+        if two[a, b]:
+            return (two[a, b] - 0.6) / one[a]
+        return (0.6 * len(after[a]) / one[a] if one[a] else 1.0) * (one[b] + 1) / (n + v + 1)
+
+    assert all(sum(p(a, b) for b in one if b != "^") <= 1 + 1e-9 for a in one if a != "$")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size in (300, 1 << 20):
+        got = {x.doc_id: x.score for x in lm_scoring.lm_score(docs, chunk_bytes=size).collect()}
+        for i, t in enumerate(texts):
+            w = ["^", *t.split(), "$"]
+            assert got[i] == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(w, w[1:], strict=False)), abs=1e-6)
