@@ -1,27 +1,26 @@
 """Fuzzy line dedup, with DataFrame functions only.
 
-Lines are normalised to their lower-cased words. Lines with equal words are one class. Each class gets MinHashes of the
-set of its word pairs (with both ends marked), ``BANDS`` times ``ROWS`` of them; classes meet when all MinHashes of some
-band agree, and a pair is linked if its edit similarity (1 - Levenshtein distance / longer length) is at least
-``similarity``. Nothing but the lengths, which bound that similarity, stands between meeting and comparing. Of each
-connected group of lines, the first occurrence (by document, then line) stays and all others go. Lines of fewer than
-``min_words`` words are never touched.
-
-Two lines that share a part j of their pairs meet with probability 1 - (1 - j ** ROWS) ** BANDS: 0.99 for j = 0.5, which
-is one changed word in five or two in eleven. Lines with a letter changed in most of their words can be missed.
-
-Buckets of two or three classes are known from their least, largest and xor-ed members alone, so that only the rows of
-larger ones are gathered; inside these classes are first compared with the most central one, and then only across
-components.
-
-Cases: null texts stay null; empty texts and lines stay; rows with a null id are left alone; rows that repeat an id
-share its line numbers, so equal rows lose the same lines; an empty table gives no rows; columns of other names pass
-through.
+Lines are normalised to their lower-cased words. Lines with equal words are one class. Each class gets a SimHash of
+``BLOCKS`` blocks: a word's hash deals it to one block, and the distinct words of a block vote on its 15 bits. By the
+pigeonhole principle two lines whose differing words touch at most ``BLOCKS - 2`` blocks agree in two whole blocks, so
+any two choices of blocks are a join key (with the blocks' numbers of words, ``LEAST`` or more together). Lines
+that differ in two replaced words always meet, whatever their length, if the words they share fill such a pair of
+blocks. Pairs that meet are linked if their edit similarity (1 - Levenshtein distance / longer length) is at least
+``similarity``. Of each connected group of lines, the first occurrence (by document, then line) stays and all others
+go. Lines of fewer than ``min_words`` words are never touched.
+
+The words' votes are counted in one-byte counters, eight to a long, by an aggregate that Spark combines before it
+shuffles. Buckets of two classes are known from their least and largest member alone, so that only the rows of larger
+ones are gathered; inside these classes are first compared with the most central one, and then only across components.
+
+Cases: null texts stay null; empty texts and lines stay; a row is known by its id and its text, so rows that repeat an
+id keep their own lines, rows equal in both lose the same lines, and null ids are rows like others (the last in order);
+an empty table gives no rows; columns of other names pass through, whatever they are called.
 """
 
 from __future__ import annotations
 
-import random
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,143 +28,169 @@ from pyspark.sql import functions as F
 from .graph import cross_pairs, link_buckets
 from .scratch import Scratch, if_small, read
 
-
 #: One ASCII character that is neither letter nor digit nor line feed, each named singly: Java looks such a set up in a
 #: table, which is faster than comparing with ranges.
 SEPARATORS = "[" + "".join(f"\\x{c:02x}" for c in [*range(10), *range(11, 48), *range(58, 97), *range(123, 128)]) + "]+"
 
-#: Counters of one byte hold the bits of at most so many words (their sum must stay positive).
+#: Blocks of the SimHash, and words that two blocks need to be a join key.
+BLOCKS, LEAST = 6, 3
+
+#: One-byte counters hold the votes of at most so many words (their sum must stay positive).
 CHUNK = 127
 
-#: Edits that the first, narrow comparison of two lines allows for.
-NARROW = 48
+#: Edits that the first comparisons of two lines allow for: most pairs are settled in a narrow band.
+BANDS = (16, 64, 256, 1024)
 
-#: MinHashes of a band, and bands.
-ROWS, BANDS = 2, 16
-_RANDOM = random.Random(17)
-SEEDS = [_RANDOM.randrange(-(1 << 63), 1 << 63) for _ in range(ROWS * BANDS)]
+ROW = ["doc_id", "th", "line_no"]
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, line_no, norm`` and the 128-bit identity ``c1, c2`` of the lines that take part.
+    """The lines that take part: ``doc_id, th`` (the row), ``line_no, norm, n_words`` and a 128-bit identity ``c1, c2``.
 
     ``norm`` has the line's words, lower-cased runs of letters, digits and characters beyond ASCII, with one blank
     between two. A text is normalised in one go before it is split, so that the test of a line's length, which Spark
     moves down to the generator, doesn't do that work again.
     """
     whole = F.split(F.regexp_replace(F.lower("text"), SEPARATORS, " "), "\n")
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(whole).alias("line_no", "line"))
-    norm = F.trim("line")
-    blanks = F.length(norm) - F.length(F.replace(norm, F.lit(" ")))
-    rows = rows.where((blanks >= min_words - 1) & (norm != "")).select("doc_id", "line_no", norm.alias("norm"))
+    rows = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(whole).alias("line_no", "line"))
+    rows = rows.select(*ROW, F.trim("line").alias("norm"))
+    rows = rows.select("*", (F.length("norm") - F.length(F.replace("norm", F.lit(" "))) + 1).alias("n_words"))
+    rows = rows.where((F.col("n_words") >= min_words) & (F.col("norm") != ""))
     return rows.select("*", F.xxhash64("norm").alias("c1"), F.xxhash64(F.lit(7), "norm").alias("c2"))
 
 
-def simhash(rows: DataFrame) -> DataFrame:
-    """``doc_id, line_no, c1, c2, n_chars, simhash`` of rows with ``norm``, without a shuffle.
+def _or(parts: list[Column]) -> Column:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.bitwiseOR(p)
+    return out
+
+
+def blocks(lines: DataFrame) -> DataFrame:
+    """``doc_id, th, line_no, c1, c2, n_chars``, and for each block j its code ``b{j}`` and number of words ``n{j}``.
 
-    Every chunk of a line's words is added up in eight numbers of eight one-byte counters: number i, byte j counts bit
-    8 * j + i of the words' hashes. A bit is set if more than half of the line's words have it. Lines of one chunk are
-    decided from all bytes of a number at once; longer ones add up their chunks, bit by bit.
+    The last counter of a block counts its words; a bit is set if more than half of them have it. Lines of more words
+    than a counter holds are counted in chunks, whose counters are unpacked and added up.
     """
-    zero = F.lit(0).cast("long")
+    key = [*ROW, "c1", "c2", "n_chars"]
+    zero, wide, ones = F.lit(0).cast("long"), F.lit(0x00FF00FF00FF00FF), F.lit(0x0001000100010001)
+    words = lines.select(*ROW, "c1", "c2", F.length("norm").alias("n_chars"), (F.col("n_words") > CHUNK).alias("long_line"), F.posexplode(F.array_distinct(F.split("norm", " "))).alias("at", "w"))
+    votes = words.select(*key, "long_line", F.floor(F.col("at") / CHUNK).cast("int").alias("chunk"), F.xxhash64("w").alias("h"))
+    x, y = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(0x0101010101010101)), F.shiftrightunsigned("h", 7).bitwiseAND(F.lit(0x0101010101010100)).bitwiseOR(F.lit(1))
+    votes = votes.select(*key, "long_line", "chunk", F.pmod("h", F.lit(BLOCKS)).alias("block"), x.alias("x"), y.alias("y"))
+    sums = [F.sum(F.when(F.col("block") == j, F.col(c)).otherwise(zero)).alias(f"{c}{j}") for j in range(BLOCKS) for c in "xy"]
+    counted = votes.groupBy(*key, "long_line", "chunk").agg(*sums)
 
-    def add(counters: Column, h: Column) -> Column:
-        return F.array(*[F.get(counters, F.lit(i)) + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(0x0101010101010101)) for i in range(8)])
+    def byte(c: str, i: int) -> Column:
+        return F.shiftrightunsigned(c, 8 * i).bitwiseAND(F.lit(255))
 
-    key = ["doc_id", "line_no", "c1", "c2", "n_chars"]
-    rows = rows.select(*key[:4], F.length("norm").alias("n_chars"), F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("hashes"))
-    starts = F.sequence(F.lit(1), F.size("hashes"), F.lit(CHUNK))
-    chunks = F.transform(starts, lambda at: F.aggregate(F.slice("hashes", at, F.lit(CHUNK)), F.array(*[zero] * 8), add))
-    rows = rows.select(*key, F.size("hashes").alias("n"), chunks.alias("chunks"))
+    def decided(j: int) -> list[Column]:
+        n = byte(f"y{j}", 0)
+        limit = (F.lit(255).cast("long") - F.shiftright(n, 1)) * ones
+        bits = [F.shiftleft(F.shiftrightunsigned(F.shiftrightunsigned(f"{c}{j}", s).bitwiseAND(wide) + limit, 8).bitwiseAND(ones), k) for k, (c, s) in enumerate((("x", 0), ("x", 8), ("y", 0), ("y", 8)))]
+        return [_or(bits).alias(f"b{j}"), n.cast("int").alias(f"n{j}")]
 
-    wide, ones = F.lit(0x00FF00FF00FF00FF), F.lit(0x0001000100010001)
-    limit = (F.lit(255).cast("long") - F.expr("n div 2")) * ones
-    at_once = zero
-    for i in range(8):
-        for shift in (0, 8):
-            more = F.shiftrightunsigned(F.shiftrightunsigned(F.get(F.get("chunks", F.lit(0)), F.lit(i)), shift).bitwiseAND(wide) + limit, 8).bitwiseAND(ones)
-            at_once = at_once.bitwiseOR(F.shiftleft(more, i + shift))
+    short = counted.where("NOT long_line").select(*key, *(c for j in range(BLOCKS) for c in decided(j)))
+    lanes = [(j, c, i) for j in range(BLOCKS) for c in "xy" for i in range(8)]
+    total = counted.where("long_line").groupBy(*key).agg(*(F.sum(byte(f"{c}{j}", i)).alias(f"{c}{j}_{i}") for j, c, i in lanes))
 
-    def count(bit: Column) -> Column:
-        byte = lambda c: F.call_function("shiftrightunsigned", F.get(c, bit % 8), bit - bit % 8).bitwiseAND(F.lit(255))
-        return F.aggregate("chunks", zero, lambda total, c: total + byte(c))
+    def added(j: int) -> list[Column]:
+        n = F.col(f"y{j}_0")
+        at = {("x", 0): 0, ("x", 1): 1, ("y", 0): 2, ("y", 1): 3}
+        bits = [F.when(F.col(f"{c}{j}_{i}") * 2 > n, F.lit(1 << (16 * (i // 2) + at[c, i % 2]) if 16 * (i // 2) + at[c, i % 2] < 63 else -(1 << 63)).cast("long")).otherwise(zero) for c in "xy" for i in range(8)]
+        return [_or(bits).alias(f"b{j}"), n.cast("int").alias(f"n{j}")]
 
-    bit_by_bit = F.aggregate(F.sequence(F.lit(0), F.lit(63)), zero, lambda bits, bit: F.when(count(bit) * 2 > F.col("n"), bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))).otherwise(bits))
-    return rows.select(*key, F.when(F.col("n") <= CHUNK, at_once).otherwise(bit_by_bit).alias("simhash"))
+    return short.unionByName(total.select(*key, *(c for j in range(BLOCKS) for c in added(j))))
 
 
-def sketch(rows: DataFrame) -> DataFrame:
-    """``doc_id, line_no, c1, c2, n_chars, keys`` of rows with ``norm``, without a shuffle: one key per band.
+def keys() -> Column:
+    """The join keys of a class: every two blocks with ``LEAST`` words or more."""
+    two = [F.when(F.col(f"n{i}") + F.col(f"n{j}") >= LEAST, F.xxhash64(F.lit(i * BLOCKS + j), f"b{i}", f"b{j}", f"n{i}", f"n{j}")) for i, j in combinations(range(BLOCKS), 2)]
+    return F.array_compact(F.array(*two))
 
-    A MinHash is the least of the pairs' hashes after a xor with a seed.
-    """
-    key = ["doc_id", "line_no", "c1", "c2", "n_chars"]
-    mark = F.array(F.lit(0).cast("long"))
-    rows = rows.select(*key[:4], F.length("norm").alias("n_chars"), F.concat(mark, F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)), mark).alias("hashes"))
-    n = F.size("hashes") - 1
-    rows = rows.select(*key, F.zip_with(F.slice("hashes", 1, n), F.slice("hashes", 2, n), lambda a, b: F.xxhash64(a, b)).alias("pairs"))
-    seeds = F.lit(SEEDS).cast("array<bigint>")
-    rows = rows.select(*key, F.transform(seeds, lambda seed: F.array_min(F.transform("pairs", lambda x: x.bitwiseXOR(seed)))).alias("least"))
-    return rows.select(*key, F.array(*[F.hash(*(F.get("least", F.lit(ROWS * j + i)) for i in range(ROWS))) for j in range(BANDS)]).alias("keys"))
+
+def _stripped(a: Column, b: Column) -> Column:
+    """``a`` and ``b`` without what they begin with alike, but for up to seven characters."""
+    steps = F.array(*[F.lit(1 << k) for k in range(16, 2, -1)])
+
+    def step(s: Column, n: Column) -> Column:
+        alike = (F.least(F.length(s["a"]), F.length(s["b"])) >= n) & (F.substring(s["a"], F.lit(1), n) == F.substring(s["b"], F.lit(1), n))
+        return F.when(alike, F.struct(F.substring(s["a"], n + 1, F.length(s["a"])).alias("a"), F.substring(s["b"], n + 1, F.length(s["b"])).alias("b"))).otherwise(s)
+
+    return F.aggregate(steps, F.struct(a.alias("a"), b.alias("b")), step)
+
+
+def cores(both: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``, the edits that ``similarity`` allows for (``most``), and ``s`` with the two texts ``ta, tb`` (reversed)
+    without what they begin and end with alike: that doesn't change their distance."""
+    most = F.floor((1 - similarity) * F.greatest(F.length("ta"), F.length("tb")) + 1e-9).cast("int")
+    begun = F.array(_stripped(F.col("ta"), F.col("tb")))  # a lambda's argument is worked out once
+    ended = F.transform(begun, lambda s: _stripped(F.reverse(s["a"]), F.reverse(s["b"])))
+    return both.select("a", "b", most.alias("most"), F.get(ended, F.lit(0)).alias("s"))
+
+
+#: Of ``cores``: each band is tried only if the one before left the pair open.
+SIMILAR = "abs(length(s.a) - length(s.b)) <= most AND (" + " OR ".join(f"(most > {low} AND levenshtein(s.a, s.b, {f'least(most, {high})' if high else 'most'}) >= 0)" for low, high in zip((-1, *BANDS), (*BANDS, 0), strict=True)) + ")"
 
 
 def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: float, small_rows: int) -> DataFrame:
-    """Occurrences to remove: ``doc_id, line_no``."""
-    spark = docs.sparkSession
-    occurrences = scratch.cut(sketch(lines_of(docs, min_words)), "occurrences")
-    per = occurrences.groupBy("c1", "c2").agg(F.min(F.col("doc_id")).alias("first_doc"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"), F.min("n_chars").alias("n_chars"))
-    classes = scratch.cut(per.select("*", F.monotonically_increasing_id().alias("node")), "classes")
-    keyed = classes.select(F.posexplode("keys").alias("band", "key"), "node", F.col("n_chars").alias("m")).select((F.col("band") * F.lit(1 << 32) + F.col("key")).alias("key"), "node", "m")
-    met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"), F.count(F.lit(1)).alias("size"))
-    met = scratch.cut(met.where("low <> high").withColumn("mid", F.expr("IF(size = 3, all ^ low ^ high, NULL)")), "met")
-    few = met.where("size <= 3").select(F.inline(F.expr("array(struct(low AS a, high AS b), struct(low AS a, mid AS b), struct(mid AS a, high AS b))"))).where("b IS NOT NULL AND a IS NOT NULL").distinct()
-    rows = scratch.cut(keyed.join(if_small(met.where("size > 3").select("key", "size"), small_rows), "key"), "rows")
+    """Occurrences to remove: ``doc_id, th, line_no``."""
+    lines = scratch.cut(lines_of(docs, min_words), "lines")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "line_no", "th"))
+    codes = [F.min(f"{c}{j}").alias(f"{c}{j}") for j in range(BLOCKS) for c in "bn"]
+    per = blocks(lines).groupBy("c1", "c2").agg(first.alias("first"), F.count(F.lit(1)).alias("n"), F.min("n_chars").alias("m"), *codes)
+    classes = scratch.cut(per.select("c1", "c2", "n", "m", "first", keys().alias("keys"), F.monotonically_increasing_id().alias("node")), "classes")
+    keyed = classes.select(F.explode("keys").alias("key"), "node")
+    met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
+    met = scratch.cut(met.where("low <> high"), "met")
+    two = met.where("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
+    larger = if_small(met.where("size > 2").select("key", "size"), small_rows)
+    rows = scratch.cut(classes.select(F.explode("keys").alias("key"), "node", "m").join(larger, "key"), "rows")
     alike = f"greatest(x.m, y.m) * {similarity} <= least(x.m, y.m)"
+    marks = classes.select("node", "m")
 
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
-        """``a, b`` with the edit similarity asked for. Texts are read again, of the candidates' classes only."""
-        pairs = scratch.cut(pairs, f"{tag}-pairs")
+        """``a, b`` with the edit similarity asked for. Only candidates of fitting lengths get their texts."""
+        both = pairs.join(marks.select(F.col("node").alias("a"), F.col("m").alias("ma")), "a").join(marks.select(F.col("node").alias("b"), F.col("m").alias("mb")), "b")
+        pairs = scratch.cut(both.where(f"greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), f"{tag}-pairs")
         if pairs.isEmpty():
             return pairs
-        nodes = scratch.cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(classes, "node").select("node", "c1", "c2", "first_doc"), f"{tag}-nodes")
-        wanted = if_small(nodes.select(F.col("first_doc").alias("doc_id")).distinct(), small_rows)
-        found = lines_of(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), min_words).select("c1", "c2", F.col("norm").alias("t"))
-        texts = scratch.cut(found.join(if_small(nodes, small_rows), ["c1", "c2"]).select("node", "t").dropDuplicates(["node"]), f"{tag}-texts")
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        nodes = scratch.cut(wanted.join(classes.select("node", "c1", "c2", "first.line_no", "first.th"), "node"), f"{tag}-nodes")
+        found = lines.join(if_small(nodes, small_rows), ["c1", "c2", "line_no", "th"])
+        texts = scratch.cut(found.select("node", F.col("norm").alias("t")).dropDuplicates(["node"]), f"{tag}-texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-        # A narrow band settles most pairs; only those that it leaves open need one as wide as the limit.
-        both = both.withColumn("most", F.expr(f"cast(floor({1 - similarity} * greatest(length(ta), length(tb)) + 1e-9) as int)"))
-        same = f"levenshtein(ta, tb, least(most, {NARROW})) >= 0 OR (most > {NARROW} AND levenshtein(ta, tb, most) >= 0)"
-        return scratch.cut(both.where(same).select("a", "b"), f"{tag}-links")
-
-    marks = classes.select("node", F.col("n_chars").alias("m"))
-
-    def near(pairs: DataFrame, tag: str) -> DataFrame:
-        """Pairs of lengths that allow for the edit similarity first: others need no look at their texts."""
-        both = pairs.join(marks.select(F.col("node").alias("a"), F.col("m").alias("ma")), "a").join(marks.select(F.col("node").alias("b"), F.col("m").alias("mb")), "b")
-        return confirm(both.where(f"greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), tag)
+        found = scratch.cut(cores(both, similarity), f"{tag}-cores")
+        links = scratch.cut(found.where(SIMILAR).select("a", "b"), f"{tag}-links")
+        scratch.drop(f"{tag}-nodes", f"{tag}-texts", f"{tag}-cores")
+        return links
 
-    labels = link_buckets(rows, near, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1, more_pairs=few)
-    grouped = classes.join(labels, "node", "left").select("c1", "c2", "n", F.coalesce("comp", "node").alias("grp"))
-    sizes = grouped.groupBy("grp").agg(F.sum("n").alias("all")).where("all > 1")
-    again = scratch.cut(grouped.join(sizes, "grp").select("c1", "c2", "grp"), "again")
-    repeats = scratch.cut(occurrences.join(if_small(again, small_rows), ["c1", "c2"]).select("doc_id", "line_no", "grp"), "repeats")
-    stays = repeats.groupBy("grp").agg(F.min("doc_id").alias("doc_id"))
-    stays = repeats.join(stays, ["grp", "doc_id"]).groupBy("grp", "doc_id").agg(F.min("line_no").alias("line_no"))
-    return repeats.join(stays, ["grp", "doc_id", "line_no"], "left_anti").select("doc_id", "line_no")
+    labels = link_buckets(rows, confirm, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1, more_pairs=two)
+    grouped = classes.join(labels, "node", "left").select("c1", "c2", "n", "first", F.coalesce("comp", "node").alias("grp"))
+    groups = grouped.groupBy("grp").agg(F.sum("n").alias("all"), F.min("first").alias("stays")).where("all > 1")
+    again = scratch.cut(grouped.join(groups, "grp").select("c1", "c2", "stays"), "again")
+    repeats = lines.select(*ROW, "c1", "c2").join(if_small(again, small_rows), ["c1", "c2"])
+    stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("line_no") == F.col("stays.line_no")) & (F.col("th") == F.col("stays.th"))
+    return repeats.where(~stays).select(*ROW)
 
 
 def line_dedup(docs: DataFrame, min_words: int = 5, similarity: float = 0.8, small_rows: int = 500_000) -> DataFrame:
-    """``docs`` with the columns they came with, ``text`` without the lines that go, and ``removed_lines``."""
+    """``docs`` with the columns they came with, ``text`` without the lines that go, and last the number of these:
+    ``removed_lines`` (with underscores before it if ``docs`` has that name)."""
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = line_groups(docs, scratch, min_words, similarity, small_rows)
-    per_doc = scratch.cut(gone.groupBy(F.col("doc_id").alias("gone_doc")).agg(F.sort_array(F.collect_set("line_no")).alias("gone_lines")), "gone")
-    out = docs.join(if_small(per_doc, small_rows // 5), F.col("doc_id") == F.col("gone_doc"), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone_lines"), i)), "\n")
-    text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(kept)
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return out.select(*columns, F.coalesce(F.size("gone_lines"), F.lit(0)).alias("removed_lines"))
+    gone = line_groups(docs.select("doc_id", "text"), scratch, min_words, similarity, small_rows)
+    per_doc = scratch.cut(gone.groupBy(F.col("doc_id").alias("id"), "th").agg(F.collect_set("line_no").alias("gone")), "gone")
+    scratch.release("gone")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("text").alias("row_th"))
+    out = rows.join(if_small(per_doc, small_rows // 5), F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left")
+    every = F.split("row.text", "\n")
+    left = F.sort_array(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone")))
+    kept = F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept)
+    name = "removed_lines"
+    while name in docs.columns:
+        name = "_" + name
+    return out.select(*(text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns), F.coalesce(F.size("gone"), F.lit(0)).alias(name))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

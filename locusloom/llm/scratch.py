@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -10,12 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset, a temporary folder serves a local
+    session (tests); on a cluster it must be set."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="locusloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        at = _OWN.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="locusloom-")
+        _OWN[app] = at
     return at.rstrip("/")
 
 
@@ -28,6 +36,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: list[str] = []
         atexit.register(self._remove, self.root)
 
     def path(self, name: str) -> str:
@@ -35,7 +44,8 @@ class Scratch:
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        self.names.append(name)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -43,6 +53,14 @@ class Scratch:
         for name in names:
             self._remove(self.path(name))
 
+    def release(self, *kept: str) -> None:
+        """Remove all tables but ``kept``, and let Spark delete the shuffle files of frames that are no longer held."""
+        for name in set(self.names).difference(kept):
+            self._remove(self.path(name))
+        self.names = list(kept)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def _remove(self, path: str) -> None:
         try:
             jvm = self.spark.sparkContext._jvm

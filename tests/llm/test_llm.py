@@ -182,38 +182,67 @@ def test_url_filters(spark):
     assert url_filters.judge(cap, log.limit(0)).where("decision <> 'allow'").count() == 0
 
 
-def test_simhash_against_brute_force(spark):
-    rnd, mask = random.Random(5), 2**64 - 1
-    texts = [" ".join(rnd.choice(["alpha", "beta", "gamma", "Delta,", "\u00e9t\u00e9", "42"]) + str(rnd.randrange(30)) for _ in range(n)) for n in (5, 6, 31, 126, 127, 128, 129, 254, 255, 600)]
+def test_line_blocks_against_brute_force(spark):
+    """Codes of all blocks, by counting every word's votes one by one; lines beyond one chunk of counters as well."""
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.randrange(9999)}" for _ in range(n)) for n in (5, 9, 40, 127, 128, 400, 1500)]
     rows = line_dedup.lines_of(spark.createDataFrame([(1, "\n".join(texts))], "doc_id long, text string"), 5)
-    got = {r.line_no: (r.n_chars, r.simhash & mask) for r in line_dedup.simhash(rows).collect()}
+    got = {r.line_no: r for r in line_dedup.blocks(rows).collect()}
     for k, text in enumerate(texts):
-        words = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower())
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
-        assert got[k] == (len(" ".join(words)), sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes)))
-
-
-def test_line_groups_against_brute_force(spark):
-    """Families of near-equal long lines: buckets of two, three and more classes."""
+        dealt = collections.defaultdict(list)
+        for w in set(text.split()):
+            h = xxhash.xxh64_intdigest(w.encode(), seed=42)
+            dealt[(h - (1 << 64) if h >> 63 else h) % line_dedup.BLOCKS].append(h)
+        for j in range(line_dedup.BLOCKS):
+            code, n = 0, len(dealt[j])
+            for c, shift in (("x", 6), ("y", 7)):
+                for i in range(8):
+                    votes = n if (c, i) == ("y", 0) else sum(h >> (8 * i + shift) & 1 for h in dealt[j])
+                    code |= (votes * 2 > n) << (16 * (i // 2) + i % 2 + 2 * (c == "y"))
+            assert (got[k][f"n{j}"], got[k][f"b{j}"] & ((1 << 64) - 1)) == (n, code)
+
+
+def test_line_groups(spark):
+    """Families of near-equal lines, any two of which differ in two words: one line of each stays."""
     rnd = random.Random(11)
     vocabulary = [f"w{i}" for i in range(400)]
-    lines = []
-    for copies in (1, 2, 3, 4, 9):
-        base = [rnd.choice(vocabulary) for _ in range(300)]
+    lines, first = [], set()
+    for copies, n in ((1, 300), (2, 300), (3, 40), (4, 300), (9, 60)):
+        base = [rnd.choice(vocabulary) for _ in range(n)]
+        first.add(len(lines))
         for _ in range(copies):
             w = list(base)
-            w[rnd.randrange(300)] = rnd.choice(vocabulary)
+            w[rnd.randrange(n)] = rnd.choice(vocabulary)
             lines.append(" ".join(w))
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    sims = {r.doc_id: r.simhash for r in line_dedup.simhash(line_dedup.lines_of(docs, 5)).collect()}
-    root = list(range(len(lines)))
-    for i in range(len(lines)):
-        for j in range(i):
-            if ((sims[i] ^ sims[j]) & (2**64 - 1)).bit_count() <= 3:  # these lines differ in two words at most
-                old, new = max(root[i], root[j]), min(root[i], root[j])
-                root = [new if r == old else r for r in root]
-    kept = {r.doc_id for r in line_dedup.line_dedup(docs).where("removed_lines = 0").collect()}
-    assert kept == set(root) and len(kept) < len(lines)
+    assert {r.doc_id for r in line_dedup.line_dedup(docs).where("removed_lines = 0").collect()} == first
+
+
+def test_lines_alike_by_blocks_but_not_by_letters_stay(spark):
+    """Lines that share two blocks but not four fifths of their letters are met and left alone; one letter links."""
+    rnd = random.Random(8)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmnpq"]
+    base = [rnd.sample(vocabulary, 24) for _ in range(20)]
+    block = lambda w: (lambda h: (h - (1 << 64) if h >> 63 else h) % line_dedup.BLOCKS)(xxhash.xxh64_intdigest(w.encode(), seed=42))
+    lines = [" ".join(w) for w in base]
+    for w in base:
+        lines.append(" ".join(x if block(x) < 2 else next(y for n in range(99) if block(y := x[::-1] * 3 + "z" * n) > 1) for x in w))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    keys = [set(r.k) for r in line_dedup.blocks(line_dedup.lines_of(docs, 5)).select("doc_id", line_dedup.keys().alias("k")).orderBy("doc_id").collect()]
+    assert sum(bool(keys[k] & keys[20 + k]) for k in range(20)) > 5
+    assert line_dedup.line_dedup(docs).where("removed_lines > 0").count() == 0
+    docs = docs.unionByName(spark.createDataFrame([(100 + k, x + "s") for k, x in enumerate(lines)], docs.schema))
+    assert {r.doc_id for r in line_dedup.line_dedup(docs).where("removed_lines = 1").collect()} == {100 + k for k in range(40)}
+
+
+def test_line_dedup_rows_that_repeat_an_id(spark):
+    """Rows are told apart by id and text; columns of any name pass through."""
+    line, other = "the same five words here", "a wholly different line of text"
+    rows = [(1, line, 1), (2, line, 2), (2, other, 3), (2, other, 4), (None, line, 5), (None, "words that stand in no other row", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone int").withColumn("removed_lines", F.lit("x")).withColumn("th", F.lit(0)).withColumn("id", F.lit(0))
+    got = {r.gone: r for r in line_dedup.line_dedup(docs).collect()}
+    assert [got[k].text for k in range(1, 7)] == [line, "", other, other, "", rows[5][1]]
+    assert got[2]._removed_lines == 1 and got[2].removed_lines == "x"
 
 
 def test_line_dedup(spark):
@@ -223,7 +252,7 @@ def test_line_dedup(spark):
     d = [(1, "one two three four five\n" + " ".join(long) + "\n\nshort", "k"), (2, "ONE two, three four five!\nown line of this text here", "k"), (3, " ".join(other) + "\nshort", "k"), (4, None, "k"), (5, "", "k"), (None, "one two three four five", "k")]
     got = {x.doc_id: x for x in line_dedup.line_dedup(spark.createDataFrame(d, "doc_id long, text string, key string")).collect()}
     assert got[1].text == d[0][1] and got[2].text == "own line of this text here" and got[3].text == "short"
-    assert got[4].text is None and got[5].text == "" and got[None].text == "one two three four five" and got[3].key == "k"
+    assert got[4].text is None and got[5].text == "" and got[None].text == "" and got[3].key == "k"
 
 
 def test_empty_tables(docs):
