@@ -7,28 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sweep import carried, within
 
-def clusters(t: DataFrame, by: Sequence[str], slack: int = 0) -> DataFrame:
+
+def clusters(t: DataFrame, by: Sequence[str], slack: int = 0, size: int = 4096) -> DataFrame:
     """Number the clusters of overlapping (or by ``slack`` neighbouring) closed intervals in each group: ``cluster``."""
-    w = Window.partitionBy(*by).orderBy("start", "end")
-    top = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.coalesce(F.col("start") > top + slack, F.lit(True)).cast("long")
-    return t.withColumn("_new", new).withColumn("cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    top = carried(t, by, F.col("start"), size, {"_top": F.max("end")}, "max")
+    reach = F.greatest("_top", F.max("end").over(within(by, "start", "end", to=-1)))
+    new = F.coalesce(F.col("start") > reach + slack, F.lit(True)).cast("long")
+    flagged = carried(top.withColumn("_new", new).drop("_range", "_top"), by, F.col("start"), size, {"_before": F.sum("_new")})
+    number = F.coalesce("_before", F.lit(0).cast("long")) + F.sum("_new").over(within(by, "start", "end"))
+    return flagged.withColumn("cluster", number).drop("_new", "_range", "_before")
 
 
-def depth_runs(t: DataFrame, by: Sequence[str]) -> DataFrame:
+def depth_runs(t: DataFrame, by: Sequence[str], size: int = 4096) -> DataFrame:
     """Runs of equal depth > 0 of half-open intervals: ``start, end, depth``. Events are summed per position first."""
     events = t.select(*by, F.col("start").alias("pos"), F.lit(1).alias("d")).unionByName(t.select(*by, F.col("end").alias("pos"), F.lit(-1).alias("d")))
     events = events.groupBy(*by, "pos").agg(F.sum("d").alias("d")).where("d <> 0")
-    w = Window.partitionBy(*by).orderBy("pos")
-    runs = events.select(*by, F.col("pos").alias("start"), F.lead("pos").over(w).alias("end"), F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"))
-    return runs.where("depth > 0")
+    # a range's last run ends where the next range with events begins: the negated maximum over the ranges after it
+    events = carried(carried(events, by, F.col("pos"), size, {"_d": F.sum("d")}).drop("_range"), by, -F.floor(F.col("pos") / size), 1, {"_next": F.max(-F.col("pos"))}, "max")
+    w = Window.partitionBy(*by, "_range").orderBy("pos")
+    depth = F.coalesce("_d", F.lit(0)) + F.sum("d").over(within(by, "pos"))
+    return events.select(*by, F.col("pos").alias("start"), F.coalesce(F.lead("pos").over(w), -F.col("_next")).alias("end"), depth.alias("depth")).where("depth > 0")
+
+
+def gaps(t: DataFrame, by: Sequence[str], least: int, lengths: DataFrame | None = None, size: int = 4096) -> DataFrame:
+    """Stretches ``gap_start, gap_end`` of at least ``least`` positions that no closed interval covers. With ``lengths``
+    (``by``, ``length``) also those before the first and after the last interval, in [1, length]."""
+    top = carried(t.select(*by, "start", "end"), by, F.col("start"), size, {"_top": F.max("end")}, "max")
+    reach = F.greatest("_top", F.max("end").over(within(by, "start", "end", to=-1)))
+    inner = top.select(*by, (reach + 1).alias("gap_start"), (F.col("start") - 1).alias("gap_end"))
+    if lengths is not None:
+        ends = lengths.join(t.groupBy(*by).agg(F.min("start").alias("lo"), F.max("end").alias("hi")), list(by), "left")
+        one = F.lit(1).cast("long")
+        whole = F.struct(one.alias("s"), F.col("length").alias("e"))
+        pieces = F.when(F.col("lo").isNull(), F.array(whole)).otherwise(F.array(F.struct(one.alias("s"), (F.col("lo") - 1).alias("e")), F.struct((F.col("hi") + 1).alias("s"), F.col("length").alias("e"))))
+        inner = inner.unionByName(ends.select(*by, F.inline(pieces)).toDF(*by, "gap_start", "gap_end"))
+    return inner.where(F.col("gap_end") - F.col("gap_start") + 1 >= least)
 
 
-def gaps(t: DataFrame, by: Sequence[str], least: int) -> DataFrame:
-    """Stretches of at least ``least`` positions between closed intervals that none covers."""
-    w = Window.partitionBy(*by).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    return t.select(*by, (F.max("end").over(w) + 1).alias("gap_start"), (F.col("start") - 1).alias("gap_end")).where(F.col("gap_end") - F.col("gap_start") + 1 >= least)
+def depth_profile(runs: DataFrame, lengths: DataFrame, by: Sequence[str], width: int = 10_000) -> DataFrame:
+    """The least depth of every window of ``width`` positions of [1, length]: ``bin, depth``; windows that no run of
+    ``runs`` (half-open, 1-based ``start``, ``end``, ``depth``) fully covers have 0."""
+    bins = lengths.select(*by, "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / width))).alias("bin"))
+    r = runs.select(*by, "start", "end", "depth", F.explode(F.sequence(F.floor((F.col("start") - 1) / width), F.floor((F.col("end") - 2) / width))).alias("bin"))
+    low = r.groupBy(*by, "bin").agg(F.min("depth").alias("low"), F.sum(F.least(F.col("end"), (F.col("bin") + 1) * width + 1) - F.greatest(F.col("start"), F.col("bin") * width + 1)).alias("seen"))
+    size = F.least(F.col("length"), (F.col("bin") + 1) * width) - F.col("bin") * width
+    zero = F.lit(0).cast("long")
+    return bins.join(low, [*by, "bin"], "left").select(*by, "bin", F.when(F.col("seen") >= size, F.col("low").cast("long")).otherwise(zero).alias("depth"))
 
 
 def log_evidence(col: str, penalty: float = 0.01):

@@ -143,6 +143,6 @@ ORACLES = {
     "evidence_merge": """SELECT p_partkey AS transcript_id, hits, best, reads FROM part LEFT JOIN (SELECT l_partkey, count(*) AS hits, max(l_extendedprice) AS best FROM lineitem WHERE l_quantity > 45 GROUP BY 1) h ON h.l_partkey = p_partkey
       LEFT JOIN (SELECT l_partkey, sum(l_quantity::BIGINT)::BIGINT AS reads FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r ON r.l_partkey = p_partkey""",
     "outer_feature_merge": """SELECT gene_id, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(c, 0) AS c FROM (SELECT l_suppkey AS gene_id, count(*) AS a FROM lineitem WHERE l_quantity > 48 GROUP BY 1)
-      FULL JOIN (SELECT l_suppkey AS gene_id, count(*) AS b FROM lineitem WHERE l_discount > 0.08 GROUP BY 1) USING (gene_id) FULL JOIN (SELECT s_suppkey AS gene_id, 1::BIGINT AS c FROM supplier WHERE s_suppkey % 3 = 0) USING (gene_id)""",
+      FULL JOIN (SELECT l_suppkey AS gene_id, count(*) AS b FROM lineitem WHERE l_discount > 0.08 GROUP BY 1) USING (gene_id) FULL JOIN (SELECT s_suppkey AS gene_id, 1::BIGINT AS c FROM supplier) USING (gene_id)""",
     "mean_across_samples": "SELECT user_id, round(count(*) / (SELECT count(DISTINCT event_type) FROM events), 6) AS mean FROM events GROUP BY 1",
 }

@@ -91,8 +91,7 @@ def peptide_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def locus_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = cds(spark, sf_dir).where("end - start >= 40")
-    k = loci.clusters(c, ["chrom", "strand"])
+    k = loci.clusters(cds(spark, sf_dir), ["chrom", "strand"])
     return k.groupBy("chrom", "strand", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start"), F.max("end").alias("end"))
 
 
@@ -147,13 +146,13 @@ ORACLES = {
     "revcomp": """WITH d AS (SELECT doc_id, regexp_replace(upper(regexp_replace(text, '[^ATCGatcg]', 'N', 'g')), 'N', '', 'g') AS s FROM documents)
       SELECT doc_id, sha256(translate(reverse(s), 'ACGT', 'TGCA')) AS rc, (SELECT min(p) FROM (SELECT unnest(range(1, strlen(s) - 1, 3)) AS p) WHERE s[p:p+2] IN ('TAA', 'TAG', 'TGA')) AS stop, s[4:6] AS codon FROM d""",
     "peptide_qc": "WITH d AS (SELECT doc_id, regexp_replace(text, '[ .]', '*', 'g') AS p FROM documents) SELECT doc_id, length(replace(p, '*', '')) AS aa_len, (contains(p[:-2], '*'))::INT AS internal_stop, (length(replace(p, '*', '')) < 100)::INT AS short_orf FROM d",
-    "locus_clusters": f"""WITH {CDS_SQL}, x AS (SELECT *, max("end") OVER (PARTITION BY chrom, strand ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM cds WHERE "end" - "start" >= 40),
+    "locus_clusters": f"""WITH {CDS_SQL}, x AS (SELECT *, max("end") OVER (PARTITION BY chrom, strand ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM cds),
       y AS (SELECT *, (sum(CASE WHEN m IS NULL OR "start" > m THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING))::BIGINT AS cluster FROM x)
       SELECT chrom, strand, cluster, count(*) AS n, min("start") AS "start", max("end") AS "end" FROM y GROUP BY 1, 2, 3""",
     "depth_sweep": f"""WITH {FEATURES_SQL}, e AS (SELECT chrom, strand, pos, sum(d) AS d FROM (SELECT chrom, strand, "start" AS pos, 1 AS d FROM features UNION ALL SELECT chrom, strand, "end", -1 FROM features) GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
       r AS (SELECT chrom, strand, pos, lead(pos) OVER w AS nxt, (sum(d) OVER (PARTITION BY chrom, strand ORDER BY pos))::BIGINT AS depth FROM e WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos))
       SELECT chrom, strand, count(*) AS runs, max(depth) AS deepest, sum(depth * (nxt - pos))::BIGINT AS bases FROM r WHERE depth > 0 GROUP BY 1, 2""",
-    "zero_gaps": f"""WITH {CDS_SQL}, x AS (SELECT chrom, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 AS gap_start, "start" - 1 AS gap_end FROM cds WHERE gene % 40 = 0)
+    "zero_gaps": f"""WITH {CDS_SQL}, x AS (SELECT chrom, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 AS gap_start, "start" - 1 AS gap_end FROM cds)
       SELECT chrom, gap_start, gap_end FROM x WHERE gap_end - gap_start + 1 >= 10""",
     "evidence_score": """WITH s AS (SELECT l_partkey AS locus, 's' || l_linenumber AS source, round(sum(log10(CASE WHEN l_quantity % 7 = 0 THEN 0.01 ELSE l_quantity % 7 END) + 1), 6) AS score FROM lineitem GROUP BY 1, 2)
       SELECT locus, source, score FROM (SELECT *, row_number() OVER (PARTITION BY locus ORDER BY score DESC NULLS LAST, source) AS rn FROM s) WHERE rn = 1""",
