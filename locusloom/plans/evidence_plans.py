@@ -57,13 +57,13 @@ def pseudogene_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rescue_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = evidence(spark, sf_dir).select("*", ((F.col("transcript_id") * 61 % 101) / 100).alias("prob"), (F.col("blast_pident") > 60).alias("blast"), (F.col("transcript_id") % 19 == 0).alias("busco"))
+    t = evidence(spark, sf_dir).select("*", ((F.col("transcript_id") * 61 % 101) / 100).alias("prob"), (F.col("transcript_id") % 19 == 0).alias("busco"))
     return t.select("transcript_id", ev.rescue_tier().alias("tier"))
 
 
 def soft_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = evidence(spark, sf_dir).select("transcript_id", F.coalesce("rex_pident", F.lit(0.0)).alias("rex"), F.coalesce("repeat", F.lit(0.0)).alias("repeat"), F.coalesce("lnc", F.lit(0.0)).alias("lnc"), (F.col("transcript_id") % 23 == 0).cast("int").alias("internal_stop"), (F.col("transcript_id") % 29 == 0).cast("int").alias("short_orf"), F.coalesce("pfam", F.lit(False)).alias("keep"))
-    cut = ev.quantile_cutoffs(t, "repeat")
+    t = evidence(spark, sf_dir).select("transcript_id", F.coalesce("rex_pident", F.lit(0.0)).alias("rex"), F.coalesce("repeat", F.lit(0.0)).alias("repeat"), F.coalesce("lnc", F.lit(0.0)).alias("lnc"), (F.col("transcript_id") % 23 == 0).cast("int").alias("internal_stop"), (F.col("transcript_id") % 29 == 0).cast("int").alias("short_orf"), (F.coalesce("pfam", F.lit(False)) | (F.coalesce("blast_pident", F.lit(0.0)) > 50)).alias("keep"))
+    cut = ev.quantile_cutoffs(t, "repeat", floor_high=0.05)
     return t.crossJoin(F.broadcast(cut)).select("transcript_id", ev.soft_vote(F.col("p_high"), F.col("keep")).alias("vote"))
 
 
@@ -94,7 +94,7 @@ def evidence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read(spark, sf_dir, "lineitem")
     hits = l.where("l_quantity > 45").groupBy(F.col("l_partkey").alias("transcript_id")).agg(F.count(F.lit(1)).alias("hits"), F.max("l_extendedprice").alias("best"))
     reads = l.where("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("transcript_id")).agg(F.sum(F.col("l_quantity").cast("long")).alias("reads"))
-    return p.join(hits, "transcript_id", "left").join(reads, "transcript_id", "left").select("transcript_id", "hits", "best", "reads")
+    return ev.merge_evidence(p, [hits, reads]).select("transcript_id", "hits", "best", "reads")
 
 
 def outer_feature_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,17 +103,14 @@ def outer_feature_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = l.where("l_quantity > 48").groupBy(F.col("l_suppkey").alias("gene_id")).agg(F.count(F.lit(1)).alias("a"))
     b = l.where("l_discount > 0.08").groupBy(F.col("l_suppkey").alias("gene_id")).agg(F.count(F.lit(1)).alias("b"))
     c = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("gene_id"), F.lit(1).cast("long").alias("c"))
-    t = a.join(b, "gene_id", "full_outer").join(c, "gene_id", "full_outer")
-    zero = F.lit(0).cast("long")
-    return t.select("gene_id", *(F.coalesce(x, zero).alias(x) for x in "abc"))
+    return ev.merge_features([a, b, c])
 
 
 def mean_across_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean per id over all samples; samples without the id count as 0."""
     e = read(spark, sf_dir, "events")
     n = e.agg(F.count_distinct("event_type").alias("n"))
-    g = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("k"))
-    return g.crossJoin(F.broadcast(n)).select("user_id", F.round(F.col("k") / F.col("n"), 6).alias("mean"))
+    return ev.mean_over_samples(e, "user_id", F.lit(1), n).select("user_id", F.round("mean", 6).alias("mean"))
 
 
 QUERIES = {f.__name__: f for f in (threshold_flags, seed_labels, discard_reason, pseudogene_rules, rescue_tiers, soft_vote, quantile_cutoffs, pr_curve, best_hit_bitscore, te_only_domains, evidence_merge, outer_feature_merge, mean_across_samples)}
@@ -127,13 +124,13 @@ ORACLES = {
     "seed_labels": f"WITH {EV}, {FLAGS}, {LABEL} SELECT transcript_id, label FROM lb",
     "discard_reason": f"WITH {EV}, {FLAGS}, {LABEL} SELECT CASE WHEN rex_pident > 0 THEN 'TE_related' WHEN lnc > 0.5 THEN 'lncRNA' ELSE 'pseudogene' END AS reason, count(*) AS n FROM lb WHERE label = 'Discard' GROUP BY 1",
     "pseudogene_rules": f"""WITH {EV} SELECT transcript_id, CASE WHEN transcript_id % 17 = 0 THEN NULL
-      WHEN single_exon AND transcript_id % 5 <> 0 AND transcript_id % 6 >= 2 AND coalesce(tpm, 0) < 5 AND pfam IS NULL THEN 'C'
       WHEN transcript_id % 4 >= 2 AND coalesce(tpm, 0) < 5 AND pfam IS NULL THEN 'B'
+      WHEN single_exon AND transcript_id % 5 <> 0 AND transcript_id % 6 >= 2 AND coalesce(tpm, 0) < 5 AND pfam IS NULL THEN 'C'
       WHEN coalesce(tpm, 0) = 0 AND pfam IS NULL AND coalesce(coverage, 0) < 0.5 AND blast_pident IS NOT NULL THEN 'A' END AS reason FROM ev""",
-    "rescue_tiers": f"""WITH {EV} SELECT transcript_id, CASE WHEN (transcript_id * 61 % 101) / 100.0 > 0.6 AND NOT (coalesce(rex_pident, 0) > 0 AND NOT coalesce(blast_pident > 60, false)) THEN 'classifier'
+    "rescue_tiers": f"""WITH {EV} SELECT transcript_id, CASE WHEN (transcript_id * 61 % 101) / 100.0 > 0.6 AND NOT (coalesce(rex_pident, 0) > 0 AND NOT coalesce(blast_pident > 0, false)) THEN 'classifier'
       WHEN coalesce(pfam, false) AND coalesce(repeat, 0) <= 0.5 AND coalesce(rex_pident, 0) = 0 THEN 'domain' WHEN transcript_id % 19 = 0 THEN 'busco' ELSE 'none' END AS tier FROM ev""",
-    "soft_vote": f"""WITH {EV}, q AS (SELECT quantile_cont(coalesce(repeat, 0)::DOUBLE, 0.95) AS h FROM ev)
-      SELECT transcript_id, CASE WHEN (coalesce(rex_pident, 0) > 0 AND coalesce(repeat, 0) >= h) OR coalesce(lnc, 0) >= 0.6 OR transcript_id % 23 = 0 OR transcript_id % 29 = 0 THEN 'drop' WHEN pfam THEN 'keep' ELSE 'unsure' END AS vote FROM ev, q""",
+    "soft_vote": f"""WITH {EV}, q AS (SELECT greatest(0.05, quantile_cont(coalesce(repeat, 0)::DOUBLE, 0.95)) AS h FROM ev)
+      SELECT transcript_id, CASE WHEN (coalesce(rex_pident, 0) > 0 AND coalesce(repeat, 0) >= h) OR coalesce(lnc, 0) >= 0.6 OR transcript_id % 23 = 0 OR transcript_id % 29 = 0 THEN 'drop' WHEN pfam OR coalesce(blast_pident, 0) > 50 THEN 'keep' ELSE 'unsure' END AS vote FROM ev, q""",
     "quantile_cutoffs": f"WITH {EV} SELECT round(quantile_cont(coverage::DOUBLE, 0.05), 6) AS p_low, round(quantile_cont(coverage::DOUBLE, 0.95), 6) AS p_high FROM ev",
     "pr_curve": f"""WITH {EV}, g AS (SELECT coverage::DOUBLE AS score, sum(coalesce(pfam, false)::INT)::BIGINT AS p, count(*) AS n FROM ev WHERE coverage IS NOT NULL GROUP BY 1),
       c AS (SELECT score, (sum(p) OVER (ORDER BY score DESC))::BIGINT AS tp, (sum(n) OVER (ORDER BY score DESC))::BIGINT AS seen, (SELECT sum(p) FROM g) AS allp FROM g)
