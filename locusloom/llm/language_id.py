@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scratch import crc_mod, read
 
@@ -124,7 +125,7 @@ def training_windows(docs: DataFrame, per_lang: int, per_doc: int, fold: int) ->
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
             yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], names=["doc_id", "lang", "k", "x"])
 
-    got = chosen.mapInArrow(run, "doc_id long, lang string, k int, x binary").limit(4 * per_lang * per_doc * len(counts)).collect()
+    got = chosen.mapInArrow(run, "doc_id long, lang string, k int, x binary").collect()
     got.sort(key=lambda r: (r.doc_id or 0, r.k, r.x))
     classes = sorted({r.lang for r in got})
     return classes, np.frombuffer(b"".join(r.x for r in got), np.uint8).reshape(-1, WINDOW), np.array([classes.index(r.lang) for r in got], np.int64)
@@ -135,9 +136,10 @@ def train(docs: DataFrame, per_lang: int = 800, per_doc: int = 3, fold: int = 5)
     return ByteConv(classes).fit(x, y) if classes else ByteConv([])
 
 
-def predict(docs: DataFrame, model: ByteConv, fold: int = 5) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every whole text."""
+def predict_rows(docs: DataFrame, model: ByteConv) -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``), ``lang_pred`` and ``score`` of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -156,10 +158,16 @@ def predict(docs: DataFrame, model: ByteConv, fold: int = 5) -> DataFrame:
                     p /= p.sum(axis=1, keepdims=True)
                     best[known], score[known] = p.argmax(axis=1)[known], p.max(axis=1)[known]
                 names = [m.classes[k] if k >= 0 else "und" for k in best]
-                yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+                yield pa.record_batch([b.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
+
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
-    out = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
-    return out.select("doc_id", (crc_mod("doc_id", fold) == 0).alias("held_out"), "lang_pred", "score")
+
+def predict(docs: DataFrame, model: ByteConv, fold: int = 5) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` of every whole text."""
+    out = predict_rows(docs.select("doc_id", "text"), model)
+    return out.select(F.col("row.doc_id").alias("doc_id"), (crc_mod("row.doc_id", fold) == 0).alias("held_out"), "lang_pred", "score")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,9 @@
 Lines are normalised to their lower-cased words. Lines with equal words are one class. Each class gets a SimHash of
 ``BLOCKS`` blocks: a word's hash deals it to one block, and the distinct words of a block vote on its 15 bits. By the
 pigeonhole principle two lines whose differing words touch at most ``BLOCKS - 2`` blocks agree in two whole blocks, so
-any two choices of blocks are a join key (with the blocks' numbers of words, ``LEAST`` or more together). Lines
-that differ in two replaced words always meet, whatever their length, if the words they share fill such a pair of
-blocks. Pairs that meet are linked if their edit similarity (1 - Levenshtein distance / longer length) is at least
+any two choices of blocks are a join key (with the blocks' numbers of words, ``LEAST`` or more together; below
+``FEW``, also with the line's). Lines that differ in two replaced words always meet, whatever their length, if the words
+they share fill such a pair of blocks. Pairs that meet are linked if their edit similarity (1 - Levenshtein distance / longer length) is at least
 ``similarity``. Of each connected group of lines, the first occurrence (by document, then line) stays and all others
 go. Lines of fewer than ``min_words`` words are never touched.
 
@@ -32,8 +32,9 @@ from .scratch import Scratch, if_small, read
 #: table, which is faster than comparing with ranges.
 SEPARATORS = "[" + "".join(f"\\x{c:02x}" for c in [*range(10), *range(11, 48), *range(58, 97), *range(123, 128)]) + "]+"
 
-#: Blocks of the SimHash, and words that two blocks need to be a join key.
-BLOCKS, LEAST = 6, 3
+#: Blocks of the SimHash, words that two blocks need to be a join key, and words below which the key also has the number
+#: of the line's distinct words.
+BLOCKS, LEAST, FEW = 6, 3, 6
 
 #: One-byte counters hold the votes of at most so many words (their sum must stay positive).
 CHUNK = 127
@@ -104,9 +105,16 @@ def blocks(lines: DataFrame) -> DataFrame:
 
 
 def keys() -> Column:
-    """The join keys of a class: every two blocks with ``LEAST`` words or more."""
-    two = [F.when(F.col(f"n{i}") + F.col(f"n{j}") >= LEAST, F.xxhash64(F.lit(i * BLOCKS + j), f"b{i}", f"b{j}", f"n{i}", f"n{j}")) for i, j in combinations(range(BLOCKS), 2)]
-    return F.array_compact(F.array(*two))
+    """The join keys of a class: every two blocks with ``LEAST`` words or more. Few words say little, so they only count
+    among lines of equally many distinct words."""
+    all_words = sum((F.col(f"n{j}").cast("int") for j in range(1, BLOCKS)), F.col("n0").cast("int"))
+
+    def key(i: int, j: int) -> Column:
+        n = F.col(f"n{i}").cast("int") + F.col(f"n{j}").cast("int")
+        size = F.when(n < FEW, all_words).otherwise(F.lit(0))
+        return F.when(n >= LEAST, F.xxhash64(F.lit(i * BLOCKS + j), f"b{i}", f"b{j}", F.col(f"n{i}").cast("int"), F.col(f"n{j}").cast("int"), size))
+
+    return F.array_compact(F.array(*(key(i, j) for i, j in combinations(range(BLOCKS), 2))))
 
 
 def _stripped(a: Column, b: Column) -> Column:
@@ -139,13 +147,15 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: f
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "line_no", "th"))
     codes = [F.min(f"{c}{j}").alias(f"{c}{j}") for j in range(BLOCKS) for c in "bn"]
     per = blocks(lines).groupBy("c1", "c2").agg(first.alias("first"), F.count(F.lit(1)).alias("n"), F.min("n_chars").alias("m"), *codes)
-    classes = scratch.cut(per.select("c1", "c2", "n", "m", "first", keys().alias("keys"), F.monotonically_increasing_id().alias("node")), "classes")
-    keyed = classes.select(F.explode("keys").alias("key"), "node")
+    classes = scratch.cut(per.select("c1", "c2", "n", "m", "first", *(f"b{j}" for j in range(BLOCKS)), *(F.col(f"n{j}").cast("smallint").alias(f"n{j}") for j in range(BLOCKS)), F.monotonically_increasing_id().alias("node")), "classes")
+    scratch.sweep()
+    keyed = classes.select(F.explode(keys()).alias("key"), "node")
     met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
     met = scratch.cut(met.where("low <> high"), "met")
+    scratch.sweep()
     two = met.where("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
     larger = if_small(met.where("size > 2").select("key", "size"), small_rows)
-    rows = scratch.cut(classes.select(F.explode("keys").alias("key"), "node", "m").join(larger, "key"), "rows")
+    rows = scratch.cut(classes.select(F.explode(keys()).alias("key"), "node", "m").join(larger, "key"), "rows")
     alike = f"greatest(x.m, y.m) * {similarity} <= least(x.m, y.m)"
     marks = classes.select("node", "m")
 
@@ -163,6 +173,7 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: f
         found = scratch.cut(cores(both, similarity), f"{tag}-cores")
         links = scratch.cut(found.where(SIMILAR).select("a", "b"), f"{tag}-links")
         scratch.drop(f"{tag}-nodes", f"{tag}-texts", f"{tag}-cores")
+        scratch.sweep()
         return links
 
     labels = link_buckets(rows, confirm, lambda labels: cross_pairs(rows, labels, alike), scratch, rounds=1, more_pairs=two)
@@ -174,7 +185,7 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: f
     return repeats.where(~stays).select(*ROW)
 
 
-def line_dedup(docs: DataFrame, min_words: int = 5, similarity: float = 0.8, small_rows: int = 500_000) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = 5, similarity: float = 0.8, small_rows: int = 20_000) -> DataFrame:
     """``docs`` with the columns they came with, ``text`` without the lines that go, and last the number of these:
     ``removed_lines`` (with underscores before it if ``docs`` has that name)."""
     scratch = Scratch(docs.sparkSession, "lines")
@@ -182,10 +193,10 @@ def line_dedup(docs: DataFrame, min_words: int = 5, similarity: float = 0.8, sma
     per_doc = scratch.cut(gone.groupBy(F.col("doc_id").alias("id"), "th").agg(F.collect_set("line_no").alias("gone")), "gone")
     scratch.release("gone")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("text").alias("row_th"))
-    out = rows.join(if_small(per_doc, small_rows // 5), F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left")
+    out = rows.join(if_small(per_doc, small_rows), F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left")
     every = F.split("row.text", "\n")
-    left = F.sort_array(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone")))
-    kept = F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n")
+    left = lambda e: F.sort_array(F.array_except(F.sequence(F.lit(0), F.size(e) - 1), F.col("gone")))
+    kept = F.get(F.transform(F.array(every), lambda e: F.array_join(F.transform(left(e), lambda i: F.get(e, i)), "\n")), F.lit(0))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept)
     name = "removed_lines"
     while name in docs.columns:

@@ -6,6 +6,7 @@ import atexit
 import gc
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder to cut lineage; a lost executor costs no more than a reread.
 
-    They go when the session's process ends, or earlier with :meth:`drop`.
+    They go when the session's process ends, or earlier with :meth:`drop` and :meth:`release`.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    _live: weakref.WeakSet = weakref.WeakSet()
+
+    def __init__(self, spark: SparkSession, name: str, lasting: bool = False):
+        self.spark, self.lasting = spark, lasting
+        Scratch._live.add(self)
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.names: list[str] = []
         atexit.register(self._remove, self.root)
@@ -58,6 +62,19 @@ class Scratch:
         for name in set(self.names).difference(kept):
             self._remove(self.path(name))
         self.names = list(kept)
+        self.sweep()
+
+    def alone(self) -> None:
+        """Remove the tables of all other operators of the session that aren't ``lasting``: nothing reads them any more."""
+        for other in list(Scratch._live):
+            if other is not self and other.spark is self.spark and not other.lasting:
+                for name in other.names:
+                    other._remove(other.path(name))
+                other.names = []
+        self.sweep()
+
+    def sweep(self) -> None:
+        """Let Spark delete the shuffle files of frames that are no longer held, once their results are written."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
