@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 
 def carried(t: DataFrame, by: Sequence[str], at: Column, size: int, totals: dict[str, Column], carry: str = "sum") -> DataFrame:
-    """``t`` with ``_range`` and, for each of ``totals``, the sum (or ``max``) over all earlier ranges of its group."""
+    """``t`` with ``_range`` and, for each of ``totals``, the sum (or ``max``; names that end in ``_max`` always have that)
+    over all earlier ranges of its group."""
     t = t.withColumn("_range", F.floor(at / size))
     per = t.groupBy(*by, "_range").agg(*(c.alias(k) for k, c in totals.items()))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    f = F.max if carry == "max" else F.sum
     keys = [*by, "_range"]
-    per = per.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *(f(k).over(before).alias(k) for k in totals))
+    per = per.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *((F.max if carry == "max" or k.endswith("_max") else F.sum)(k).over(before).alias(k) for k in totals))
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     cond = on[0]
     for c in on[1:]:
@@ -42,22 +42,13 @@ def profile(b: DataFrame, by: Sequence[str], points: DataFrame, start: str = "b_
     events = events.groupBy(*by, "pos").agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
     marks = points.select(*by, "pos").distinct().select("*", zero.alias("s"), zero.alias("e"))
     steps = events.unionByName(marks).groupBy(*by, "pos").agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
-    steps = carried(steps, by, F.col("pos"), size, {"_s0": F.sum("s"), "_e0": F.sum("e")})
-    here = within(by, "pos")
+    steps = carried(steps, by, F.col("pos"), size, {"_s0": F.sum("s"), "_e0": F.sum("e"), "_p_max": F.max("pos")})
+    here, inside = within(by, "pos"), Window.partitionBy(*by, "_range").orderBy("pos")
     begun, ended = F.coalesce("_s0", zero) + F.sum("s").over(here), F.coalesce("_e0", zero) + F.sum("e").over(here)
-    steps = steps.select(*by, "pos", "_range", (begun - F.col("s")).alias("begun"), ended.alias("ended"), (begun - ended).alias("depth"))
-    # the first stretch of a range reaches back into the range before: its depth is that of the last position there
-    first = steps.groupBy(*by, "_range").agg(F.max_by("depth", "pos").alias("d"), F.max("pos").alias("p"))
-    w = Window.partitionBy(*by).orderBy("_range")
-    last = first.select(*(F.col(k).alias(f"_l_{k}") for k in by), F.col("_range").alias("_l_range"), F.lag("d").over(w).alias("_d"), F.lag("p").over(w).alias("_p"))
-    on = F.col("_range") == F.col("_l_range")
-    for k in by:
-        on = on & F.col(k).eqNullSafe(F.col(f"_l_{k}"))
-    steps = steps.join(last, on).drop("_l_range", *(f"_l_{k}" for k in by))
-    inside = Window.partitionBy(*by, "_range").orderBy("pos")
-    d, p = F.coalesce(F.lag("depth").over(inside), "_d"), F.coalesce(F.lag("pos").over(inside), "_p")
-    gain = F.coalesce(F.col("pos") - p, zero)
-    steps = steps.select(*by, "pos", "begun", "ended", F.when(d > 0, gain).otherwise(zero).alias("g"), F.coalesce(d * gain, zero).alias("h"))
+    # between the last position and this one, the depth is what had begun and not ended before this one
+    d = begun - ended - F.col("s") + F.col("e")
+    gain = F.coalesce(F.col("pos") - F.coalesce(F.lag("pos").over(inside), "_p_max"), zero)
+    steps = steps.select(*by, "pos", (begun - F.col("s")).alias("begun"), ended.alias("ended"), F.when(d > 0, gain).otherwise(zero).alias("g"), (d * gain).alias("h"))
     steps = carried(steps, by, F.col("pos"), size, {"_g0": F.sum("g"), "_h0": F.sum("h")})
     return steps.select(*by, "pos", "begun", "ended", (F.coalesce("_g0", zero) + F.sum("g").over(here)).alias("covered"), (F.coalesce("_h0", zero) + F.sum("h").over(here)).alias("bases"))
 
