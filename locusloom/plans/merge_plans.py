@@ -10,18 +10,18 @@ from .adapters import read
 
 #: Genes of two sets, with protein hits. Positions are spread so that a gene meets a few of the other set.
 SETS_SQL = """
-a AS (SELECT 'a' || o_orderkey AS gene, 'c' || (o_orderkey % 7) AS chrom, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, (o_orderkey * 37 % 900000)::BIGINT AS s, (o_orderkey * 37 % 900000 + 100 + o_custkey % 400)::BIGINT AS e, (o_custkey % 6)::BIGINT AS n_cds, CASE WHEN o_orderkey % 5 > 0 THEN pow(10.0, -(o_custkey % 12)) END AS ev, (o_custkey % 90)::BIGINT AS len FROM orders),
-b AS (SELECT 'b' || o_orderkey AS gene, 'c' || (o_orderkey % 7) AS chrom, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, ((o_orderkey * 37 + o_custkey % 300) % 900000)::BIGINT AS s, ((o_orderkey * 37 + o_custkey % 300) % 900000 + 100 + o_custkey * 7 % 900)::BIGINT AS e, (o_custkey % 5)::BIGINT AS n_cds, CASE WHEN o_orderkey % 6 > 0 THEN pow(10.0, -(o_custkey % 11)) END AS ev, (o_custkey % 80)::BIGINT AS len, o_orderkey AS line_no FROM orders WHERE o_orderkey % 3 <> 1)"""
+a AS (SELECT 'a' || o_orderkey AS gene, 'c' || (o_orderkey % 7) AS chrom, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, (o_orderkey * 37 % 900000)::BIGINT AS s, (o_orderkey * 37 % 900000 + 100 + o_custkey % 400)::BIGINT AS e, (o_custkey % 6)::BIGINT AS n_cds, CASE WHEN o_orderkey % 5 > 0 THEN pow(7.0, -(o_custkey % 12)) END AS ev, (o_custkey % 90)::BIGINT AS len FROM orders),
+b AS (SELECT 'b' || o_orderkey AS gene, 'c' || (o_orderkey % 7) AS chrom, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, ((o_orderkey * 37 + o_custkey % 300) % 900000)::BIGINT AS s, ((o_orderkey * 37 + o_custkey % 300) % 900000 + 100 + o_custkey * 7 % 900)::BIGINT AS e, (o_custkey % 5)::BIGINT AS n_cds, CASE WHEN o_orderkey % 6 > 0 THEN pow(7.0, -(o_custkey % 11)) END AS ev, (o_custkey % 80)::BIGINT AS len, o_orderkey AS line_no FROM orders WHERE o_orderkey % 3 <> 1)"""
 
 
 def _sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     o = read(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     place = [F.concat(F.lit("c"), (k % 7).cast("string")).alias("chrom"), F.when(k % 2 == 0, "+").otherwise("-").alias("strand")]
-    ten = F.lit(10.0)
+    base = F.lit(7.0)
     sa, sb = k * 37 % 900_000, (k * 37 + c % 300) % 900_000
-    a = o.select(F.concat(F.lit("a"), k.cast("string")).alias("gene"), *place, sa.alias("start"), (sa + 100 + c % 400).alias("end"), (c % 6).alias("n_cds"), F.when(k % 5 > 0, F.pow(ten, -(c % 12))).alias("evalue"), (c % 90).alias("length"))
-    b = o.where("o_orderkey % 3 <> 1").select(F.concat(F.lit("b"), k.cast("string")).alias("gene"), *place, sb.alias("start"), (sb + 100 + c * 7 % 900).alias("end"), (c % 5).alias("n_cds"), F.when(k % 6 > 0, F.pow(ten, -(c % 11))).alias("evalue"), (c % 80).alias("length"), k.alias("line_no"))
+    a = o.select(F.concat(F.lit("a"), k.cast("string")).alias("gene"), *place, sa.alias("start"), (sa + 100 + c % 400).alias("end"), (c % 6).alias("n_cds"), F.when(k % 5 > 0, F.pow(base, -(c % 12))).alias("evalue"), (c % 90).alias("length"))
+    b = o.where("o_orderkey % 3 <> 1").select(F.concat(F.lit("b"), k.cast("string")).alias("gene"), *place, sb.alias("start"), (sb + 100 + c * 7 % 900).alias("end"), (c % 5).alias("n_cds"), F.when(k % 6 > 0, F.pow(base, -(c % 11))).alias("evalue"), (c % 80).alias("length"), k.alias("line_no"))
     hit = lambda t: t.where("evalue IS NOT NULL").select("gene", "evalue", "length")
     return a, b, hit(a), hit(b)
 
