@@ -45,7 +45,7 @@ def _encoder(tokenizer_json: str, cache_size: int = 400_000):
         tails, hard = {}, []
         for w in words:
             core, tail = w, ""
-            if len(w) > 1 and w[-1] in ".," and w[-2].isalnum():
+            if len(w) > 1 and w[-1] in ".," and w[-2].isalnum() and w[-2].lower().isalnum():  # not of a letter that lower case makes two
                 core, tail = w[:-1], w[-1]
                 tails[w] = core, tail
             for x in (core, tail) if tail else (core,):

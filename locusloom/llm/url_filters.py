@@ -42,12 +42,15 @@ def intervals(changes: DataFrame) -> DataFrame:
 
 def candidates(host: str = "host", path: str = "path") -> Column:
     """Entries that would cover a URL, with their specificity: host suffixes of two labels or more by their number of
-    labels, then the host with each path prefix (1000 and its depth)."""
+    labels (of addresses and of hosts of one label, the host alone), then the host with each path prefix (1000 and its
+    depth). Their number grows with the labels and the depth of the path."""
     labels, parts = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda p: p != "")
     suffix = F.transform(F.sequence(F.lit(2), F.size(labels)), lambda n: F.struct(F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".").alias("entry"), n.alias("rank")))
     prefix = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(F.concat(F.col(host), F.lit("/"), F.lower(F.array_join(F.slice(parts, 1, n), "/"))).alias("entry"), (n + 1000).alias("rank")))
     none = F.array().cast("array<struct<entry:string,rank:int>>")
-    return F.concat(F.when(F.size(labels) >= 2, suffix).otherwise(none), F.when(F.size(parts) >= 1, prefix).otherwise(none))
+    whole = F.array(F.struct(F.col(host).alias("entry"), F.size(labels).alias("rank")))
+    alone = (F.size(labels) == 1) | F.col(host).rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$|^\[")
+    return F.concat(F.when(alone, whole).when(F.size(labels) >= 2, suffix).otherwise(none), F.when(F.size(parts) >= 1, prefix).otherwise(none))
 
 
 def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:

@@ -35,22 +35,22 @@ MANIFEST = "shard int, number int, temporary string, records long, bytes long, s
 
 
 def plan_records(pages: DataFrame, path: str, least_bytes: int = 0, small_rows: int = 100_000) -> DataFrame:
-    """``page_id, url, html`` plus the payload's ``sha1`` and the id of the response it revisits (``refers_to``).
+    """``page_id, url, html`` plus the payload's ``sha1``, and id and URL of the response it revisits (``refers_to``, ``target_url``).
     The digests that occur more than once are written to ``<path>/targets`` and broadcast while they are few."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("sha1"))
-    last = rows.where(F.octet_length("html") >= least_bytes).groupBy("sha1").agg(F.max("page_id").alias("target"), F.count(F.lit(1)).alias("n"))
-    last.where("n > 1 AND target IS NOT NULL").select("sha1", "target").write.mode("overwrite").parquet(f"{path}/targets")
+    last = rows.where(F.octet_length("html") >= least_bytes).groupBy("sha1").agg(F.max("page_id").alias("target"), F.max_by("url", "page_id").alias("target_url"), F.count(F.lit(1)).alias("n"))
+    last.where("n > 1 AND target IS NOT NULL").select("sha1", "target", "target_url").write.mode("overwrite").parquet(f"{path}/targets")
     last = if_small(pages.sparkSession.read.parquet(f"{path}/targets"), small_rows)
     long_enough = (F.octet_length("html") >= least_bytes) & (F.col("page_id") < F.col("target"))
-    return rows.join(last, "sha1", "left").select("page_id", "url", "html", "sha1", F.when(long_enough, F.col("target")).alias("refers_to"))
+    return rows.join(last, "sha1", "left").select("page_id", "url", "html", "sha1", F.when(long_enough, F.col("target")).alias("refers_to"), "target_url")
 
 
 def _id(page_id: int | None, url: str | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>"
 
 
-def record(page_id: int | None, url: str | None, html: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, html: str, refers_to: int | None, target_url: str | None = None) -> bytes:
     """One WARC/1.1 record. A revisit has the block digest of nothing and the payload digest of the full payload."""
     payload = html.encode("utf-8", "surrogatepass")
     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
@@ -61,7 +61,7 @@ def record(page_id: int | None, url: str | None, html: str, refers_to: int | Non
         f"X-Page-ID: {'' if page_id is None else page_id}", f"X-Payload-Length: {len(payload)}",
     ]
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To-Page-ID: {refers_to}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_id(refers_to, target_url)}", f"WARC-Refers-To-Page-ID: {refers_to}"]
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -73,11 +73,13 @@ def _member(data: bytes, level: int) -> bytes:
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of one archive: headers and block. Block digests and lengths are verified."""
-    rest = data
+    rest = memoryview(data)
     while rest:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(rest) + z.flush()
-        rest = z.unused_data
+        z, raw, step = zlib.decompressobj(31), [], 1 << 16
+        while not z.eof and rest:  # in steps, so that what follows a record isn't copied for each
+            raw.append(z.decompress(rest[:step]))
+            rest = rest[min(step, len(rest)) - len(z.unused_data) :]
+        raw = b"".join(raw) + z.flush()
         head, _, body = raw.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
@@ -124,7 +126,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, roll_bytes: in
                 if out is None:
                     at, records, size, digest, name = r["shard"], 0, 0, hashlib.sha256(), f"{base}/temporary/{r['shard']:06d}-{number:06d}-{attempt}"
                     out = fs.open_output_stream(name, compression=None)
-                data = _member(record(r["page_id"], r["url"], r["html"], r["refers_to"]), level)
+                data = _member(record(r["page_id"], r["url"], r["html"], r["refers_to"], r["target_url"]), level)
                 out.write(data)
                 digest.update(data)
                 records, size = records + 1, size + len(data)

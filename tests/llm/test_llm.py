@@ -104,6 +104,15 @@ def test_packing_is_whole_and_gapless(docs, rows):
         assert x[0][0] == 0 and all(a[0] + a[1] == b[0] for a, b in zip(x, x[1:], strict=False)) and sum(b for _, b in x) <= 64
 
 
+def test_token_ids_around_letters_that_lower_case_splits(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    t, encode = Tokenizer.from_file(path("word_bpe_49k.json")), packing._encoder(open(path("word_bpe_49k.json"), encoding="utf-8").read())
+    for text in ("KAPI\u0130.", "a\u0130, b", "\u0130\u0130.\u0130", "\u03a3. x", "it's A.B, C", "\u0130"):
+        assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
 def test_fm_index():
     r = np.random.default_rng(1)
     seq = r.integers(1, 6, 400)
@@ -180,6 +189,10 @@ def test_url_filters(spark):
     got = {r.page_id: r for r in url_filters.judge(cap, log).collect()}
     assert [got[i].decision for i in range(1, 8)] == ["block", "allow", "block", "allow", "allow", "allow", "allow"]
     assert url_filters.judge(cap, log.limit(0)).where("decision <> 'allow'").count() == 0
+    more = spark.createDataFrame([("localhost", 1, "block"), ("1.2.3.4", 1, "block"), ("3.4", 1, "allow"), ("localhost/a", 1, "allow")], "entry string, day int, action string")
+    cap = spark.createDataFrame([(1, "http://localhost/b", 5), (2, "http://localhost/a/c", 5), (3, "http://1.2.3.4/", 5), (3, "http://1.2.3.4/", 5)], "page_id long, url string, day int")
+    got = sorted((r.page_id, r.n_active, r.decision) for r in url_filters.judge(cap, more).collect())
+    assert got == [(1, 1, "block"), (2, 2, "allow"), (3, 1, "block"), (3, 1, "block")]
 
 
 def test_line_blocks_against_brute_force(spark):
