@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -128,7 +129,7 @@ def out_of_fold(labelled: DataFrame, features: Sequence[str], kind: str = "logis
     out = None
     for k in range(folds):
         rest, held = rows.where(F.col("part") != k), rows.where(F.col("part") == k)
-        learner = LogisticRegression(featuresCol="x", labelCol="y", maxIter=1000) if kind == "logistic" else _forest(trees, max(1, int(len(features) ** 0.5)), seed, weightCol="w")
+        learner = LogisticRegression(featuresCol="x", labelCol="y", maxIter=1000) if kind == "logistic" else _forest(trees, ceil((2 * len(features)) ** 0.5), seed, weightCol="w")
         scored = positive(learner.fit(rest), held, "score").select("transcript_id", F.col("y").cast("int").alias("y"), "score")
         out = scored if out is None else out.unionByName(scored)
     return out

@@ -48,3 +48,30 @@ def write_gff3(features: DataFrame, path: str) -> None:
     dot = F.lit(".")
     cols = [F.coalesce(F.col(c).cast("string"), dot) if c in ("score", "phase", "strand") else F.col(c).cast("string") for c in COLUMNS]
     features.orderBy("line_no").select(F.concat_ws("\t", *cols).alias("value")).write.text(path)
+
+
+def read_miniprot(spark: SparkSession, path: str) -> DataFrame:
+    """Protein alignments as models: ``gene, target, identity, rank, seqid, start, end, strand`` of their mRNA rows (identity 0
+    where it isn't given), each of which stands for a gene of its own."""
+    f = read_gff3(spark, path).where("type = 'mRNA'")
+    return f.select(F.concat(F.lit("gene_"), "id").alias("gene"), attribute("attributes", "Target").alias("target"), F.coalesce(attribute("attributes", "Identity").try_cast("double"), F.lit(0.0)).alias("identity"), F.coalesce(attribute("attributes", "Rank").try_cast("int"), F.lit(1)).alias("rank"), "seqid", "start", "end", "strand")
+
+
+def as_evidence(features: DataFrame, pattern: str, source: str | None = None, kind: str | None = None, rename: tuple[str, str] | None = None) -> DataFrame:
+    """Features whose type matches ``pattern`` for a consensus: source and type replaced, an attribute key renamed (such as
+    Parent to ID), and coordinates in order."""
+    t = features.where(F.col("type").rlike(pattern))
+    if rename:
+        t = t.withColumn("attributes", F.regexp_replace("attributes", f"(^|;){rename[0]}=", f"$1{rename[1]}="))
+    if source:
+        t = t.withColumn("source", F.lit(source))
+    if kind:
+        t = t.withColumn("type", F.lit(kind))
+    return t.withColumn("_s", F.least("start", "end")).withColumn("end", F.greatest("start", "end")).withColumn("start", F.col("_s")).drop("_s")
+
+
+def combined(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of several genomes' files with each sequence name prefixed by the first three letters of its file's name."""
+    lines = spark.read.text(path).withColumn("_file", F.input_file_name()).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    prefix = F.substring(F.regexp_extract("_file", r"([^/]+)$", 1), 1, 3)
+    return lines.select(F.concat(prefix, "value").alias("value"))
