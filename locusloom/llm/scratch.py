@@ -7,6 +7,7 @@ import gc
 import tempfile
 import uuid
 import weakref
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,8 @@ class Scratch:
 
     _live: weakref.WeakSet = weakref.WeakSet()
 
-    def __init__(self, spark: SparkSession, name: str, lasting: bool = False):
-        self.spark, self.lasting = spark, lasting
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
         Scratch._live.add(self)
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.names: list[str] = []
@@ -64,13 +65,15 @@ class Scratch:
         self.names = list(kept)
         self.sweep()
 
-    def alone(self) -> None:
-        """Remove the tables of all other operators of the session that aren't ``lasting``: nothing reads them any more."""
-        for other in list(Scratch._live):
-            if other is not self and other.spark is self.spark and not other.lasting:
-                for name in other.names:
-                    other._remove(other.path(name))
-                other.names = []
+    @contextmanager
+    def alone(self):
+        """Remove the tables of all operators that are called inside, when the block ends: only this one's stay."""
+        before = set(Scratch._live)
+        yield
+        for other in set(Scratch._live) - before - {self}:
+            for name in other.names:
+                other._remove(other.path(name))
+            other.names = []
         self.sweep()
 
     def sweep(self) -> None:

@@ -345,3 +345,60 @@ def test_lm_against_brute_force_backoff(spark):
         for i, t in enumerate(texts):
             w = ["^", *t.split(), "$"]
             assert got[i] == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(w, w[1:], strict=False)), abs=1e-6)
+
+
+def forward(model, text):
+    """The network's mean logits of one text, one window and one filter at a time."""
+    data = text.encode("utf-8", "replace").translate(language_id._LOWER)
+    total, n = np.zeros(len(model.classes)), len(data)
+    for at in range(0, n, language_id.WINDOW):
+        x = np.frombuffer(data[at : at + language_id.WINDOW].ljust(language_id.WINDOW, b"\0"), np.uint8)
+        total += model.logits(x[None, :])[0] * min(language_id.WINDOW, n - at)
+    return total / n
+
+
+def test_language_of_whole_texts_by_naive_windows(spark):
+    r = random.Random(4)
+    d = [(i, " ".join(words(r, 40, "straße" if i % 2 else "the")), "de" if i % 2 else "en") for i in range(120)]
+    model = language_id.train(spark.createDataFrame(d, "doc_id long, text string, lang string"))
+    texts = ["the the the", " ".join(words(r, 900, "straße")), "x" * 5000, "123", "", None]
+    rows = spark.createDataFrame([(1, t, n) for n, t in enumerate(texts)] + [(1, texts[0], 9)], "doc_id long, text string, row int").withColumn("score", F.lit("s")).withColumn("lang_pred", F.lit(0))
+    got = {x.row.row: x for x in language_id.predict_rows(rows, model).select("row", F.col("lang_pred").alias("p"), F.col("score").alias("s")).collect()}
+    for n, text in enumerate(texts[:3]):
+        z = forward(model, text)
+        p = np.exp(z - z.max())
+        p /= p.sum()
+        assert got[n].p == model.classes[int(p.argmax())] and got[n].s == pytest.approx(p.max(), abs=1e-5)
+    assert [got[n].p for n in (3, 4, 5)] == ["und"] * 3 and got[9].p == got[0].p
+
+
+def test_pipeline_on_awkward_rows(spark, tmp_path):
+    """Each stage decides row by row: null and repeated ids, empty texts, clashing names; and an empty table."""
+    import corpus_pipeline
+
+    r = random.Random(9)
+    text = lambda n: " ".join(words(r, n))
+    a, b, item = text(60), text(60), " ".join(f"q{i}" for i in range(30))
+    near = a.split()
+    near[30] = "zz"
+    rows = [(1, a), (2, a), (3, " ".join(near)), (None, b), (None, b), (None, item), (4, item + " tail"), (5, "12 34"), (6, ""), (7, None), (8, text(50)), (8, "own words of a row that repeats an id"), (9, text(3000))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, gone int").withColumn("row", F.lit("x"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    at, kept = str(tmp_path), {}
+    left = spark.read.parquet(f"{at}/documents.parquet")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, left, at).write.parquet(str(tmp_path / f"s{k}"))
+        left = spark.read.parquet(str(tmp_path / f"s{k}"))
+        if k < 4:
+            assert left.columns == docs.columns
+            kept[name] = {x.gone for x in left.collect()}
+    assert kept["language ID"] == set(range(13)) - {7, 8, 9}
+    lines = kept["line dedup"]  # equal and near lines go, and documents of nothing else with them; rows equal in id and text share
+    assert 0 in lines and not {1, 2} & lines and {3, 4} <= lines and {5, 6} & lines and {10, 11, 12} <= lines
+    assert len(kept["near-dedup"] & {3, 4}) == 1 and kept["decontamination"] == kept["near-dedup"] - {5, 6}
+    assert left.select("doc_id").distinct().count() == len({rows[k][0] for k in kept["decontamination"]}) and left.where("offset IS NULL").count() == 0
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, at)
+    assert empty.count() == 0
