@@ -213,7 +213,7 @@ def find_hits(docs: DataFrame, windows: dict, shard_words: int = 1_000_000) -> D
     return docs.mapInArrow(run, HITS)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 32 << 20, shard_words: int = 1_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 8 << 20, shard_words: int = 1_000_000) -> DataFrame:
     """One row per document: ``row, doc_id, n_words``, the merged spans of hit words (``starts``, ``ends``: word
     numbers, half-open) and the ``items`` whose windows occur."""
     spark = docs.sparkSession
@@ -223,6 +223,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_of().alias("text"))
     found = []
     scratch = Scratch(spark, "decontamination") if blocks > 1 else None
+    keyed = scratch.cut(keyed, "rows") if blocks > 1 else keyed  # so that a row has one number in all blocks
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         windows = windows_of([(r.item_id, r.text) for r in part.toLocalIterator()], window)
