@@ -237,8 +237,6 @@ def lm_score(docs: DataFrame, fold: int = 7, held: int = 2, chunk_bytes: int = 6
         return _score(key, left, right, chunks)
 
     seen = scratch.cut(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, SEEN), "seen")
-    scratch.sweep()
-
     totals = seen.where("kind = 1").select("chunk", "bucket", "states", "owned").groupBy("bucket").applyInArrow(_totals, TOTALS)
     whole = seen.where("kind = 2").agg(F.sum(F.element_at("a", 1)), F.sum(F.element_at("b", 1))).first()
     n, v = whole[0] or 0, whole[1] or 0
