@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, toxicity, url_filters, warc
+from . import binary_packing, clustering, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, toxicity, url_filters, warc, whitening
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_warc": warc.op9_warc,
     "op10_url_filters": url_filters.op10_url_filters,
+    "op11_yinyang_clustering": clustering.op11_yinyang_clustering,
+    "op12_binary_packing": binary_packing.op12_binary_packing,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 ORACLES = {
     "op4_minhash_near_dedup": near_dedup.OP4_SQL,
@@ -22,4 +25,5 @@ ORACLES = {
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_url_filters": url_filters.OP10_SQL,
+    "op11_yinyang_clustering": clustering.OP11_SQL,
 }
