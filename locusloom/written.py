@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,8 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # the session has ended: nothing left to ask
+        pass
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written and read back: its lineage ends here and a lost executor costs a reread."""
+    """``df``, written and read back: its lineage ends here and a lost executor costs a reread. The table goes when the
+    session's process ends."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, df.sparkSession, path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

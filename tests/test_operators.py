@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from locusloom.functions import sequences as sq
 from locusloom.ml import filtering
 from locusloom.operators import evidence as ev
-from locusloom.operators import loci, scoring, tiling, tree
+from locusloom.operators import chains, loci, scoring, tiling, tree
 from locusloom.operators.sweep import measure
 from locusloom.sources import gff3, tables
 
@@ -64,12 +64,101 @@ def test_tiles(spark):
     assert tile(spark, 60, 50, profile=[5] * 6)[0] == (1, 46)
     with pytest.raises(ValueError):
         tile(spark, 10, 0)
+    assert tile(spark, 5_000_000, 5_000_000) == [(1, 5_000_000)] and tile(spark, 0, 5) == []
+    assert tile(spark, 12_827_620, 5_000_000) == [(1, 5_000_000), (5_000_001, 10_000_000), (10_000_001, 12_827_620)]
+    assert tile(spark, 12_827_620, 5_000_000, [(3_000_000, 3_001_000), (4_800_000, 4_802_000)])[0] == (1, 4_802_000)
+    assert tile(spark, 9_000_000, 5_000_000, [(4_990_000, 5_010_000)])[0] == (1, 5_000_000)
+
+
+def one_by_one(length, gaps, depth, span, width, reach):
+    """Tiles of one sequence by the rule as it is said, base by base."""
+    bare = {p for a, b in gaps for p in range(a, b + 1)}
+    out, at = [], 1
+    while length - at >= span:
+        limit = at + span - 1
+        free = [p for p in range(at, limit + 1) if p in bare]
+        near = [b for b in depth if max(at, limit - reach + 1) <= (b + 1) * width and b * width + 1 <= limit]
+        if free:
+            end = free[-1]
+        elif near:
+            end = min(max(min(near, key=lambda b: (depth[b], -b)) * width + width // 2 + 1, at), limit)
+        else:
+            end = limit
+        out.append((at, end))
+        at = end + 1
+    return [*out, (at, length)]
+
+
+def test_tiles_of_many_sequences_against_the_rule(spark):
+    r = random.Random(8)
+    lengths, gaps, depth, want = [], [], [], {}
+    for k in range(25):
+        name, length = f"s{k}", r.randrange(1, 900)
+        mine = [(a, min(length, a + r.randrange(0, r.choice((3, 60, 200))))) for a in r.sample(range(1, length + 1), min(length, r.choice((0, 2, 9))))]
+        d = {b: r.randrange(4) for b in range(length // 10 + 1) if r.random() < 0.8}
+        lengths.append((name, length))
+        gaps += [(name, *g) for g in mine]
+        depth += [(name, b, v) for b, v in d.items()]
+        want[name] = one_by_one(length, mine, d, 45, 10, 30)
+    t = tiling.tiles(spark.createDataFrame(lengths, "seqid string, length long"), spark.createDataFrame(gaps, "seqid string, gap_start long, gap_end long"), spark.createDataFrame(depth, "seqid string, bin long, depth long"), 45, 10, 30)
+    got = {}
+    for x in t.orderBy("seqid", "tile").collect():
+        got.setdefault(x.seqid, []).append((x.start, x.end))
+    assert got == want
+
+
+def test_cuts_against_the_rule(spark):
+    r = random.Random(2)
+    for lo, hi, width, span, share in ((0, 100, 50, 10, 0.25), (0, 1000, 20, 90, 0.25), (7, 450, 30, 40, 0.9), (0, 50, 5, 100, 0.25)):
+        reads = [r.randrange(lo, hi) for _ in range(60)]
+        bounds = spark.createDataFrame([("s", lo, hi)], "seqid string, lo long, hi long")
+        n = {}
+        for p in reads:
+            n[(p - lo) // width] = n.get((p - lo) // width, 0) + 1
+        parts, want = -(-(hi - lo) // span), []
+        for k in range(1, parts):
+            ideal, away = lo + int((hi - lo) / parts * k), int((hi - lo) / parts * share)
+            a, b = (max(lo + 1, ideal - away) - lo) // width, (min(hi - 1, ideal + away) - lo) // width
+            c = ideal if b <= a else lo + width // 2 + width * min(range(a, b + 1), key=lambda x: (n.get(x, 0), abs(lo + x * width - ideal)))
+            want.append(min(hi - 1, want[-1] + width if want and c <= want[-1] else c))
+        got = tiling.cuts(bounds, tiling.start_bins(spark.createDataFrame([("s", p) for p in reads], "seqid string, pos long"), bounds, width), width, span, share)
+        assert [x.cut for x in got.orderBy("k").collect()] == want
+    assert want == []
+
+
+def test_evidence_in_segments_and_back(spark):
+    r = random.Random(6)
+    lengths = spark.createDataFrame([("a", 1000), ("b", 37)], "seqid string, length long")
+    ev_rows = [(s, a := r.randrange(1, n + 1), min(n, a + r.randrange(0, 300)), i) for i in range(60) for s, n in (("a", 1000), ("b", 37))]
+    e = spark.createDataFrame(ev_rows, "seqid string, start long, end long, n int")
+    pieces = tiling.segments(lengths, 200, 60)
+    parts = tiling.dealt(e, pieces, 128)
+    want = sum(min(x[2], p.end) >= max(x[1], p.start) for x in ev_rows for p in pieces.collect() if p.seqid == x[0])
+    assert parts.count() == want and parts.where("start < 1 OR end > 200 OR end < start").count() == 0
+    back = {}
+    for x in tiling.taken_back(parts, pieces).collect():
+        for p in range(x.start, x.end + 1):
+            back[x.seqid, p] = back.get((x.seqid, p), 0) + 1
+    depth = {}
+    for s, a, b, _ in ev_rows:
+        for p in range(a, b + 1):
+            depth[s, p] = depth.get((s, p), 0) + 1
+    assert back == depth
+
+
+def test_paths_and_roots(spark):
+    links = spark.createDataFrame([("x", 1, 3), ("x", 3, 8), ("x", 8, 9), ("x", 9, None), ("x", 2, 3), ("y", 1, None)], "k string, at long, to long")
+    start = spark.createDataFrame([("x", 1), ("y", 1)], "k string, at long")
+    assert sorted(map(tuple, chains.followed(start, links, ["k"]).collect())) == [("x", 1), ("x", 3), ("x", 8), ("x", 9), ("y", 1)]
+    up = [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("e", "d"), ("o", "lost"), ("p", "o"), ("u", "v"), ("v", "w"), ("w", "u"), ("z", "u"), ("self", "self")]
+    got = {x.id: (x.root, x.depth) for x in chains.rooted(spark.createDataFrame(up, "id string, parent string")).collect()}
+    assert got == {"a": ("a", 0), "b": ("a", 1), "c": ("a", 2), "d": ("a", 3), "e": ("a", 4), "o": ("o", 0), "p": ("o", 1), **dict.fromkeys(("u", "v", "w", "z", "self"), (None, None))}
 
 
 def test_bins_cuts_and_routes(spark):
     lengths = spark.createDataFrame([("a", 100), ("b", 90), ("c", 40), ("d", 30), ("e", 25), ("f", 60)], "seqid string, length long")
     got = {x.seqid: x.bin for x in tiling.coarse_bins(lengths, 80).collect()}
-    assert got == {"a": "a", "b": "b", "f": "small_0", "c": "small_1", "d": "small_0", "e": "small_1"}
+    assert got == {"a": "a", "b": "b", "f": "small_0", "c": "small_1", "d": "small_1", "e": "small_2"}
     assert {x.bin for x in tiling.coarse_bins(lengths, 500).collect()} == {"all"}
     reads = spark.createDataFrame([("s", p) for p in range(0, 1000, 10) if not 480 <= p < 530], "seqid string, pos long")
     bounds = spark.createDataFrame([("s", 0, 1000)], "seqid string, lo long, hi long")
