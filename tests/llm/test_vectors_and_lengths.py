@@ -1,6 +1,7 @@
 """Clustering, whitening and binary packing against plain versions, on awkward rows."""
 
 import hashlib
+import json
 import math
 import random
 import zlib
@@ -134,15 +135,25 @@ def test_whitening_without_variance_or_rows(spark, vectors):
 ODD = ["", None, "a", " ", "\n", "a b", " a", "a ", "a  b", "a   b", "a\nb", "a \nb", "a\n b", "a\n\nb\n", "tab\there", "\ta", "a\t b", "x\r\ny\r\n\r\nz", "don't we'll 'tis 12ab3 ...", "<|endoftext|>", "a  <|endoftext|> b", "äöü ß 日本語 日本\n語 🙂🙂", " a   b　c", "\x1c a\x1cb \x1cc", "a\x85b \x85c", "z" * 5000, "word " * 3000, "́x é", "a\x00b"]
 
 
-def test_encoder_equals_the_tokenizer_on_whole_texts():
+def test_encoder_equals_the_tokenizer():
     model = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
     tok, r = Tokenizer.from_str(model), random.Random(3)
-    signs = [" ", " ", " ", "\n", "\t", "\r", "a", "B", "'s", "'", "1", "é", "日", ".", " ", " ", "\x1f", "the", "  "]
+    signs = [" ", " ", " ", "\n", "\t", "\r", "a", "B", "'s", "'", "1", "é", "日", ".", " ", " ", "\x1f", "the", "  "]
     texts = [t or "" for t in ODD] + ["".join(r.choice(signs) for _ in range(r.randrange(1, 30))) for _ in range(4000)]
-    for remembered in (400_000, 50):
-        encode = binary_packing.encoder(model, remembered)
-        for t in texts:
-            assert encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), repr(t)
+    # every code point, between letters, digits, after a space, and behind white space
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(f"a{chr(c)}b 1{chr(c)}2 {chr(c)}z  {chr(c)}" for c in points[k : k + 4096]) for k in range(0, len(points), 4096)]
+    texts += ["z" * 200_000, "ab" * 100_000, " " * 5000 + "x", "\n" * 5000, "日本" * 20_000]
+    encode = binary_packing.encoder(model)
+    for t in texts:
+        assert encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), repr(t[:50])
+    assert binary_packing.ranks_of(json.loads(model)) is not None
+    other = json.loads(model)
+    other["model"]["merges"] = other["model"]["merges"][::-1]
+    assert binary_packing.ranks_of(other) is None
+    other = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    assert binary_packing.ranks_of(json.loads(other)) is None
+    assert binary_packing.encoder(other)("Ab c") == np.array(Tokenizer.from_str(other).encode("Ab c", add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def test_binary_packing(spark, tmp_path):
