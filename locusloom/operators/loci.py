@@ -16,7 +16,8 @@ def clusters(t: DataFrame, by: Sequence[str], slack: int = 0, size: int = 4096)
     reach = F.greatest("_top", F.max("end").over(within(by, "start", "end", to=-1)))
     new = F.coalesce(F.col("start") > reach + slack, F.lit(True)).cast("long")
     flagged = carried(top.withColumn("_new", new).drop("_range", "_top"), by, F.col("start"), size, {"_before": F.sum("_new")})
-    number = F.coalesce("_before", F.lit(0).cast("long")) + F.sum("_new").over(within(by, "start", "end"))
+    # equal intervals count together: which of them came first in the pass before is not told
+    number = F.coalesce("_before", F.lit(0).cast("long")) + F.sum("_new").over(Window.partitionBy(*by, "_range").orderBy("start", "end").rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return flagged.withColumn("cluster", number).drop("_new", "_range", "_before")
 
 

@@ -1,11 +1,14 @@
 """Gene -> mRNA -> child trees of feature tables: linking, cleaning with cascades, ordering and renumbering.
 
 Features have ``line_no``, ``seqid``, ``source``, ``type``, ``start``, ``end`` (closed), ``strand``, ``id`` and ``parents`` (an array). Ids are
-taken to be unique among genes and mRNAs.
+taken to be unique among genes and mRNAs. Rows that share a line number are ordered by what else they hold, so numbers
+never depend on the order in which Spark meets them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,17 +17,31 @@ from .sweep import carried, within
 CHILD_TYPES = ("exon", "CDS")
 
 
-def _lines(t: DataFrame, value: Column, size: int = 1 << 33) -> DataFrame:
-    """``t`` with ``_last``: the struct ``value`` of the latest line up to the current one that has it."""
+def in_line() -> list[Column]:
+    """A total order of features: by line, then by all that tells rows of one line apart."""
+    return [F.col("line_no"), F.col("start"), F.col("end"), F.col("type"), F.col("id"), F.array_join("parents", ",")]
+
+
+def line_range(t: DataFrame, rows: int = 100_000) -> int:
+    """A width of line numbers that holds about ``rows`` rows if they are spread evenly. Line numbers of files have gaps
+    between splits; a range then holds the lines of one split at most."""
+    lo, hi, n = t.agg(F.min("line_no"), F.max("line_no"), F.count("line_no")).first()
+    return max(1, (hi - lo) // max(1, n // rows) + 1) if n else 1
+
+
+def _lines(t: DataFrame, value: Column, by: Sequence[str] = (), size: int | None = None) -> DataFrame:
+    """``t`` with ``_last``: the struct ``value`` (which begins with the line number) of the latest line up to the current
+    one that has it, within ``by``. Of rows of one line, the largest struct counts for all."""
     named = t.withColumn("_v", value)
-    c = carried(named, [], F.col("line_no"), size, {"_c": F.max("_v")}, "max")
-    return c.withColumn("_last", F.greatest(F.max("_v").over(within([], "line_no")), "_c")).drop("_v", "_c", "_range")
+    c = carried(named, by, F.col("line_no"), size or line_range(t), {"_c": F.max("_v")}, "max")
+    to_here = Window.partitionBy(*by, "_range").orderBy("line_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return c.withColumn("_last", F.greatest(F.max("_v").over(to_here), "_c")).drop("_v", "_c", "_range")
 
 
-def forward_fill(t: DataFrame, value: str, to: str) -> DataFrame:
-    """``to``: the last value of ``value`` that isn't null, in line order."""
+def forward_fill(t: DataFrame, value: str, to: str, by: Sequence[str] = ()) -> DataFrame:
+    """``to``: the last value of ``value`` that isn't null, in line order (within ``by``, such as a file)."""
     held = F.when(F.col(value).isNotNull(), F.struct("line_no", F.col(value).alias("x")))
-    return _lines(t, held).withColumn(to, F.col("_last.x")).drop("_last")
+    return _lines(t, held, by).withColumn(to, F.col("_last.x")).drop("_last")
 
 
 def linked(features: DataFrame) -> DataFrame:
@@ -41,7 +58,7 @@ def linked(features: DataFrame) -> DataFrame:
     known = mrnas.select(F.col("seqid").alias("_s"), F.col("id").alias("_m"), "gene").dropDuplicates(["_s", "_m"])
     rest = f.where("type NOT IN ('gene', 'mRNA', 'ncRNA_gene') AND _coding").withColumn("mrna", parent)
     rest = rest.join(known, (F.col("seqid") == F.col("_s")) & (F.col("mrna") == F.col("_m"))).drop("_s", "_m")
-    k = F.row_number().over(Window.partitionBy("seqid", "mrna", "id").orderBy("line_no"))
+    k = F.row_number().over(Window.partitionBy("seqid", "mrna", "id").orderBy(*in_line()))
     rest = rest.withColumn("id", F.when(k > 1, F.concat("id", F.lit("_"), k.cast("string"))).otherwise(F.col("id")))
     top = f.where("type = 'gene'").select("*", F.col("id").alias("gene"), F.lit(None).cast("string").alias("mrna"))
     return top.unionByName(mrnas.withColumn("mrna", F.col("id"))).unionByName(rest).drop("_coding")
@@ -128,12 +145,12 @@ def places(tree: DataFrame, pattern: str = CHROMOSOME) -> DataFrame:
     sequences = tree.select("seqid").distinct().select("seqid", F.row_number().over(Window.orderBy(*order_key(pattern))).alias("seq_place"))
     tops = tree.where("type = 'gene' OR (type = 'mRNA' AND gene IS NULL)").select("seqid", F.coalesce("gene", "mrna").alias("_top"), "start", "line_no")
     ranked = carried(tops, ["seqid"], F.col("start"), 4096, {"_b": F.count(F.lit(1))})
-    ranked = ranked.select("seqid", "_top", (F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(["seqid"], "start", "line_no"))).alias("gene_place"))
+    ranked = ranked.select("seqid", "_top", (F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(["seqid"], "start", "line_no", "_top"))).alias("gene_place"))
     mrna = tree.where("type = 'mRNA'").select("seqid", "mrna", F.col("start").alias("_ms"), F.col("line_no").alias("_ml"))
     t = tree.withColumn("_top", F.coalesce("gene", "mrna")).join(ranked, ["seqid", "_top"]).join(mrna, ["seqid", "mrna"], "left")
     deep = F.when(F.col("type").isin("gene", "mRNA"), 0).otherwise(1)
-    w = Window.partitionBy("seqid", "_top").orderBy(F.when(F.col("type") == "gene", 0).otherwise(1), "_ms", "_ml", deep, "line_no")
-    return t.withColumn("inner_place", F.row_number().over(w)).join(F.broadcast(sequences), "seqid").drop("_top", "_ms", "_ml")
+    w = Window.partitionBy("seqid", "_top").orderBy(F.when(F.col("type") == "gene", 0).otherwise(1), "_ms", "_ml", deep, *in_line())
+    return t.withColumn("inner_place", F.row_number().over(w)).join(sequences, "seqid").drop("_top", "_ms", "_ml")
 
 
 def in_order(tree: DataFrame, pattern: str = CHROMOSOME) -> DataFrame:
@@ -158,15 +175,15 @@ def renumbered(tree: DataFrame, prefix: str, width: int = 6, digits: int = 1, sp
     rank = tree.where("type = 'gene'").select("seqid", "gene", "start", "line_no")
     group = ["seqid"] if by_sequence else []
     numbered = carried(rank, group, F.col("start"), 4096, {"_b": F.count(F.lit(1))})
-    number = F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(group, "start", "line_no", *([] if by_sequence else ["seqid"])))
+    number = F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(group, "start", "line_no", "seqid", "gene"))
     text = number.cast("string")
     padded = F.concat(F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")), F.lit("0"))
     tag = chromosome_tag(F.col("seqid"), digits) if by_sequence else F.lit("")
     genes = numbered.select("seqid", "gene", F.concat(F.lit(prefix), tag, padded).alias("_new_gene"))
-    mrnas = tree.where("type = 'mRNA'").select("seqid", "gene", "mrna", F.row_number().over(Window.partitionBy("seqid", "gene").orderBy("start", "line_no")).alias("_iso"))
+    mrnas = tree.where("type = 'mRNA'").select("seqid", "gene", "mrna", F.row_number().over(Window.partitionBy("seqid", "gene").orderBy("start", "line_no", "mrna")).alias("_iso"))
     t = tree.join(genes, ["seqid", "gene"]).join(mrnas.drop("gene"), ["seqid", "mrna"], "left")
     kind = F.lower("type")
-    k = F.row_number().over(Window.partitionBy("seqid", "mrna", kind).orderBy("line_no"))
+    k = F.row_number().over(Window.partitionBy("seqid", "mrna", kind).orderBy(*in_line()))
     iso = F.concat("_new_gene", F.lit(f".{splice}"), F.col("_iso").cast("string"))
     new = F.when(F.col("type") == "gene", F.col("_new_gene")).when(F.col("type") == "mRNA", iso).otherwise(F.concat(iso, F.lit("."), kind, k.cast("string")))
     return t.withColumn("new_id", new).drop("_new_gene", "_iso")
@@ -185,7 +202,7 @@ def primary(features: DataFrame) -> DataFrame:
     """The isoform with the longest CDS of each gene; ties go to the first line: ``gene, mrna, cds_bp``."""
     cds = features.where("type = 'CDS'").select(F.explode("parents").alias("mrna"), (F.col("end") - F.col("start") + 1).alias("n")).groupBy("mrna").agg(F.sum("n").alias("cds_bp"))
     m = features.where("type = 'mRNA'").select(F.col("id").alias("mrna"), F.element_at("parents", 1).alias("gene"), "line_no").join(cds, "mrna")
-    w = Window.partitionBy("gene").orderBy(F.desc("cds_bp"), "line_no")
+    w = Window.partitionBy("gene").orderBy(F.desc("cds_bp"), "line_no", "mrna")
     return m.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("gene", "mrna", "cds_bp")
 
 

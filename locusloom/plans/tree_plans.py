@@ -9,13 +9,13 @@ from ..operators import tree
 from .adapters import hours, read
 
 ITEM_SQL = """
-it AS (SELECT l_orderkey AS k, l_suppkey % 5 AS s, l_linenumber AS n, l_partkey AS p, 'Chr' || (l_orderkey % 12 + 1) AS seqid, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, 'g' || l_orderkey AS gene, 'm' || l_orderkey || '.' || (l_suppkey % 5) AS mrna,
+it AS (SELECT l_orderkey AS k, l_suppkey % 5 AS s, l_linenumber AS n, l_partkey AS p, l_suppkey // 5 % 1000 AS u, 'Chr' || (l_orderkey % 12 + 1) AS seqid, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, 'g' || l_orderkey AS gene, 'm' || l_orderkey || '.' || (l_suppkey % 5) AS mrna,
   ['CDS', 'exon', 'CDS', 'exon', 'five_prime_UTR', 'intron', 'CDS'][l_linenumber] AS type, (date_diff('day', DATE '1992-01-01', l_shipdate::DATE) * 60 + l_linenumber)::BIGINT AS "start", (date_diff('day', DATE '1992-01-01', l_shipdate::DATE) * 60 + l_linenumber + l_quantity::BIGINT)::BIGINT AS "end",
   CASE WHEN l_partkey % 10 = 0 THEN ['m' || l_orderkey || '.' || (l_suppkey % 5), 'm' || l_orderkey || '.' || ((l_suppkey + 1) % 5)] ELSE ['m' || l_orderkey || '.' || (l_suppkey % 5)] END AS parents FROM lineitem)"""
 GFF_SQL = ITEM_SQL + """,
-gff AS (SELECT (k * 1000 + 100 + s * 100 + n) * 100000 + p AS line_no, seqid, type, "start", "end", strand, 'c' || k || '.' || (n % 3) AS id, parents FROM it
-  UNION ALL SELECT (k * 1000 + 100 + s * 100) * 100000, min(seqid), 'mRNA', min("start"), max("end"), min(strand), min(mrna), [min(gene)] FROM it GROUP BY k, s
-  UNION ALL SELECT k * 100000000, min(seqid), CASE WHEN k % 40 = 0 THEN 'ncRNA_gene' ELSE 'gene' END, min("start"), max("end"), min(strand), min(gene), NULL FROM it WHERE k % 50 <> 0 GROUP BY k)"""
+gff AS (SELECT ((k * 1000 + 100 + s * 100 + n) * 100000 + p) * 1000 + u AS line_no, seqid, type, "start", "end", strand, 'c' || k || '.' || (n % 3) AS id, parents FROM it
+  UNION ALL SELECT (k * 1000 + 100 + s * 100) * 100000000, min(seqid), 'mRNA', min("start"), max("end"), min(strand), min(mrna), [min(gene)] FROM it GROUP BY k, s
+  UNION ALL SELECT k * 100000000000, min(seqid), CASE WHEN k % 40 = 0 THEN 'ncRNA_gene' ELSE 'gene' END, min("start"), max("end"), min(strand), min(gene), NULL FROM it WHERE k % 50 <> 0 GROUP BY k)"""
 
 
 def gff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,16 +26,16 @@ def gff(spark: SparkSession, sf_dir: str) -> DataFrame:
     mrna = lambda x: F.concat(F.lit("m"), k.cast("string"), F.lit("."), x.cast("string"))
     kinds = F.array(*[F.lit(x) for x in ("CDS", "exon", "CDS", "exon", "five_prime_UTR", "intron", "CDS")])
     it = l.select(
-        k.alias("k"), s.alias("s"), n.alias("n"), F.col("l_partkey").alias("p"), F.concat(F.lit("Chr"), (k % 12 + 1).cast("string")).alias("seqid"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand"),
+        k.alias("k"), s.alias("s"), n.alias("n"), F.col("l_partkey").alias("p"), F.floor(F.col("l_suppkey") / 5 % 1000).alias("u"), F.concat(F.lit("Chr"), (k % 12 + 1).cast("string")).alias("seqid"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand"),
         F.concat(F.lit("g"), k.cast("string")).alias("gene"), mrna(s).alias("mrna"), F.element_at(kinds, n.cast("int")).alias("type"), start.alias("start"), (start + F.col("l_quantity").cast("long")).alias("end"),
         F.when(F.col("l_partkey") % 10 == 0, F.array(mrna(s), mrna((F.col("l_suppkey") + 1) % 5))).otherwise(F.array(mrna(s))).alias("parents"),
     )
     line = F.col("k") * 1000 + 100 + F.col("s") * 100
     cols = ["seqid", "type", "start", "end", "strand", "id", "parents"]
     span = [F.min("seqid").alias("seqid"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("strand").alias("strand")]
-    rest = it.withColumn("id", F.concat(F.lit("c"), F.col("k").cast("string"), F.lit("."), (F.col("n") % 3).cast("string"))).select(((line + F.col("n")) * 100_000 + F.col("p")).alias("line_no"), *cols)
-    mrnas = it.groupBy("k", "s").agg(*span, F.min("mrna").alias("id"), F.array(F.min("gene")).alias("parents")).withColumn("type", F.lit("mRNA")).select((line * 100_000).alias("line_no"), *cols)
-    genes = it.where("k % 50 <> 0").groupBy("k").agg(*span, F.min("gene").alias("id")).withColumn("type", F.when(F.col("k") % 40 == 0, "ncRNA_gene").otherwise("gene")).withColumn("parents", F.lit(None).cast("array<string>")).select((F.col("k") * 100_000_000).alias("line_no"), *cols)
+    rest = it.withColumn("id", F.concat(F.lit("c"), F.col("k").cast("string"), F.lit("."), (F.col("n") % 3).cast("string"))).select((((line + F.col("n")) * 100_000 + F.col("p")) * 1000 + F.col("u")).alias("line_no"), *cols)
+    mrnas = it.groupBy("k", "s").agg(*span, F.min("mrna").alias("id"), F.array(F.min("gene")).alias("parents")).withColumn("type", F.lit("mRNA")).select((line * 100_000_000).alias("line_no"), *cols)
+    genes = it.where("k % 50 <> 0").groupBy("k").agg(*span, F.min("gene").alias("id")).withColumn("type", F.when(F.col("k") % 40 == 0, "ncRNA_gene").otherwise("gene")).withColumn("parents", F.lit(None).cast("array<string>")).select((F.col("k") * 100_000_000_000).alias("line_no"), *cols)
     return rest.unionByName(mrnas).unionByName(genes).withColumn("source", F.lit("src"))
 
 
@@ -55,7 +55,10 @@ def childless_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def childless_any(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = gff(spark, sf_dir).where("type NOT IN ('CDS', 'exon') OR line_no % 10 < 4")
+    """Without mRNAs that have no child of any kind; exons and CDS of many parts name a parent that isn't there."""
+    t = gff(spark, sf_dir)
+    lost = F.col("type").isin("CDS", "exon") & (F.floor(F.col("line_no") / 1000) % 10 >= 4)
+    t = t.withColumn("parents", F.when(lost, F.array(F.lit("lost"))).otherwise(F.col("parents")))
     return _after(tree.without_mrnas(t, tree.childless(t, any_child=True)))
 
 
@@ -116,7 +119,7 @@ def training_flank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stretched_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds of mRNAs and outer exons after a third of the genes got a longer span."""
     t = tree.linked(gff(spark, sf_dir)).where("gene IS NOT NULL")
-    spans = t.where("type = 'gene' AND line_no % 300000000 = 0").select("gene", (F.col("start") - 9).alias("new_start"), (F.col("end") + 7).alias("new_end"))
+    spans = t.where("type = 'gene' AND line_no % 300000000000 = 0").select("gene", (F.col("start") - 9).alias("new_start"), (F.col("end") + 7).alias("new_end"))
     return tree.stretched(t, spans).select("line_no", "type", "start", "end")
 
 
@@ -147,7 +150,7 @@ _KIDS = "kd AS (SELECT unnest(parents) AS mrna, type, strand, \"start\", \"end\"
 ORACLES = {
     "linked_tree": f"WITH {_LINKED} SELECT line_no, type, id, gene, mrna FROM tr",
     "childless_cascade": f"WITH {GFF_SQL}, {_KIDS}, " + _cascade("SELECT id AS mrna FROM gff WHERE type = 'mRNA' AND id NOT IN (SELECT mrna FROM kd)"),
-    "childless_any": f"WITH {GFF_SQL}, g2 AS (SELECT * FROM gff WHERE type NOT IN ('CDS', 'exon') OR line_no % 10 < 4), " + _cascade("SELECT id AS mrna FROM g2 WHERE type = 'mRNA' AND id NOT IN (SELECT unnest(parents) FROM g2 WHERE type NOT IN ('gene', 'mRNA'))", "g2"),
+    "childless_any": f"WITH {GFF_SQL}, g2 AS (SELECT * REPLACE (CASE WHEN type IN ('CDS', 'exon') AND line_no // 1000 % 10 >= 4 THEN ['lost'] ELSE parents END AS parents) FROM gff), " + _cascade("SELECT id AS mrna FROM g2 WHERE type = 'mRNA' AND id NOT IN (SELECT unnest(parents) FROM g2 WHERE type NOT IN ('gene', 'mRNA'))", "g2"),
     "strand_against_mrna": f"WITH {GFF_SQL}, {_KIDS}, b AS (SELECT mrna, strand FROM kd WHERE mrna IN (SELECT id FROM gff WHERE type = 'mRNA') UNION ALL SELECT id, strand FROM gff WHERE type = 'mRNA') SELECT mrna FROM b GROUP BY 1 HAVING count(DISTINCT strand) > 1",
     "chimera_cascade": f"WITH {GFF_SQL}, {_KIDS}, " + _cascade("SELECT mrna FROM kd GROUP BY 1 HAVING count(*) FILTER (type = 'exon') > 1 OR coalesce(sum(\"end\" - \"start\" + 1) FILTER (type = 'CDS'), 0) / 3 > 25"),
     "training_sanitize": f"WITH {GFF_SQL}, {_KIDS}, lg AS (SELECT mrna, \"start\", lag(\"end\") OVER (PARTITION BY mrna ORDER BY \"start\", \"end\") AS p FROM kd WHERE type = 'CDS'), " + _cascade("SELECT id AS mrna FROM gff WHERE type = 'mRNA' AND (id NOT IN (SELECT mrna FROM lg) OR id IN (SELECT mrna FROM lg WHERE \"start\" <= p))"),
@@ -170,7 +173,7 @@ ORACLES = {
     "training_flank": f"""WITH {GFF_SQL}, x AS (SELECT *, "start" - max("end") OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1 AS gap FROM gff WHERE type IN ('gene', 'ncRNA_gene')),
       a AS (SELECT list_sort(list("end" - "start" + 1)) AS l FROM x), b AS (SELECT list_sort(list(greatest(gap, 0))) AS l FROM x WHERE gap IS NOT NULL), c AS (SELECT a.l[len(a.l) // 2 + 1] AS gm, b.l[len(b.l) // 2 + 1] AS pm FROM a, b)
       SELECT gm AS gene_median, pm AS gap_median, greatest(2, least(pm // 8, gm))::BIGINT AS flank FROM c""",
-    "stretched_genes": f"""WITH {_LINKED}, s AS (SELECT gene, "start" - 9 AS ns, "end" + 7 AS ne FROM tr WHERE type = 'gene' AND line_no % 300000000 = 0),
+    "stretched_genes": f"""WITH {_LINKED}, s AS (SELECT gene, "start" - 9 AS ns, "end" + 7 AS ne FROM tr WHERE type = 'gene' AND line_no % 300000000000 = 0),
       w AS (SELECT *, min("start") FILTER (type = 'exon') OVER (PARTITION BY seqid, mrna) AS lo, max("end") FILTER (type = 'exon') OVER (PARTITION BY seqid, mrna) AS hi FROM tr LEFT JOIN s USING (gene) WHERE gene IS NOT NULL)
       SELECT line_no, type, CASE WHEN ns IS NOT NULL AND (type IN ('gene', 'mRNA') OR (type = 'exon' AND "start" = lo)) THEN ns ELSE "start" END AS "start", CASE WHEN ns IS NOT NULL AND (type IN ('gene', 'mRNA') OR (type = 'exon' AND "end" = hi)) THEN ne ELSE "end" END AS "end" FROM w""",
     "last_gene_above": f"WITH {GFF_SQL} SELECT line_no, last_value(CASE WHEN type = 'gene' THEN id END IGNORE NULLS) OVER (ORDER BY line_no) AS block FROM gff",
