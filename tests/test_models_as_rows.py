@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from locusloom.operators import assign
+from locusloom.operators import assign, ends, genome
 
 
 def replay(genes, share=0.5):
@@ -49,3 +49,81 @@ def test_annotations_of_files(spark):
         (20, "h1", None, "h1", 1, 0.0, 0), (21, "h1", None, "e5", 1, 0.0, 0), (22, "h2", None, "h2", 2, 0.0, 0),
     ]
     assert sorted(map(tuple, loci.select("locus", "start", "end", "genes").collect())) == [(1, 1, 100, 2), (2, 90, 300, 1)]
+
+
+def complement(s):
+    return s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+
+def mend(seq, strand, parts, stops=("TAA", "TAG", "TGA")):
+    """One model, on a plus strand (minus strands are mirrored): ``(needed, ok, parts)``."""
+    n = len(seq)
+    mirror = lambda ps: sorted((n + 1 - b, n + 1 - a, f) for a, b, f in ps)
+    s, p = (seq, sorted(parts)) if strand == "+" else (complement(seq), mirror(parts))
+    spliced = "".join(s[a - 1 : b] for a, b, _ in p)[p[0][2] :]
+    no_start, no_stop = spliced[:3] != "ATG" if len(spliced) >= 3 else True, spliced[-3:] not in stops
+    ok = True
+    if no_stop:
+        a, b, f = p[-1]
+        e = b - (b - (a + f) + 1) % 3
+        hit = next((k for k in range(e, n - 2, 3) if s[k : k + 3] in stops), None)
+        ok = hit is not None
+        if ok:
+            p = [*p[:-1], (a, hit + 3, f)]
+    if no_start:
+        a, b, f = p[0]
+        hit = next((k for k in range(a + f - 3, 0, -3) if s[k - 1 : k + 2] in stops), None)
+        found = None
+        if hit is not None:
+            q = [(hit, b, 0), *p[1:]]
+            text = "".join(s[x - 1 : y] for x, y, _ in q)
+            found = next((k for k in range(0, len(text) - 5, 3) if text[k : k + 3] == "ATG"), None)
+            if found is not None and any(text[k : k + 3] == "ATG" for k in range(0, found, 3)):
+                found = None
+        if found is None:
+            ok = False
+        else:
+            p = []
+            for x, y, g in q:
+                if y - x + 1 > found:
+                    p.append((x + found, y, 0 if found else g))
+                    found = 0
+                else:
+                    found -= y - x + 1
+    return no_start or no_stop, ok, p if strand == "+" else mirror(p)
+
+
+def test_ends_are_mended_over_piece_borders(spark):
+    r = random.Random(21)
+    seqs = {f"s{k}": "".join(r.choice("ACGT" if k % 3 else "ACGTCCCGGG") for _ in range(r.choice((5, 40, 400, 3000)))) for k in range(40)}
+    lines, models, cds, want = [], [], [], {}
+    for name, s in seqs.items():
+        lines.append(f">{name} some words")
+        lines += [s[k : k + 37].lower() if k % 2 else s[k : k + 37] for k in range(0, len(s), 37)]
+        for m in range(4):
+            cuts = sorted(r.sample(range(1, len(s) + 1), min(len(s), r.choice((2, 4, 6))) // 2 * 2))
+            parts = [(cuts[k], cuts[k + 1], r.randrange(3)) for k in range(0, len(cuts), 2)]
+            strand, mrna = r.choice("+-"), f"{name}.{m}"
+            models.append((mrna, name, strand))
+            cds += [(mrna, *p) for p in parts]
+            want[mrna] = mend(s, strand, parts)
+    text = spark.createDataFrame(list(enumerate(lines)), "line_no long, value string").repartition(5)
+    for size in (64, 1 << 16):
+        store = genome.from_lines(text, size).cache()
+        assert {x.seqid: x.length for x in genome.lengths(store, size).collect()} == {k: len(s) for k, s in seqs.items()}
+        status, got = ends.mended(spark.createDataFrame(models, "mrna string, seqid string, strand string"), spark.createDataFrame(cds, "mrna string, start long, end long, phase int"), store, window=9, size=size)
+        parts = {}
+        for x in got.collect():
+            parts.setdefault(x.mrna, []).append((x.start, x.end, x.phase))
+        for x in status.collect():
+            assert (x.needed, x.ok, sorted(parts[x.mrna])) == (want[x.mrna][0], want[x.mrna][1], sorted(want[x.mrna][2])), (size, x)
+        assert status.where("needed AND ok").count() > 20 and status.where("NOT ok").count() > 10
+
+
+def test_exons_follow_coding_parts(spark):
+    shape = "mrna string, start long, end long"
+    cds = spark.createDataFrame([("a", 10, 20), ("a", 31, 40), ("b", 5, 9), ("c", 5, 9), ("c", 10, 12)], shape)
+    exons = spark.createDataFrame([("a", 1, 25), ("a", 29, 60), ("a", 80, 90), ("b", 1, 9), ("d", 3, 4), ("d", 6, 9)], shape)
+    x, i = ends.repaired_exons(cds, exons)
+    assert sorted(map(tuple, x.collect())) == [("a", 1, 20), ("a", 31, 60), ("a", 80, 90), ("b", 1, 9), ("c", 5, 12), ("d", 3, 4), ("d", 6, 9)]
+    assert sorted(map(tuple, i.collect())) == [("a", 21, 30), ("a", 61, 79), ("d", 5, 5)]
