@@ -151,14 +151,57 @@ def coarse_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("length"))
 
 
-QUERIES = {f.__name__: f for f in (isoform_scores, selected_sources, repeat_genes, region_clusters, overlapping_regions, region_neighbours, best_region, merged_partitions, sequence_tiles, depth_windows, uncovered_stretches, read_cuts, routed_reads, predictor_segments, coarse_bins)}
+def segment_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth of evidence that was dealt to overlapping segments and taken back: what it was before."""
+    t = track(spark, sf_dir).select(F.col("chrom").alias("seqid"), (F.col("start") + 1).alias("start"), "end")
+    pieces = tiling.segments(t.groupBy("seqid").agg(F.max("end").alias("length")), 10_000, 600)
+    back = tiling.taken_back(tiling.dealt(t, pieces, 9400), pieces)
+    return loci.depth_runs(back.withColumn("end", F.col("end") + 1), ["seqid"])
+
+
+def segment_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence per segment, in coordinates of the segment."""
+    t = track(spark, sf_dir).select(F.col("chrom").alias("seqid"), (F.col("start") + 1).alias("start"), "end")
+    pieces = tiling.segments(t.groupBy("seqid").agg(F.max("end").alias("length")), 10_000, 600)
+    one = F.count(F.lit(1))
+    return tiling.dealt(t, pieces, 9400).groupBy("seqid", "segment").agg(one.alias("n"), F.sum("start").alias("starts"), F.sum("end").alias("ends"))
+
+
+QUERIES = {f.__name__: f for f in (segment_depth, segment_evidence, isoform_scores, selected_sources, repeat_genes, region_clusters, overlapping_regions, region_neighbours, best_region, merged_partitions, sequence_tiles, depth_windows, uncovered_stretches, read_cuts, routed_reads, predictor_segments, coarse_bins)}
 _SCORES = CDS_SQL + """,
 dp AS (SELECT chrom, pos, count(*) AS d FROM (SELECT chrom, unnest(range(s, e)) AS pos FROM ev) GROUP BY 1, 2), fb AS (SELECT source, mrna, locus, chrom, unnest(range("start", "end" + 1)) AS pos FROM cd),
 sc AS (SELECT source, mrna, locus, sum(log10(coalesce(d, 0.01)) + 1) AS score FROM fb LEFT JOIN dp USING (chrom, pos) GROUP BY 1, 2, 3), ln AS (SELECT source, mrna, locus, sum("end" - "start")::BIGINT AS length FROM cd GROUP BY 1, 2, 3),
 iso AS (SELECT source, mrna, locus, round(score, 4) AS score, length, round(score / nullif(length, 0), 4) AS norm_score FROM sc JOIN ln USING (source, mrna, locus))"""
 _CLUSTERS = """cl AS (SELECT *, max("end") OVER (PARTITION BY chrom, gene ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM rr), c2 AS (SELECT *, sum(CASE WHEN m IS NULL OR "start" > m + {t} THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, gene ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS k FROM cl),
 gp AS (SELECT chrom, gene, strand, string_agg(DISTINCT prot, ', ' ORDER BY prot) AS proteins, min("start") AS "start", max("end") AS "end" FROM c2 GROUP BY chrom, gene, strand, k)"""
+_LISTS = f"""{CDS_SQL}, ln AS (SELECT chrom, max(e) + 500 AS length FROM ev GROUP BY 1), dep AS (SELECT chrom, pos, count(*) AS d FROM (SELECT chrom, unnest(range(s + 1, e + 1)) AS pos FROM ev) GROUP BY 1, 2),
+      x AS (SELECT chrom, s + 1 AS s, e FROM ev UNION ALL SELECT chrom, 0, 0 FROM ln UNION ALL SELECT chrom, length + 1, length + 1 FROM ln), y AS (SELECT chrom, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 AS a, s - 1 AS b FROM x),
+      gp AS (SELECT chrom, list({{'a': a, 'b': b}}) AS gaps FROM y WHERE b - a + 1 >= 50 GROUP BY 1), w AS (SELECT chrom, length, unnest(range(0, (length - 1) // 100 + 1)) AS bin FROM ln), c AS (SELECT chrom, (pos - 1) // 100 AS bin, min(d) AS low, count(*) AS seen FROM dep GROUP BY 1, 2),
+      pr AS (SELECT chrom, list(CASE WHEN seen >= least(length, (bin + 1) * 100) - bin * 100 THEN low ELSE 0 END ORDER BY bin) AS depth FROM w LEFT JOIN c USING (chrom, bin) GROUP BY 1),
+      sq AS MATERIALIZED (SELECT chrom, length, coalesce(gaps, []) AS gaps, depth FROM ln JOIN pr USING (chrom) LEFT JOIN gp USING (chrom))"""
 ORACLES = {
+    # one tile of every sequence in each step
+    "sequence_tiles": f"""WITH RECURSIVE {_LISTS},
+      t AS (SELECT chrom, 0::BIGINT AS tile, 1::BIGINT AS s, false AS fin FROM sq
+        UNION ALL SELECT chrom, tile + 1, s, fin FROM (SELECT t.chrom, t.tile, cut.nxt AS s, cut.nxt > q.length AS fin FROM t JOIN sq q USING (chrom),
+          LATERAL (SELECT CASE WHEN q.length - t.s < 3000 THEN q.length + 1 WHEN g IS NOT NULL THEN g + 1 ELSE greatest(least((high - (list_position(list_reverse(near), list_min(near)) - 1)) * 100 + 51, t.s + 2999), t.s) + 1 END AS nxt FROM
+            (SELECT list_max(list_transform(list_filter(q.gaps, lambda z: z.a <= t.s + 2999 AND z.b >= t.s), lambda z: least(z.b, t.s + 2999))) AS g, (t.s + 2998) // 100 AS high, q.depth[(greatest(t.s, t.s + 2000) - 1) // 100 + 1:(t.s + 2998) // 100 + 1] AS near)) AS cut WHERE NOT t.fin) WHERE NOT fin)
+      SELECT chrom AS seqid, tile, s AS "start", coalesce(lead(s) OVER (PARTITION BY chrom ORDER BY tile) - 1, length) AS "end" FROM t JOIN ln USING (chrom)""",
+    "read_cuts": f"""WITH RECURSIVE {CDS_SQL}, t AS (SELECT chrom, s + kind * 7 AS pos FROM ev), b AS (SELECT chrom, min(pos) AS lo, max(pos) + 1 AS hi FROM t GROUP BY 1), n AS (SELECT chrom, (pos - lo) // 50 AS bin, count(*) AS n FROM t JOIN b USING (chrom) GROUP BY 1, 2),
+      p AS (SELECT chrom, lo, hi, ceil((hi - lo) / 20000)::BIGINT AS parts, (hi - lo) / ceil((hi - lo) / 20000) AS piece FROM b), k AS (SELECT *, unnest(range(1, parts)) AS k FROM p), i AS (SELECT *, lo + floor(piece * k)::BIGINT AS ideal, floor(piece * 0.25)::BIGINT AS away FROM k),
+      r AS (SELECT *, (greatest(lo + 1, ideal - away) - lo) // 50 AS ia, (least(hi - 1, ideal + away) - lo) // 50 AS ib FROM i), v AS (SELECT *, unnest(range(ia, ib + 1)) AS bin FROM r WHERE ib > ia),
+      z AS (SELECT v.chrom, k, arg_min(v.bin, {{'a': coalesce(n, 0), 'b': abs(lo + v.bin * 50 - ideal), 'c': v.bin}}) AS best FROM v LEFT JOIN n ON n.chrom = v.chrom AND n.bin = v.bin GROUP BY 1, 2),
+      y AS (SELECT r.chrom, r.k, hi, CASE WHEN best IS NULL THEN ideal ELSE lo + best * 50 + 25 END AS want FROM r LEFT JOIN z ON z.chrom = r.chrom AND z.k = r.k),
+      c AS (SELECT chrom, k, least(want, hi - 1) AS cut FROM y WHERE k = 1 UNION ALL SELECT y.chrom, y.k, least(CASE WHEN want <= cut THEN cut + 50 ELSE want END, hi - 1) FROM c JOIN y ON y.chrom = c.chrom AND y.k = c.k + 1)
+      SELECT chrom AS seqid, k::INT AS k, cut FROM c""",
+    "coarse_bins": """WITH RECURSIVE c AS (SELECT 'scaf|' || c_custkey AS seqid, c_custkey * 7919 % 10007 + 1 AS length FROM customer), room AS (SELECT min(length) AS room FROM c WHERE length > 9000),
+      s AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY length DESC, seqid) AS k FROM c WHERE length <= 9000),
+      b AS (SELECT k, 0 AS bin, length AS used FROM s WHERE k = 1 UNION ALL SELECT s.k, CASE WHEN used + s.length <= room THEN bin ELSE bin + 1 END, CASE WHEN used + s.length <= room THEN used + s.length ELSE s.length END FROM b JOIN s ON s.k = b.k + 1, room),
+      a AS (SELECT replace(seqid, '|', '_') AS bin, length FROM c WHERE length > 9000 UNION ALL SELECT 'small_' || b.bin, s.length FROM b JOIN s USING (k)) SELECT bin, count(*) AS n, sum(length)::BIGINT AS length FROM a GROUP BY 1""",
+    "segment_depth": f"""WITH {CDS_SQL}, v AS (SELECT chrom, s AS pos, 1 AS d FROM ev UNION ALL SELECT chrom, e, -1 FROM ev), p AS (SELECT chrom, pos, sum(d) AS d FROM v GROUP BY 1, 2 HAVING sum(d) <> 0),
+      r AS (SELECT chrom, pos, sum(d) OVER (PARTITION BY chrom ORDER BY pos) AS depth, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS nxt FROM p) SELECT chrom AS seqid, pos + 1 AS "start", nxt + 1 AS "end", depth::BIGINT AS depth FROM r WHERE depth > 0""",
+    "segment_evidence": f"""WITH {CDS_SQL}, ln AS (SELECT chrom, max(e) AS length FROM ev GROUP BY 1), g AS (SELECT chrom, length, unnest(range(1, greatest(1, length - 600) + 1, 9400)) AS lo FROM ln), h AS (SELECT chrom, ((lo - 1) // 9400)::INT AS segment, lo, least(lo + 9999, length) AS hi FROM g)
+      SELECT h.chrom AS seqid, segment, count(*) AS n, sum(greatest(s + 1, lo) - lo + 1)::BIGINT AS starts, sum(least(e, hi) - lo + 1)::BIGINT AS ends FROM h JOIN ev ON ev.chrom = h.chrom AND s + 1 <= hi AND e >= lo GROUP BY 1, 2""",
     "isoform_scores": f"WITH {_SCORES} SELECT * FROM iso",
     "selected_sources": f"""WITH {_SCORES}, ch AS (SELECT locus, source FROM (SELECT *, row_number() OVER (PARTITION BY locus ORDER BY norm_score DESC NULLS LAST, source) AS rn FROM iso) WHERE rn = 1),
       w AS (SELECT locus, source, gene, min("start") OVER (PARTITION BY gene) AS min_start FROM cd JOIN ch USING (locus, source)) SELECT locus, source, min_start, count(*) AS n FROM w GROUP BY 1, 2, 3""",
