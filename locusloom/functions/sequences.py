@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,10 +24,20 @@ def codon_at(col: str, position: Column) -> Column:
     return F.substring(F.col(col), position, F.lit(3))
 
 
+def codons(text: Column) -> Column:
+    """The whole codons of a text, in order."""
+    return F.regexp_extract_all(text, F.lit("(...)"), F.lit(1))
+
+
+def first_of(found: Column, wanted: Sequence[str]) -> Column:
+    """The 1-based place of the first codon that is ``wanted``, or null."""
+    places = [F.nullif(F.array_position(found, w), F.lit(0)) for w in wanted]
+    return F.least(*places) if len(places) > 1 else places[0]
+
+
 def next_stop(col: str, start: Column) -> Column:
     """1-based position of the first in-frame stop codon at or after ``start``, or null."""
-    places = F.when(F.length(col) >= start + 2, F.sequence(start, F.length(col) - 2, F.lit(3))).otherwise(F.array().cast("array<int>"))
-    return F.try_element_at(F.filter(places, lambda p: F.substring(F.col(col), p, F.lit(3)).isin(*STOPS)), F.lit(1))
+    return start + 3 * (first_of(codons(F.substring(F.col(col), start, F.length(col))), STOPS) - 1)
 
 
 def peptide_length(col: str) -> Column:
@@ -52,17 +64,18 @@ def end_codons(cds: Column, phase: Column | int = 0) -> tuple[Column, Column]:
     """First and last whole codon of a spliced CDS after ``phase`` bases are skipped."""
     frame = F.substring(cds, (phase if isinstance(phase, Column) else F.lit(phase)) + 1, F.length(cds))
     whole = F.floor(F.length(frame) / 3).cast("int") * 3
-    return F.substring(frame, F.lit(1), F.lit(3)), F.substring(frame, whole - 2, F.lit(3))
+    return F.substring(frame, F.lit(1), F.lit(3)), F.when(whole > 0, F.substring(frame, whole - 2, F.lit(3))).otherwise("")
 
 
 def previous_start(seq: str, position: Column) -> Column:
     """1-based position of the first start codon after the nearest in-frame stop upstream of ``position`` (and up to it), or
-    null. Without a stop upstream the search reaches the sequence's beginning."""
+    null. Without a stop upstream the search reaches the sequence's beginning. Linear in the length of the sequence."""
     first = F.pmod(position - 1, F.lit(3)) + 1
-    places = F.when(position >= 1, F.sequence(first, position, F.lit(3)))
-    stops = F.filter(places, lambda p: (p < position) & F.substring(F.col(seq), p, F.lit(3)).isin(*STOPS))
-    after = F.coalesce(F.array_max(stops), F.lit(0))
-    return F.array_min(F.filter(places, lambda p: (p > after) & F.substring(F.col(seq), p, F.lit(3)).isin(*STARTS)))
+    up_to = codons(F.substring(F.col(seq), first.cast("int"), (position - first + 3).cast("int")))
+    before = F.slice(up_to, F.lit(1), F.floor((position - first) / 3).cast("int"))
+    stop = F.coalesce(F.size(before) + 1 - first_of(F.reverse(before), STOPS), F.lit(0)).cast("int")
+    behind = F.slice(up_to, stop + 1, F.greatest(F.size(up_to) - stop, F.lit(0)))
+    return F.when(position >= 1, first + 3 * (stop + first_of(behind, STARTS) - 1))
 
 
 def fill_plan(first: Column, last: Column) -> Column:

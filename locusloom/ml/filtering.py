@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.evidence import feature_matrix, rescue_tier
 from ..operators.loci import split_evenly
 from ..written import written
+from . import bagging
 
 
 def assembled(data: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -33,19 +34,10 @@ def positive(model, rows: DataFrame, name: str) -> DataFrame:
     return model.transform(rows).withColumn(name, vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
 
 
-def cross_error(rows: DataFrame, trees: int, per_split: int, seed: int, folds: int = 3) -> float | None:
-    """Share of labelled rows that a forest of the other folds gets wrong. It stands for the out-of-bag error, which Spark
-    ML's forests don't give; null if a fold's training rows have one class only."""
-    t = rows.withColumn("_fold", F.pmod(F.xxhash64("transcript_id", F.lit(seed)), F.lit(folds)))
-    wrong = seen = 0
-    for k in range(folds):
-        rest, held = t.where(F.col("_fold") != k), t.where(F.col("_fold") == k)
-        if rest.select("y").distinct().count() < 2:
-            return None
-        p = positive(_forest(trees, per_split, seed).fit(rest), held, "p")
-        w, n = p.agg(F.count_if((F.col("p") > 0.5) != (F.col("y") == 1)), F.count(F.lit(1))).first()
-        wrong, seen = wrong + w, seen + n
-    return wrong / seen if seen else None
+def bag_error(rows: DataFrame, trees: int, per_split: int, seed: int) -> float | None:
+    """Out-of-bag error of labelled rows, by a bag of trees of the same kind whose samples are known (:mod:`.bagging`):
+    Spark ML's own forests don't tell which rows a tree saw."""
+    return bagging.error(bagging.out_of_bag(rows, bagging.bag(rows, trees, per_split, seed), seed))
 
 
 def semi_supervised(data: DataFrame, features: Sequence[str], busco: DataFrame, trees: int = 100, per_split: int = 6, seed: int = 123, recycle: float = 0.95, max_iter: int = 5, repeat_cutoff: float = 0.5, errors: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -67,13 +59,13 @@ def semi_supervised(data: DataFrame, features: Sequence[str], busco: DataFrame,
     process = []
     model = None
     for k in range(1, max_iter + 1):
-        known = x.select("transcript_id", "x").join(labels.where("y IS NOT NULL"), "transcript_id")
+        known = written(x.select("transcript_id", "x").join(labels.where("y IS NOT NULL"), "transcript_id"), "known")
         if known.select("y").distinct().count() < 2:
             break
         model = _forest(trees, per_split, seed).fit(known)
         counts = lambda t: t.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0), F.count_if(F.col("y").isNull())).first()
         n, b = counts(labels), counts(labels.join(conserved, "transcript_id", "left_semi"))
-        process.append((k, n[0], n[1], n[2], cross_error(known, trees, per_split, seed) if errors else None, b[0], b[1], b[2]))
+        process.append((k, n[0], n[1], n[2], bag_error(known, trees, per_split, seed) if errors else None, b[0], b[1], b[2]))
         if not n[2]:
             break
         open_rows = x.select("transcript_id", "x").join(labels.where("y IS NULL"), "transcript_id")
@@ -116,12 +108,12 @@ def pseudo_labels(t: DataFrame, homolog: Column) -> DataFrame:
     return t.where(pos | (F.coalesce(F.col("rex_pident"), F.lit(0.0)) > 0)).withColumn("y", F.when(pos, 1.0).otherwise(0.0))
 
 
-def out_of_fold(labelled: DataFrame, features: Sequence[str], kind: str = "logistic", trees: int = 200, seed: int = 42) -> DataFrame | None:
+def out_of_fold(labelled: DataFrame, features: Sequence[str], kind: str = "logistic", trees: int = 200, seed: int = 42) -> DataFrame:
     """``transcript_id, y, score`` of every row by a model that did not see it: up to five folds, even within each class.
-    ``kind``: ``logistic``, or ``forest`` with classes weighted to balance. Null for fewer than ten rows or one class."""
+    ``kind``: ``logistic``, or ``forest`` with classes weighted to balance. No rows for fewer than ten or one class."""
     n = dict(labelled.groupBy("y").count().collect())
     if len(n) < 2 or sum(n.values()) < 10 or min(n.values()) < 2:
-        return None
+        return labelled.select("transcript_id", F.col("y").cast("int").alias("y"), F.lit(0.0).alias("score")).limit(0)
     folds = min(5, *n.values())
     x = assembled(labelled, features).join(labelled.select("transcript_id", "y"), "transcript_id")
     parts = [split_evenly(x.where(F.col("y") == c), folds, "transcript_id") for c in (0.0, 1.0)]

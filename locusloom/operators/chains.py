@@ -49,3 +49,20 @@ def rooted(links: DataFrame, node: str = "id", parent: str = "parent") -> DataFr
         above = t.select(F.col("node").alias("_a"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("root").alias("_r"))
         t = written(t.join(above, F.col("up") == F.col("_a"), "left").select("node", F.when(F.col("root").isNull(), F.col("_up")).otherwise(F.col("up")).alias("up"), F.when(F.col("root").isNull(), F.col("depth") + F.coalesce("_d", F.lit(0).cast("long"))).otherwise(F.col("depth")).alias("depth"), F.coalesce("root", "_r").alias("root")), "links")
     return t.select(F.col("node").alias(node), "root", F.when(F.col("root").isNotNull(), F.col("depth")).alias("depth"))
+
+
+def components(links: DataFrame, node: str = "node", key: str = "key") -> DataFrame:
+    """``node, component`` (its smallest node) of nodes that are tied by common keys (``node``, ``key``). Keys take the least
+    label of their nodes and nodes the least of their keys, then every label is replaced by its own label: rounds grow
+    with the logarithm of the longest way. Work is one row per link; a key with many nodes is an aggregation."""
+    ties = written(links.select(F.col(node).alias("n"), F.col(key).alias("k")).distinct(), "ties")
+    label = written(ties.select("n").distinct().withColumn("c", F.col("n")), "labels")
+    while True:
+        least = ties.join(label, "n").groupBy("k").agg(F.min("c").alias("c"))
+        near = ties.join(least, "k").groupBy("n").agg(F.min("c").alias("near"))
+        of = label.select(F.col("n").alias("_n"), F.col("c").alias("_c"))
+        after = label.join(near, "n").join(of, F.col("near") == F.col("_n")).select("n", F.least("near", "_c").alias("c"), (F.least("near", "_c") < F.col("c")).alias("changed"))
+        after = written(after, "labels")
+        label = after.select("n", "c")
+        if after.where("changed").isEmpty():
+            return label.select(F.col("n").alias(node), F.col("c").alias("component"))

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import STARTS, STOPS
+from ..functions.sequences import STARTS, STOPS, codons, first_of
 from ..written import written
-from .genome import SIZE, codons, first_of, lengths, searched, texts
+from .genome import SIZE, lengths, searched, texts
 
 
 def in_translation(models: DataFrame, cds: DataFrame) -> DataFrame:

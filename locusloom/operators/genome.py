@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sequences import codons, first_of
 from ..written import written
 from .sweep import carried, within
 from .tree import forward_fill, line_range
@@ -78,17 +79,6 @@ def texts(store: DataFrame, stretches: DataFrame, key: Sequence[str], size: int
     return met.select(*key, run.alias("run")).groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("run")), lambda r: r["text"]), "").alias("text"))
 
 
-def codons(text: Column) -> Column:
-    """The whole codons of a text, in order."""
-    return F.regexp_extract_all(text, F.lit("(...)"), F.lit(1))
-
-
-def first_of(found: Column, wanted: Sequence[str]) -> Column:
-    """The 1-based place of the first codon that is ``wanted``, or null."""
-    places = [F.nullif(F.array_position(found, w), F.lit(0)) for w in wanted]
-    return F.least(*places) if len(places) > 1 else places[0]
-
-
 def searched(open_ends: DataFrame, store: DataFrame, wanted: Sequence[str], ahead: bool, first: int = 999, size: int = SIZE) -> DataFrame:
     """``mrna, place``: the outer end of the nearest in-frame codon that is ``wanted``, from ``edge`` (the last base that is
     passed) on, along the strand (``ahead``) or against it; null if there is none before the sequence ends.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .evidence import first_by
 from .interval import overlap_join
 from .loci import clusters, log_evidence
-from .sweep import measure
+from .sweep import carried, measure, previous, within
 
 
 def isoform_scores(features: DataFrame, runs: DataFrame, penalty: float = 0.01) -> DataFrame:
@@ -70,18 +70,39 @@ def _names(col: str) -> Column:
     return F.array_join(F.sort_array(F.collect_set(col)), ", ")
 
 
-def region_clusters(regions: DataFrame, genes: DataFrame, threshold: int) -> DataFrame:
+def _runs(t: DataFrame, by: list[str], new, order: list[str], size: int = 4096) -> DataFrame:
+    """``cluster``: how many rows up to the current one, in the total order of ``order`` within ``by``, begin a run (``new``)."""
+    t = carried(t.withColumn("_new", new.cast("long")), by, F.col("start"), size, {"_before": F.sum("_new")})
+    return t.withColumn("cluster", F.coalesce("_before", F.lit(0).cast("long")) + F.sum("_new").over(within(by, *order))).drop("_new", "_before", "_range")
+
+
+def region_clusters(regions: DataFrame, genes: DataFrame, threshold: int, parity: bool = False) -> DataFrame:
     """Protein regions (``chrom, start, end, strand, prot``) joined within their gene while the next begins within
     ``threshold`` of what was reached; proteins without a gene in ``genes`` (``transcript_id``, ``gene_id``) are their own:
-    ``chrom, gene, strand, proteins, start, end``."""
+    ``chrom, gene, strand, proteins, start, end``.
+
+    With ``parity``, only the row before counts, as in a pass over sorted rows: a region begins a run if its start is
+    further than ``threshold`` from that row's end, on either side. Long regions then don't reach past their successor."""
     r = regions.join(genes, F.col("prot") == F.col("transcript_id"), "left").withColumn("gene", F.coalesce("gene_id", "prot"))
-    k = clusters(r.select("chrom", "gene", "strand", "prot", "start", "end").distinct(), ["chrom", "gene"], threshold)
+    r, by = r.select("chrom", "gene", "strand", "prot", "start", "end").distinct(), ["chrom", "gene"]
+    if parity:
+        order = ["start", "end", "prot", "strand"]
+        r = previous(r, by, F.col("start"), order, "end", 4096)
+        k = _runs(r, by, F.coalesce(F.abs(F.col("start") - F.col("_previous")) > threshold, F.lit(True)), order)
+    else:
+        k = clusters(r, by, threshold)
     return k.groupBy("chrom", "gene", "strand", "cluster").agg(_names("prot").alias("proteins"), F.min("start").alias("start"), F.max("end").alias("end")).drop("cluster")
 
 
-def overlapping_regions(groups: DataFrame) -> DataFrame:
-    """Groups of different genes that overlap, joined: ``chrom, strand, genes, start, end``."""
-    k = clusters(groups, ["chrom"])
+def overlapping_regions(groups: DataFrame, parity: bool = False) -> DataFrame:
+    """Groups of different genes that overlap, joined: ``chrom, strand, genes, start, end``. With ``parity``, groups are joined
+    while the next begins at or before the end of the group right before it, whatever came earlier."""
+    if parity:
+        order = ["start", "end", "gene", "strand", "proteins"]
+        g = previous(groups, ["chrom"], F.col("start"), order, "end", 4096)
+        k = _runs(g, ["chrom"], F.coalesce(F.col("start") > F.col("_previous"), F.lit(True)), order)
+    else:
+        k = clusters(groups, ["chrom"])
     return k.groupBy("chrom", "strand", "cluster").agg(_names("gene").alias("genes"), F.min("start").alias("start"), F.max("end").alias("end")).drop("cluster")
 
 

@@ -32,6 +32,23 @@ def within(by: Sequence[str], *order, to: int = 0):
     return Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, to)
 
 
+def previous(t: DataFrame, by: Sequence[str], at: Column, order: Sequence[str], value: str, size: int) -> DataFrame:
+    """``t`` with ``_previous``: ``value`` of the row before in the order of ``at`` and then ``order`` (total, beginning with what
+    ``at`` grows with), within ``by``; null for the first. A range's first row takes it from the last row of the nearest
+    range before that has any, so no task holds a group."""
+    t = t.withColumn("_range", F.floor(at / size))
+    last = t.groupBy(*by, "_range").agg(F.max(F.struct(*order, F.col(value).alias("_value"))).getField("_value").alias("_from"))
+    last = last.withColumn("_from", F.lag("_from").over(Window.partitionBy(*by).orderBy("_range")))
+    keys = [*by, "_range"]
+    last = last.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_from")
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    inside = Window.partitionBy(*by, "_range").orderBy(*order)
+    out = t.join(last, cond, "left").withColumn("_previous", F.when(F.row_number().over(inside) == 1, F.col("_from")).otherwise(F.lag(value).over(inside)))
+    return out.drop("_range", "_from", *(f"_k{i}" for i in range(len(keys))))
+
+
 def profile(b: DataFrame, by: Sequence[str], points: DataFrame, start: str = "b_start", end: str = "b_end", size: int = 4096) -> DataFrame:
     """For each position of ``points`` (``by``, ``pos``), over half-open intervals ``b``: starts before it (``begun``),
     ends at or before it (``ended``), and the positions before it that are covered (``covered``) or covered with their

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..written import written
+from .chains import rooted
 from .sweep import carried, within
 
 CHILD_TYPES = ("exon", "CDS")
@@ -64,6 +66,35 @@ def linked(features: DataFrame) -> DataFrame:
     return top.unionByName(mrnas.withColumn("mrna", F.col("id"))).unionByName(rest).drop("_coding")
 
 
+def closure(features: DataFrame) -> DataFrame:
+    """Every feature with ``root`` and ``depth``: the top of its line of (first) parents and the steps up to it, at any depth,
+    by pointer jumping. A row without a parent is its own root; one whose parent is missing counts as such a row
+    (``orphan``). On a circle of parents, and below one, root and depth are null."""
+    up = F.element_at("parents", 1)
+    ids = features.where("id IS NOT NULL").groupBy("id").agg(F.min_by(F.struct(up.alias("up")), F.struct("line_no", "start", "end")).alias("_p")).select("id", F.col("_p.up").alias("up"))
+    top = rooted(ids, "id", "up").select(F.col("id").alias("_i"), F.col("root").alias("_r"), F.col("depth").alias("_d"))
+    t = features.withColumn("_up", up).join(top, F.col("_up") == F.col("_i"), "left")
+    lone, orphan = F.col("_up").isNull(), F.col("_up").isNotNull() & F.col("_i").isNull()
+    t = t.withColumn("root", F.when(lone | orphan, F.col("id")).otherwise(F.col("_r"))).withColumn("depth", F.when(lone | orphan, F.lit(0).cast("long")).otherwise(F.col("_d") + 1))
+    return t.withColumn("orphan", orphan).drop("_up", "_i", "_r", "_d")
+
+
+def without_below(features: DataFrame, gone: DataFrame) -> DataFrame:
+    """``features`` without the ids in ``gone`` (``id``) and without all rows, at any depth, whose every parent goes. Each
+    round takes away one level of parents; rows of several parents stay while one of them does."""
+    ids = gone.select("id").distinct()
+    while True:
+        bad = written(ids.select(F.col("id").alias("_bad")), "gone")
+        named = features.where("size(parents) > 0").select("line_no", "id", F.explode("parents").alias("_p")).join(bad, F.col("_p") == F.col("_bad"), "left")
+        lost = named.groupBy("line_no", "id").agg(F.bool_and(F.col("_bad").isNotNull()).alias("all")).where("all")
+        more = lost.where("id IS NOT NULL").select("id").distinct().join(bad, F.col("id") == F.col("_bad"), "left_anti")
+        more = written(more, "lost")
+        if more.isEmpty():
+            left = features.join(bad, F.col("id") == F.col("_bad"), "left_anti")
+            return left.join(lost.select("line_no"), "line_no", "left_anti")
+        ids = bad.select(F.col("_bad").alias("id")).unionByName(more)
+
+
 def without_mrnas(features: DataFrame, bad: DataFrame) -> DataFrame:
     """``features`` without the mRNAs in ``bad`` (``mrna``), without genes that lose all their mRNAs by that, and without
     children all of whose parents go."""

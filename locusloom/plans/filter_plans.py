@@ -62,7 +62,8 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def te_domain_withdrawal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain evidence without transcripts that carry transposon domains only; borderline names count."""
-    d = domains(spark, sf_dir).where("transcript_id % 3 = 0 OR domain IN ('RVT_1', 'zf-BED', 'hATC', 'SWIM')")
+    d = domains(spark, sf_dir)
+    d = d.withColumn("domain", F.when((F.col("transcript_id") % 3 == 0) | F.col("domain").isin("RVT_1", "zf-BED", "hATC", "SWIM"), F.col("domain")).otherwise("RVT_1"))
     out = ev.withdraw_te_domains(more_evidence(spark, sf_dir), ev.te_only(d, borderline=True))
     return out.select("transcript_id", "f_pfam")
 
@@ -79,7 +80,7 @@ def two_hop_subject_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = ev.first_by(hits, "query", F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")).select("query", "subject")
     o = read(spark, sf_dir, "orders")
     proteins = o.select((F.col("o_orderkey") % 120).alias("protein"), F.col("o_orderkey").alias("transcript"), F.col("o_orderkey").alias("line_no"))
-    return ev.subject_exons(best, proteins, l.where("l_linenumber < 6").select(F.col("l_orderkey").alias("transcript")))
+    return ev.subject_exons(best, proteins, l.select(F.col("l_orderkey").alias("transcript")))
 
 
 def rule_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,11 +143,11 @@ ORACLES = {
     "noncoding_single_exon": f"{BASE} SELECT transcript_id, coalesce(single_exon, false) AND coalesce(noncoding_prob, 0) >= 0.5 AND coalesce(hexamer, 1) < 0.15 AND cpc2 AS f_noncoding FROM mr",
     "seed_labels_opt_in": f"""{BASE}, {STRICT}, fl2 AS (SELECT * REPLACE (NOT blast AS noblast) FROM st), {LABEL.replace(' FROM fl)', ' FROM fl2)')}
       SELECT transcript_id, CASE WHEN coalesce(single_exon, false) AND coalesce(noncoding_prob, 0) >= 0.5 AND coalesce(hexamer, 1) < 0.15 AND NOT pf AND noblast THEN 'Discard' ELSE label END AS label FROM lb""",
-    "te_domain_withdrawal": f"""{BASE}, d AS (SELECT * FROM ({_DOM}) WHERE transcript_id % 3 = 0 OR domain IN ('RVT_1', 'zf-BED', 'hATC', 'SWIM')), te AS (SELECT transcript_id FROM d GROUP BY 1 HAVING bool_and({_TE} OR domain = 'SWIM'))
+    "te_domain_withdrawal": f"""{BASE}, d AS (SELECT transcript_id, CASE WHEN transcript_id % 3 = 0 OR domain IN ('RVT_1', 'zf-BED', 'hATC', 'SWIM') THEN domain ELSE 'RVT_1' END AS domain FROM ({_DOM})), te AS (SELECT transcript_id FROM d GROUP BY 1 HAVING bool_and({_TE} OR domain = 'SWIM'))
       SELECT transcript_id, pf AND transcript_id NOT IN (SELECT transcript_id FROM te) AS f_pfam FROM mr""",
     "te_domain_names": f"SELECT domain, {_TE} AS te, {_TE} OR domain = 'SWIM' AS te_or_borderline, count(*) AS n FROM ({_DOM}) GROUP BY 1, 2, 3",
     "two_hop_subject_exons": """WITH b AS (SELECT l_partkey AS query, arg_min(l_suppkey, {'a': -l_extendedprice, 'b': l_orderkey, 'c': l_linenumber}) AS subject FROM lineitem GROUP BY 1),
-      m AS (SELECT o_orderkey % 120 AS protein, min(o_orderkey) AS transcript FROM orders GROUP BY 1), x AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_linenumber < 6 GROUP BY 1)
+      m AS (SELECT o_orderkey % 120 AS protein, min(o_orderkey) AS transcript FROM orders GROUP BY 1), x AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
       SELECT query, subject, CASE WHEN protein IS NOT NULL THEN coalesce(n, 0) END AS subject_exons FROM b LEFT JOIN m ON protein = subject LEFT JOIN x ON l_orderkey = transcript""",
     "rule_overlap_counts": f"{BASE} SELECT count(*) FILTER (cov AND aug AND pf) AS ab, count(*) FILTER (cov AND aug AND lncf) AS ac, count(*) FILTER (pf AND lncf) AS bc FROM mr",
     "rescue_with_busco_net": f"""{BASE}, {LABEL.replace(' FROM fl)', ' FROM mr)')}, t AS (SELECT *, CASE WHEN label <> 'None' THEN 'none' WHEN prob > 0.6 AND NOT (coalesce(rex_pident, 0) > 0 AND NOT coalesce(blast_pident, 0) > 0) THEN 'classifier'

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ml import filtering
+from ..ml import bagging, filtering
 from ..operators import evidence as ev
+from ..written import written
 from .evidence_plans import evidence
 from .filter_plans import busco_table
 
@@ -16,8 +17,15 @@ FEATURES = ["tpm", "coverage", "augustus", "helixer", "repeat", "lnc"]
 def semi_supervised_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts that the forest workflow keeps, with the reason."""
     t = ev.seed_label(ev.flags(evidence(spark, sf_dir)))
-    busco = busco_table(spark, sf_dir).where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("transcript_id"), "status")
-    return filtering.semi_supervised(t, FEATURES, busco, trees=20, max_iter=3, errors=False)[0]
+    busco = busco_table(spark, sf_dir).select(F.col("p_partkey").alias("transcript_id"), "status")
+    return filtering.semi_supervised(t, FEATURES, busco, errors=False)[0]
+
+
+def out_of_bag_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the trees that did not see a seed transcript judge it."""
+    t = ev.seed_label(ev.flags(evidence(spark, sf_dir))).where("label IN ('Keep', 'Discard')").withColumn("y", F.when(F.col("label") == "Keep", 1.0).otherwise(0.0))
+    rows = written(filtering.assembled(t, FEATURES).join(t.select("transcript_id", "y"), "transcript_id"), "seeds")
+    return bagging.out_of_bag(rows, bagging.bag(rows, 20, 3, 123), 123)
 
 
 def out_of_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +35,5 @@ def out_of_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filtering.out_of_fold(t, FEATURES)
 
 
-QUERIES = {f.__name__: f for f in (semi_supervised_keep, out_of_fold_scores)}
+QUERIES = {f.__name__: f for f in (semi_supervised_keep, out_of_bag_votes, out_of_fold_scores)}
 ORACLES: dict[str, str] = {}

@@ -38,8 +38,9 @@ def chimera_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def childless_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that no child on the plus strand names; the others name a model of the minus strand."""
     genes = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("mrna"))
-    return models.childless(genes, cds(spark, sf_dir).where("strand = '+'").select(F.col("gene").cast("string").alias("mrna")))
+    return models.childless(genes, cds(spark, sf_dir).select(F.concat(F.col("gene").cast("string"), F.when(F.col("strand") == "+", "").otherwise(".minus")).alias("mrna")))
 
 
 def phase_calc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def phase_calc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def utr_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cds(spark, sf_dir)
-    spans = c.where("end - start > 20").groupBy("mrna").agg(F.min("start").alias("cds_start"), F.max("end").alias("cds_end"))
+    spans = c.groupBy("mrna").agg((F.min("start") + 7).alias("cds_start"), (F.max("end") - 9).alias("cds_end"))
     return models.utrs(c.select("mrna", "strand", "start", "end"), spans).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start") + 1).alias("bp"))
 
 
@@ -132,7 +133,7 @@ ORACLES = {
     "childless_strict": f"WITH {CDS_SQL} SELECT o_orderkey::VARCHAR AS mrna FROM orders WHERE o_orderkey NOT IN (SELECT gene FROM cds WHERE strand = '+')",
     "phase_calc": f"""WITH {CDS_SQL}, u AS (SELECT DISTINCT mrna, "start", "end" FROM cds), m AS (SELECT mrna, min(strand) AS strand FROM cds GROUP BY 1)
       SELECT mrna, "start", "end", ((3 - coalesce(sum("end" - "start" + 1) OVER (PARTITION BY mrna ORDER BY CASE WHEN strand = '-' THEN -"start" ELSE "start" END, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 3) % 3)::INT AS phase FROM u JOIN m USING (mrna)""",
-    "utr_split": f"""WITH {CDS_SQL}, sp AS (SELECT mrna, min("start") AS cs, max("end") AS ce FROM cds WHERE "end" - "start" > 20 GROUP BY 1),
+    "utr_split": f"""WITH {CDS_SQL}, sp AS (SELECT mrna, min("start") + 7 AS cs, max("end") - 9 AS ce FROM cds GROUP BY 1),
       u AS (SELECT CASE WHEN strand = '-' THEN 'three_prime_UTR' ELSE 'five_prime_UTR' END AS type, "start" AS s, least("end", cs - 1) AS e FROM cds JOIN sp USING (mrna)
         UNION ALL SELECT CASE WHEN strand = '-' THEN 'five_prime_UTR' ELSE 'three_prime_UTR' END, greatest("start", ce + 1), "end" FROM cds JOIN sp USING (mrna))
       SELECT type, count(*) AS n, sum(e - s + 1)::BIGINT AS bp FROM u WHERE s <= e GROUP BY 1""",

@@ -63,8 +63,9 @@ def _regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     start = _days("l_shipdate") * 60 + F.col("l_linenumber")
     prot = lambda c: F.concat(F.lit("p"), F.col(c).cast("string"))
     r = l.select(F.concat(F.lit("Chr"), (F.col("l_orderkey") % 12 + 1).cast("string")).alias("chrom"), prot("l_partkey").alias("prot"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand"), start.alias("start"), (start + F.col("l_quantity").cast("long")).alias("end"))
-    p = read(spark, sf_dir, "part").where("p_partkey % 4 > 0")
-    return r, p.select(prot("p_partkey").alias("transcript_id"), F.concat(F.lit("G"), F.floor(F.col("p_partkey") / 4).cast("string")).alias("gene_id"))
+    p = read(spark, sf_dir, "part")
+    gene = F.when(F.col("p_partkey") % 4 > 0, F.concat(F.lit("G"), F.floor(F.col("p_partkey") / 4).cast("string")))
+    return r, p.select(prot("p_partkey").alias("transcript_id"), gene.alias("gene_id"))
 
 
 def region_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +73,15 @@ def region_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlapping_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.overlapping_regions(scoring.region_clusters(*_regions(spark, sf_dir), 60).where("gene LIKE 'G1%'"))
+    """Groups of different genes that overlap; ten sequences stand for each chromosome."""
+    groups = scoring.region_clusters(*_regions(spark, sf_dir), 60)
+    return scoring.overlapping_regions(groups.withColumn("chrom", F.concat_ws(".", "chrom", F.right("gene", F.lit(1)))))
+
+
+def regions_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions joined by what is right before them, and then groups of genes likewise."""
+    groups = scoring.region_clusters(*_regions(spark, sf_dir), 60, parity=True)
+    return scoring.overlapping_regions(groups.withColumn("chrom", F.concat_ws(".", "chrom", F.right("gene", F.lit(1)))), parity=True)
 
 
 def region_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,13 +98,13 @@ def best_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PART_SQL = """
-pg AS (SELECT 'q' || (l_orderkey % 40) AS seqid, l_suppkey % 4 AS part, (l_orderkey * 10 + l_linenumber) * 1000 + l_suppkey AS line_no, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, (l_partkey * 37 % 20000 + 1)::BIGINT AS s, (l_partkey * 37 % 20000 + l_quantity * 3)::BIGINT AS e FROM lineitem WHERE l_orderkey % 40 < 39 OR l_suppkey % 4 = 0),
+pg AS (SELECT 'q' || (l_orderkey % 40) AS seqid, l_suppkey % 4 AS part, (l_orderkey * 10 + l_linenumber) * 1000 + l_suppkey AS line_no, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, (l_partkey * 37 % 20000 + 1)::BIGINT AS s, (l_partkey * 37 % 20000 + l_quantity * 3)::BIGINT AS e FROM lineitem),
 g AS (SELECT seqid, part, line_no, strand, s <= 300 AND part > 0 AS zone, s + part * 19000 AS s, e + part * 19000 AS e FROM pg)"""
 
 
 def merged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One gene set from predictions of overlapping segments."""
-    l = read(spark, sf_dir, "lineitem").where("l_orderkey % 40 < 39 OR l_suppkey % 4 = 0")
+    l = read(spark, sf_dir, "lineitem")
     at = F.col("l_partkey") * 37 % 20000
     g = l.select(F.concat(F.lit("q"), (F.col("l_orderkey") % 40).cast("string")).alias("seqid"), (F.col("l_suppkey") % 4).alias("part"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000 + F.col("l_suppkey")).alias("line_no"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand"), (at + 1).alias("start"), (at + F.col("l_quantity") * 3).cast("long").alias("end"))
     parts = g.select("seqid", "part").distinct().select("seqid", "part", (F.col("part") * 19000).alias("offset"), F.lit(300).alias("overlap"))
@@ -118,8 +127,8 @@ def depth_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uncovered_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stretches of 25 positions and more without evidence, up to both ends of the sequence."""
-    t = track(spark, sf_dir).where("kind < 2").select("chrom", (F.col("start") + 1).alias("start"), "end")
+    """Stretches of 25 positions and more without evidence of a kind, up to both ends of the sequence."""
+    t = track(spark, sf_dir).select(F.concat_ws(".", "chrom", "kind").alias("chrom"), (F.col("start") + 1).alias("start"), "end")
     return loci.gaps(t, ["chrom"], 25, t.groupBy("chrom").agg((F.max("end") + 500).alias("length")))
 
 
@@ -167,7 +176,7 @@ def segment_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.dealt(t, pieces, 9400).groupBy("seqid", "segment").agg(one.alias("n"), F.sum("start").alias("starts"), F.sum("end").alias("ends"))
 
 
-QUERIES = {f.__name__: f for f in (segment_depth, segment_evidence, isoform_scores, selected_sources, repeat_genes, region_clusters, overlapping_regions, region_neighbours, best_region, merged_partitions, sequence_tiles, depth_windows, uncovered_stretches, read_cuts, routed_reads, predictor_segments, coarse_bins)}
+QUERIES = {f.__name__: f for f in (segment_depth, segment_evidence, isoform_scores, selected_sources, repeat_genes, region_clusters, overlapping_regions, regions_by_row, region_neighbours, best_region, merged_partitions, sequence_tiles, depth_windows, uncovered_stretches, read_cuts, routed_reads, predictor_segments, coarse_bins)}
 _SCORES = CDS_SQL + """,
 dp AS (SELECT chrom, pos, count(*) AS d FROM (SELECT chrom, unnest(range(s, e)) AS pos FROM ev) GROUP BY 1, 2), fb AS (SELECT source, mrna, locus, chrom, unnest(range("start", "end" + 1)) AS pos FROM cd),
 sc AS (SELECT source, mrna, locus, sum(log10(coalesce(d, 0.01)) + 1) AS score FROM fb LEFT JOIN dp USING (chrom, pos) GROUP BY 1, 2, 3), ln AS (SELECT source, mrna, locus, sum("end" - "start")::BIGINT AS length FROM cd GROUP BY 1, 2, 3),
@@ -208,8 +217,12 @@ ORACLES = {
     "repeat_genes": f"""WITH {CDS_SQL}, u AS (SELECT DISTINCT chrom, unnest(range(s, e)) AS pos FROM ev WHERE kind > 1), b AS (SELECT gene, chrom, unnest(range("start", "end" + 1)) AS pos FROM cd),
       c AS (SELECT gene, count(u.pos) AS overlap, count(*) AS cds_bp FROM b LEFT JOIN u USING (chrom, pos) GROUP BY 1) SELECT gene, overlap, cds_bp, round(overlap / cds_bp, 6) AS share FROM c WHERE overlap / cds_bp < 0.8""",
     "region_clusters": f"WITH {REGION_SQL}, {_CLUSTERS.format(t=2000)} SELECT * FROM gp",
-    "overlapping_regions": f"""WITH {REGION_SQL}, {_CLUSTERS.format(t=60)}, h AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM gp WHERE gene LIKE 'G1%'),
+    "overlapping_regions": f"""WITH {REGION_SQL}, {_CLUSTERS.format(t=60)}, gq AS (SELECT * REPLACE (chrom || '.' || right(gene, 1) AS chrom) FROM gp), h AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM gq),
       h2 AS (SELECT *, sum(CASE WHEN m IS NULL OR "start" > m THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS k2 FROM h) SELECT chrom, strand, string_agg(DISTINCT gene, ', ' ORDER BY gene) AS genes, min("start") AS "start", max("end") AS "end" FROM h2 GROUP BY chrom, strand, k2""",
+    "regions_by_row": f"""WITH {REGION_SQL}, l1 AS (SELECT *, lag("end") OVER (PARTITION BY chrom, gene ORDER BY "start", "end", prot, strand) AS b FROM rr), l2 AS (SELECT *, sum(CASE WHEN b IS NULL OR abs("start" - b) > 60 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, gene ORDER BY "start", "end", prot, strand) AS k FROM l1),
+      gp AS (SELECT chrom || '.' || right(gene, 1) AS chrom, gene, strand, string_agg(DISTINCT prot, ', ' ORDER BY prot) AS proteins, min("start") AS "start", max("end") AS "end" FROM l2 GROUP BY l2.chrom, gene, strand, k),
+      h AS (SELECT *, lag("end") OVER (PARTITION BY chrom ORDER BY "start", "end", gene, strand, proteins) AS b FROM gp), h2 AS (SELECT *, sum(CASE WHEN b IS NULL OR "start" > b THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY "start", "end", gene, strand, proteins) AS k FROM h)
+      SELECT chrom, strand, string_agg(DISTINCT gene, ', ' ORDER BY gene) AS genes, min("start") AS "start", max("end") AS "end" FROM h2 GROUP BY chrom, strand, k""",
     "region_neighbours": f"""WITH {REGION_SQL}, d AS (SELECT DISTINCT chrom, gene, "start" AS s, "end" AS e FROM rr)
       SELECT a.chrom, a.gene, count(*) AS n FROM d a JOIN d b ON a.chrom = b.chrom AND a.gene = b.gene AND (a.s <> b.s OR a.e <> b.e) AND (abs(a.s - b.s) <= 500 OR abs(a.s - b.e) <= 500 OR abs(a.e - b.s) <= 500 OR abs(a.e - b.e) <= 500) GROUP BY 1, 2""",
     "best_region": "SELECT prot, rank, score, line_no FROM (SELECT l_partkey AS prot, l_suppkey % 3 AS rank, l_quantity AS score, (l_orderkey * 10 + l_linenumber) * 1000 + l_suppkey AS line_no, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey % 3, l_quantity DESC, (l_orderkey * 10 + l_linenumber) * 1000 + l_suppkey) AS rn FROM lineitem) WHERE rn = 1",
@@ -219,7 +232,7 @@ ORACLES = {
       SELECT seqid, strand, s AS "start", e AS "end", part FROM l WHERE NOT (parts > 1 AND zone AND EXISTS (SELECT 1 FROM l x WHERE x.seqid = l.seqid AND x.s <= l.e AND l.s <= x.e AND (x.s <> l.s OR x.e <> l.e OR x.strand <> l.strand)))""",
     "depth_windows": f"""WITH {CDS_SQL}, b AS (SELECT chrom, pos, count(*) AS d FROM (SELECT chrom, unnest(range(s + 1, e + 1)) AS pos FROM ev) GROUP BY 1, 2), ln AS (SELECT chrom, max(e) + 501 AS length FROM ev GROUP BY 1), w AS (SELECT chrom, length, unnest(range(0, (length - 1) // 100 + 1)) AS bin FROM ln),
       c AS (SELECT chrom, (pos - 1) // 100 AS bin, min(d) AS low, count(*) AS seen FROM b GROUP BY 1, 2) SELECT chrom, bin, CASE WHEN seen >= least(length, (bin + 1) * 100) - bin * 100 THEN low ELSE 0 END AS depth FROM w LEFT JOIN c USING (chrom, bin)""",
-    "uncovered_stretches": f"""WITH {CDS_SQL}, t AS (SELECT chrom, s + 1 AS s, e FROM ev WHERE kind < 2), ln AS (SELECT chrom, max(e) + 500 AS length FROM t GROUP BY 1), x AS (SELECT chrom, s, e FROM t UNION ALL SELECT chrom, 0, 0 FROM ln UNION ALL SELECT chrom, length + 1, length + 1 FROM ln),
+    "uncovered_stretches": f"""WITH {CDS_SQL}, t AS (SELECT chrom || '.' || kind AS chrom, s + 1 AS s, e FROM ev), ln AS (SELECT chrom, max(e) + 500 AS length FROM t GROUP BY 1), x AS (SELECT chrom, s, e FROM t UNION ALL SELECT chrom, 0, 0 FROM ln UNION ALL SELECT chrom, length + 1, length + 1 FROM ln),
       y AS (SELECT chrom, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 AS gap_start, s - 1 AS gap_end FROM x) SELECT * FROM y WHERE gap_end - gap_start + 1 >= 25""",
     "routed_reads": f"""WITH {CDS_SQL}, t AS (SELECT chrom AS seqid, s + 1 AS pos FROM ev), ln AS (SELECT seqid, max(pos) - 5000 AS length FROM t GROUP BY 1), p AS (SELECT seqid, unnest(range(0, (length - 1) // 10000 + 1)) AS piece, length FROM ln)
       SELECT t.seqid, piece::INT AS piece, count(*) AS n FROM t JOIN p ON p.seqid = t.seqid AND piece = least((pos - 1) // 10000, (length - 1) // 10000) GROUP BY 1, 2""",

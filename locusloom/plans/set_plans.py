@@ -20,7 +20,7 @@ def set_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def update_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts whose size is replaced by their largest quantity where that is known."""
-    q = read(spark, sf_dir, "lineitem").where("l_suppkey % 3 = 0").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max(F.col("l_quantity")).cast("long").alias("p_size"))
+    q = read(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max(F.col("l_quantity")).cast("long").alias("p_size"))
     return sets.updated(read(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("long").alias("p_size")), q, "p_partkey", ["p_size"])
 
 
@@ -58,7 +58,7 @@ QUERIES = {f.__name__: f for f in (set_membership, update_by_key, union_first, s
 ORACLES = {
     "set_membership": """WITH m AS (SELECT p_partkey, p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) AS in_a, p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount > 0.09) AS in_b FROM part)
       SELECT *, in_a OR in_b AS in_any, in_a AND in_b AS in_both, in_a AND NOT in_b AS only_a FROM m""",
-    "update_by_key": "SELECT p_partkey, coalesce(q, p_size)::BIGINT AS p_size FROM part LEFT JOIN (SELECT l_partkey, max(l_quantity)::BIGINT AS q FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1) ON l_partkey = p_partkey",
+    "update_by_key": "SELECT p_partkey, coalesce(q, p_size)::BIGINT AS p_size FROM part LEFT JOIN (SELECT l_partkey, max(l_quantity)::BIGINT AS q FROM lineitem GROUP BY 1) ON l_partkey = p_partkey",
     "union_first": "SELECT l_partkey, l_quantity::BIGINT AS q, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1, 2",
     "summed_samples": "SELECT l_partkey, sum(l_quantity::BIGINT)::BIGINT AS tpm FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1",
     "childless_report": f"""WITH {GFF_SQL}, m AS (SELECT id AS mrna, parents[1] AS gene, seqid, "start", "end", 'src' AS source, count(*) OVER (PARTITION BY parents[1]) - 1 AS siblings FROM gff WHERE type = 'mRNA')

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
 from ..operators.tree import chromosome_tag
+from ..written import written
 from .adapters import read
 
 _SEQ = "regexp_replace(upper(regexp_replace(text, '[^ATCGatcg]', 'N', 'g')), 'N', '', 'g')"
@@ -14,21 +15,23 @@ _SEQ = "regexp_replace(upper(regexp_replace(text, '[^ATCGatcg]', 'N', 'g')), 'N'
 
 def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select("doc_id", sq.clean_genome("text").alias("s"))
-    return d.select("doc_id", F.regexp_replace("s", "N", "").alias("s")).where("length(s) >= 60")
+    return d.select("doc_id", F.regexp_replace("s", "N", "").alias("s")).withColumn("n", F.length("s"))
 
 
 def spliced_codons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last codon of a CDS of two parts, on both strands, and what is missing."""
-    part = lambda a, b: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"))
-    d = _seq(spark, sf_dir).select("doc_id", "s", F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-").alias("strand"), F.array(part(4, 20), part(31, 50)).alias("parts"))
-    d = d.select("doc_id", sq.spliced("s", "parts", "strand").alias("cds"))
+    """First and last codon of a CDS of two parts, whose places follow from the length, on both strands; what is missing."""
+    part = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
+    n = F.col("n")
+    places = F.array(part(F.floor(n / 4) + 1, F.floor(n / 4) + F.floor(n / 8)), part(F.floor(n / 2) + 1, F.floor(n / 2) + F.floor(n / 5)))
+    d = _seq(spark, sf_dir).select("doc_id", "s", F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-").alias("strand"), places.alias("parts"))
+    d = written(d.select("doc_id", sq.spliced("s", "parts", "strand").alias("cds")), "coding")
     first, last = sq.end_codons(F.col("cds"), 1)
     return d.select("doc_id", first.alias("first"), last.alias("last"), sq.fill_plan(first, last).alias("fill"))
 
 
 def upstream_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The start codon that a model's first codon can be moved to."""
-    return _seq(spark, sf_dir).select("doc_id", sq.previous_start("s", F.lit(49)).cast("long").alias("start"))
+    """The start codon that a model's first codon, in the middle of the sequence, can be moved to."""
+    return _seq(spark, sf_dir).select("doc_id", sq.previous_start("s", F.floor(F.col("n") / 2)).cast("long").alias("start"))
 
 
 def name_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,10 +43,11 @@ def name_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (spliced_codons, upstream_start, name_cleanup)}
 ORACLES = {
-    "spliced_codons": f"""WITH d AS (SELECT doc_id, {_SEQ} AS s FROM documents), c AS (SELECT doc_id, s[4:20] || s[31:50] AS j FROM d WHERE strlen(s) >= 60), e AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN j ELSE translate(reverse(j), 'ACGT', 'TGCA') END AS j FROM c)
-      SELECT doc_id, j[2:4] AS first, j[35:37] AS last, CASE WHEN j[2:4] = 'ATG' AND j[35:37] IN ('TAA', 'TAG', 'TGA') THEN 'none' WHEN j[35:37] IN ('TAA', 'TAG', 'TGA') THEN 'start' WHEN j[2:4] = 'ATG' THEN 'stop' ELSE 'both' END AS fill FROM e""",
-    "upstream_start": f"""WITH d AS (SELECT doc_id, {_SEQ} AS s FROM documents), p AS (SELECT doc_id, s, unnest(range(1, 50, 3)) AS p FROM d WHERE strlen(s) >= 60), t AS (SELECT doc_id, max(p) AS stop FROM p WHERE p < 49 AND s[p:p+2] IN ('TAA', 'TAG', 'TGA') GROUP BY 1)
-      SELECT p.doc_id, min(p) FILTER (p > coalesce(stop, 0) AND s[p:p+2] = 'ATG') AS start FROM p LEFT JOIN t USING (doc_id) GROUP BY 1""",
+    "spliced_codons": f"""WITH d AS (SELECT doc_id, {_SEQ} AS s FROM documents), l AS (SELECT *, strlen(s) AS n FROM d), c AS (SELECT doc_id, s[n // 4 + 1:n // 4 + n // 8] || s[n // 2 + 1:n // 2 + n // 5] AS j FROM l), e AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN j ELSE translate(reverse(j), 'ACGT', 'TGCA') END AS j FROM c),
+      f AS (SELECT doc_id, j[2:4] AS first, (strlen(j) - 1) // 3 * 3 AS w, j FROM e), g AS (SELECT doc_id, first, CASE WHEN w > 0 THEN j[w - 1:w + 1] WHEN j IS NOT NULL THEN '' END AS last FROM f)
+      SELECT doc_id, first, last, CASE WHEN first = 'ATG' AND last IN ('TAA', 'TAG', 'TGA') THEN 'none' WHEN last IN ('TAA', 'TAG', 'TGA') THEN 'start' WHEN first = 'ATG' THEN 'stop' ELSE 'both' END AS fill FROM g""",
+    "upstream_start": f"""WITH d AS (SELECT doc_id, {_SEQ} AS s FROM documents), l AS (SELECT *, strlen(s) // 2 AS mid FROM d), p AS (SELECT doc_id, s, mid, unnest(range((mid - 1) % 3 + 1, mid + 1, 3)) AS p FROM l WHERE mid > 0), q AS (SELECT doc_id, mid, p, s[p:p + 2] AS c FROM p),
+      t AS (SELECT doc_id, max(p) FILTER (p < mid AND c IN ('TAA', 'TAG', 'TGA')) AS stop FROM q GROUP BY 1), u AS (SELECT q.doc_id, min(p) FILTER (p > coalesce(stop, 0) AND c = 'ATG') AS start FROM q JOIN t USING (doc_id) GROUP BY 1) SELECT doc_id, start FROM d LEFT JOIN u USING (doc_id)""",
     "name_cleanup": """SELECT o_orderkey, 'r' || o_orderkey || '_' || (o_orderkey % 4) AS header, CASE WHEN o_orderkey % 4 IN (1, 2) THEN (o_orderkey % 4)::INT END AS mate, 'd_chr.' || (o_orderkey % 9) || '.v2.' || o_custkey || '-' || o_orderkey || '.sam' AS safe, 'chr.' || (o_orderkey % 9) || '.v2' AS seqid,
       o_custkey AS start, o_orderkey AS "end", 'cds' || (o_orderkey % 3) AS suffix, lpad((o_orderkey % 12)::VARCHAR, 2, '0') || 'G' AS tag, 'MKL' || (o_orderkey % 3) AS protein FROM orders""",
 }

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.attributes import attribute, parents
+from ..operators.sweep import carried, within
+from ..operators.tree import line_range
 
 COLUMNS = ["seqid", "source", "type", "start", "end", "score", "strand", "phase", "attributes"]
 
@@ -25,9 +27,22 @@ def read_gff3(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gene_blocks(features: DataFrame, by: str = "seqid") -> DataFrame:
-    """``block``: the running number of ``gene`` rows on each sequence, in line order."""
-    w = Window.partitionBy(by).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return features.withColumn("block", F.sum((F.col("type") == "gene").cast("long")).over(w))
+    """``block``: the running number of ``gene`` rows on each sequence, in line order; gene rows of ranges of lines are
+    counted first."""
+    gene = (F.col("type") == "gene").cast("long")
+    t = carried(features, [by], F.col("line_no"), line_range(features), {"_before": F.sum(gene)})
+    return t.withColumn("block", F.coalesce("_before", F.lit(0).cast("long")) + F.sum(gene).over(within([by], "line_no"))).drop("_before", "_range")
+
+
+def gene_content(features: DataFrame) -> DataFrame:
+    """Every row below a gene with its ``gene`` and ``transcript``: any child of a gene that has an id is a transcript, and any
+    child of one its content. Rows that name several parents belong to the transcripts among them, one row for each."""
+    genes = features.where("type = 'gene'").select(F.col("id").alias("gene")).distinct()
+    below = features.withColumn("_up", F.explode("parents"))
+    transcripts = below.join(genes, F.col("_up") == F.col("gene")).where("id IS NOT NULL").drop("_up").withColumn("transcript", F.col("id"))
+    known = transcripts.select(F.col("transcript").alias("_t"), F.col("gene").alias("_g")).dropDuplicates(["_t"])
+    content = below.join(known, F.col("_up") == F.col("_t")).withColumn("gene", F.col("_g")).withColumn("transcript", F.col("_t")).drop("_up", "_t", "_g")
+    return transcripts.unionByName(content)
 
 
 def with_genes(features: DataFrame) -> DataFrame:

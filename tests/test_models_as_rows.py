@@ -1,10 +1,16 @@
 """Loci by assignment, merged and mended models, parents of any depth: against plain versions."""
 
+import collections
 import random
+import re
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from locusloom.operators import assign, ends, genome
+from locusloom.ml import bagging
+from locusloom.operators import assign, chains, ends, genome, modelset, scoring, tree
+from locusloom.sources import gff3
+from locusloom.written import written
 
 
 def replay(genes, share=0.5):
@@ -127,3 +133,178 @@ def test_exons_follow_coding_parts(spark):
     x, i = ends.repaired_exons(cds, exons)
     assert sorted(map(tuple, x.collect())) == [("a", 1, 20), ("a", 31, 60), ("a", 80, 90), ("b", 1, 9), ("c", 5, 12), ("d", 3, 4), ("d", 6, 9)]
     assert sorted(map(tuple, i.collect())) == [("a", 21, 30), ("a", 61, 79), ("d", 5, 5)]
+
+
+def test_closure_of_any_depth(spark):
+    shape = "line_no long, seqid string, type string, start long, end long, id string, parents array<string>"
+    up = {"r": [], "a": ["r"], "b": ["a"], "c": ["b"], "d": ["c", "x"], "e": ["d"], "o": ["lost"], "p": ["o"], "x": [], "y": ["x"], "u": ["v"], "v": ["u"], "w": ["u"]}
+    rows = [(n, "s", "t", 1, 2, i, p or None) for n, (i, p) in enumerate(up.items())] + [(50, "s", "t", 1, 2, None, ["c"]), (51, "s", "t", 1, 2, None, None)]
+    t = spark.createDataFrame(rows, shape)
+    got = {x.line_no: (x.root, x.depth, x.orphan) for x in tree.closure(t).collect()}
+    lines = {i: n for n, i in enumerate(up)}
+    want = {"r": ("r", 0, False), "a": ("r", 1, False), "b": ("r", 2, False), "c": ("r", 3, False), "d": ("r", 4, False), "e": ("r", 5, False), "o": ("o", 0, True), "p": ("o", 1, False), "x": ("x", 0, False), "y": ("x", 1, False), **dict.fromkeys("uvw", (None, None, False))}
+    assert got == {lines[i]: v for i, v in want.items()} | {50: ("r", 4, False), 51: (None, 0, False)}
+    left = lambda *ids: {x.id or x.line_no for x in tree.without_below(t, spark.createDataFrame([(i,) for i in ids], "id string")).collect()}
+    assert left("a") == {*up, 51} - {"a", "b", "c"}  # d has another parent
+    assert left("a", "x") == {*up, 51} - {"a", "b", "c", "d", "e", "x", "y"}
+    assert left("u") == {*up, 50, 51} - {"u", "v", "w"}
+    f = spark.createDataFrame([(1, "s", "gene", 1, 9, "g", None), (2, "s", "lnc_RNA", 1, 9, "t", ["g"]), (3, "s", "exon", 1, 9, "x", ["t", "q"]), (4, "s", "gene", 1, 9, "h", None), (5, "s", "CDS", 1, 9, None, ["h"]), (6, "s", "mRNA", 1, 9, "q", ["h"])], shape)
+    assert sorted((x.line_no, x.gene, x.transcript) for x in gff3.gene_content(f).collect()) == [(2, "g", "t"), (3, "g", "t"), (3, "h", "q"), (6, "h", "q")]
+    assert [x.block for x in gff3.gene_blocks(f).orderBy("line_no").collect()] == [1, 1, 1, 2, 2, 2]
+
+
+def test_components(spark):
+    r = random.Random(4)
+    links = [(r.randrange(60), r.randrange(50)) for _ in range(70)] + [(100 + k, 1000 + k + d) for k in range(30) for d in (0, 1)]
+    group = {n: n for n, _ in links}
+    for _ in links:
+        for n, k in links:
+            low = min(group[m] for m, j in links if j == k)
+            group[n] = min(group[n], low)
+    got = chains.components(spark.createDataFrame(links, "node int, key int")).collect()
+    assert {x.node: x.component for x in got} == group
+
+
+def test_region_clusters_by_the_row_before(spark):
+    r = random.Random(12)
+    rows = list({(r.choice("xy"), s := r.randrange(9000), s + r.choice((5, 50, 3000)), r.choice("+-"), r.choice("pqr")) for _ in range(150)})
+    t = spark.createDataFrame(rows, "chrom string, start long, end long, strand string, prot string")
+    genes = spark.createDataFrame([("p", "g"), ("q", "g")], "transcript_id string, gene_id string")
+    of = {"p": "g", "q": "g", "r": "r"}
+    groups, k, before = collections.defaultdict(list), 0, None
+    for c, g, s, e, p, st in sorted((c, of[p], s, e, p, st) for c, s, e, st, p in rows):
+        if before is None or before[:2] != (c, g) or abs(s - before[2]) > 60:
+            k += 1
+        before = (c, g, e)
+        groups[c, g, st, k].append((s, e, p))
+    want = sorted((c, g, st, ", ".join(sorted({x[2] for x in v})), min(x[0] for x in v), max(x[1] for x in v)) for (c, g, st, _), v in groups.items())
+    got = scoring.region_clusters(t, genes, 60, parity=True)
+    assert sorted(map(tuple, got.select("chrom", "gene", "strand", "proteins", "start", "end").collect())) == want
+    joined, k, before = collections.defaultdict(list), 0, None
+    for c, s, e, g, st, _ in sorted((c, s, e, g, st, p) for c, g, st, p, s, e in want):
+        if before is None or before[0] != c or s > before[1]:
+            k += 1
+        before = (c, e)
+        joined[c, st, k].append((s, e, g))
+    want = sorted((c, st, ", ".join(sorted({x[2] for x in v})), min(x[0] for x in v), max(x[1] for x in v)) for (c, st, _), v in joined.items())
+    assert sorted(map(tuple, scoring.overlapping_regions(got, parity=True).select("chrom", "strand", "genes", "start", "end").collect())) == want
+
+
+GFF = "line_no long, seqid string, source string, type string, start long, end long, score double, strand string, phase int, attributes string"
+
+
+def gff_rows(models):
+    """``models``: gene, start, end, {mRNA: (start, end)}; each mRNA has a CDS, and the gene an exon of all its mRNAs."""
+    out = []
+    for gene, start, end, mrnas in models:
+        out.append(("gene", start, end, f"ID={gene};Name=x"))
+        for m, (s, e) in mrnas.items():
+            out += [("mRNA", s, e, f"ID={m};Parent={gene}"), ("CDS", s, e, f"ID=c.{m};Parent={m}")]
+        out.append(("exon", start, end, f"ID=e.{gene};Parent={','.join(mrnas)};"))
+    return [(10 * n + 5, "c", "s", k, s, e, None, "+", None, a) for n, (k, s, e, a) in enumerate(out)]
+
+
+def merge_in_turn(a, b, decisions):
+    """The merged set, block after block: (type, attributes) of its rows."""
+    def cut(rows):
+        out = []
+        for x in rows:
+            if x[3] == "gene":
+                out.append([])
+            out[-1].append(x)
+        return {re.search("ID=([^;]+)", y[0][9])[1]: y for y in out}
+
+    a, b, out, taken = cut(a), cut(b), [], set()
+
+    def emit(block, fixed):
+        ids = {m[1] for x in block if (m := re.search("ID=([^;]+)", x[9]))}
+        end, k = "", 0
+        while not fixed and any(i + end in taken for i in ids):
+            k += 1
+            end = ".rescued" + (str(k) if k > 1 else "")
+        taken.update(i + end for i in ids)
+        for x in block:
+            text = re.sub("ID=([^;]+)", lambda m: f"ID={m[1]}{end}", x[9])
+            text = re.sub("Parent=([^;]+)", lambda m: "Parent=" + ",".join(p + end if p in ids else p for p in m[1].split(",")), text)
+            out.append((x[3], text))
+
+    for name, block in b.items():
+        winners = [g for g in a if decisions[g] == ("replaces", name)]
+        if not winners:
+            emit(block, True)
+        for g in winners:
+            lo, hi = a[g][0][4], a[g][0][5]
+            moved, inside = [], False
+            names = {re.search("ID=([^;]+)", x[9])[1] for x in block if x[3] == "mRNA" and x[4] >= lo and x[5] <= hi}
+            for x in block[1:]:
+                if x[3] == "mRNA":
+                    inside = x[4] >= lo and x[5] <= hi
+                    text = re.sub("Parent=[^;]+", f"Parent={g}", re.sub("ID=([^;]+)", r"ID=\1_pasa_iso", x[9]))
+                else:
+                    text = re.sub("Parent=([^;]+)", lambda m: "Parent=" + ",".join(p + "_pasa_iso" for p in m[1].split(",") if p in names), x[9])
+                if inside:
+                    moved.append((*x[:9], text))
+            emit(a[g] + moved, False)
+    for g, block in a.items():
+        if decisions[g][0] == "rescued":
+            emit(block, False)
+    return out
+
+
+def test_merged_set_as_rows(spark):
+    r = random.Random(7)
+    b_models = [(f"g{k}", 100 * k, 100 * k + 90, {f"g{k}.t{j}": (100 * k + 5 * j, 100 * k + 90 - 9 * j) for j in range(3)}) for k in range(40)]
+    # genes that are named as others will be
+    a_models = [(f"g{n}.rescued", 1, 2, {f"g{n}.rescued.t0": (1, 2)}) for n in (1, 2, 4)]
+    decisions = {m[0]: ("rescued", None) for m in a_models}
+    for n in r.sample(range(60), 60):
+        gene, where = (f"g{n}" if n % 3 else f"a{n}"), r.randrange(5, 40)
+        a_models.append((gene, 100 * where, 100 * where + r.choice((60, 95)), {f"{gene}.t{j}": (100 * where, 100 * where + 50) for j in range(r.choice((1, 2)))}))
+        decisions[gene] = r.choice((("replaces", f"g{where}"), ("rescued", None), ("same", f"g{where}")))
+    decisions |= {f"g{n}": ("rescued", None) for n in (1, 2, 4)}
+    a, b = gff_rows(a_models), gff_rows(b_models)
+    d = spark.createDataFrame([(g, p, s) for g, (s, p) in decisions.items()], "gene string, partner string, status string")
+    got = modelset.merged(spark.createDataFrame(a, GFF).repartition(4), spark.createDataFrame(b, GFF).repartition(4), d)
+    rows = [(x.type, x.attributes) for x in got.orderBy("section", "slot", "block", "part", "line_no").collect()]
+    want = merge_in_turn(a, b, decisions)
+    assert rows == want
+    assert sum(".rescued2" in x for _, x in want) and sum("_pasa_iso" in x for _, x in want)
+    assert modelset.unresolved(got).count() == 0
+    ids = [m[1] for _, x in want if (m := re.search("ID=([^;]+)", x))]
+    assert len(ids) - len(set(ids)) == 0
+
+
+def test_kept_and_discarded(spark):
+    rows = gff_rows([("g1", 1, 90, {"g1.t1": (1, 9), "g1.t2": (2, 8)}), ("g2", 5, 9, {"g2.t1": (5, 9), "g2.t2": (5, 8)}), ("g3", 5, 9, {"g3": (5, 9)}), ("g4", 1, 2, {"g4.t1": (1, 2)})])
+    f = spark.createDataFrame(rows, GFF)
+    ids = spark.createDataFrame([("o1", "g1.t1"), ("o2", "g1.t2"), ("o3", "g2.t1"), ("o4", "g2.t2"), ("o5", "g3")], "transcript_id string, new_id string")
+    kept, gone = modelset.kept_and_discarded(f, ids, spark.createDataFrame([("o1",)], "transcript_id string"), spark.createDataFrame([("o2", "lncRNA"), ("o3", "pseudogene_retrocopy"), ("o4", "TE_related"), ("o5", "odd")], "transcript_id string, reason string"))
+    assert {x.attributes for x in kept.collect()} == {"ID=g1;Name=x", "ID=g1.t1;Parent=g1", "ID=c.g1.t1;Parent=g1.t1", "ID=g1.t2;Parent=g1", "ID=e.g1;Parent=g1.t1,g1.t2;"}
+    assert {x.attributes for x in gone.collect()} == {
+        "ID=c.g1.t2;Parent=g1.t2;discard_reason=lncRNA", "ID=g2;Name=x;discard_reason=TE_related", "ID=g2.t1;Parent=g2;discard_reason=pseudogene_retrocopy", "ID=c.g2.t1;Parent=g2.t1;discard_reason=pseudogene_retrocopy", "ID=g2.t2;Parent=g2;discard_reason=TE_related",
+        "ID=c.g2.t2;Parent=g2.t2;discard_reason=TE_related", "ID=e.g2;Parent=g2.t1,g2.t2;discard_reason=pseudogene", "ID=g3;Name=x;discard_reason=odd", "ID=g3;Parent=g3;discard_reason=odd", "ID=c.g3;Parent=g3;discard_reason=odd", "ID=e.g3;Parent=g3;discard_reason=odd",
+        "ID=g4;Name=x;discard_reason=pseudogene", "ID=g4.t1;Parent=g4;discard_reason=pseudogene", "ID=c.g4.t1;Parent=g4.t1;discard_reason=pseudogene", "ID=e.g4;Parent=g4.t1;discard_reason=pseudogene",
+    }
+
+
+def test_out_of_bag_votes_are_those_of_unseen_trees(spark):
+    r = random.Random(9)
+    data = [(f"t{k}", x := r.random(), r.random(), float(x + r.gauss(0, 0.2) > 0.5)) for k in range(120)]
+    t = VectorAssembler(inputCols=["a", "b"], outputCol="x").transform(spark.createDataFrame(data, "transcript_id string, a double, b double, y double")).select("transcript_id", "x", "y")
+    t = written(t, "rows")
+    models = bagging.bag(t, 6, 1, 5)
+    drawn = {(x.transcript_id, k): x[f"d{k}"] for x in t.select("transcript_id", *(bagging.draws(F.col("transcript_id"), k, 5).alias(f"d{k}") for k in range(6))).collect() for k in range(6)}
+    assert 0.8 < sum(drawn.values()) / len(drawn) < 1.2 and 0.3 < sum(v == 0 for v in drawn.values()) / len(drawn) < 0.45
+    votes = collections.defaultdict(list)
+    for k, m in enumerate(models):
+        for x in m.transform(t).collect():
+            if drawn[x.transcript_id, k] == 0:
+                votes[x.transcript_id].append(x.probability[1])
+    got = bagging.out_of_bag(t, models, 5, together=4)
+    for x in got.collect():
+        mine = votes[x.transcript_id]
+        assert x.unseen == len(mine) and (x.p is None if not mine else abs(x.p - sum(mine) / len(mine)) < 1e-9)
+    y = {d[0]: d[3] for d in data}
+    wrong = [(sum(v) / len(v) > 0.5) != (y[i] == 1) for i, v in votes.items() if v]
+    assert abs(bagging.error(got) - sum(wrong) / len(wrong)) < 1e-12 and bagging.error(got) < 0.35
+    assert bagging.error(bagging.out_of_bag(t, [None], 5)) is None
