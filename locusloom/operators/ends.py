@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import STARTS, STOPS, codons, first_of
@@ -136,3 +136,51 @@ def repaired_exons(cds: DataFrame, exons: DataFrame) -> tuple[DataFrame, DataFra
     stop = F.concat(F.transform("i", lambda g: g["start"] - 1), F.array(hi))
     t = t.withColumn("x", F.arrays_zip(begin.alias("start"), stop.alias("end")))
     return t.select("mrna", F.inline("x").alias("start", "end")), t.select("mrna", F.inline("i").alias("start", "end"))
+
+
+def outside(cds: DataFrame, exons: DataFrame, models: DataFrame) -> DataFrame:
+    """``mrna, type, start, end``: untranslated pieces of exons. An exon that meets no coding part is one as a whole; one that
+    ends with a coding part gives what lies before it, one that begins with it what lies behind. Pieces up to the least
+    coding position, or from the second least on, get their type by strand; others go."""
+    pair = exons.select("mrna", "start", "end").join(cds.select("mrna", F.col("start").alias("_s"), F.col("end").alias("_e")), "mrna", "left")
+    meets = (F.col("_s") <= F.col("end")) & (F.col("_e") >= F.col("start"))
+    before = meets & (F.col("start") < F.col("_s")) & (F.col("end") == F.col("_e"))
+    behind = meets & (F.col("start") == F.col("_s")) & (F.col("end") > F.col("_e"))
+    cut = pair.where(before | behind).select("mrna", F.when(before, F.col("start")).otherwise(F.col("_e") + 1).alias("start"), F.when(before, F.col("_s") - 1).otherwise(F.col("end")).alias("end"))
+    whole = pair.groupBy("mrna", "start", "end").agg(F.max(F.coalesce(meets, F.lit(False))).alias("_met")).where("NOT _met").select("mrna", "start", "end")
+    marks = cds.select("mrna", F.explode(F.array("start", "end")).alias("p")).groupBy("mrna").agg(F.array_sort(F.collect_set("p")).alias("p"))
+    t = cut.unionByName(whole).join(marks, "mrna").join(models.select("mrna", "strand"), "mrna")
+    low, high = F.col("end") <= F.get("p", F.lit(0)), F.col("start") >= F.get("p", F.lit(1))
+    minus, five, three = F.col("strand") == "-", F.lit("five_prime_UTR"), F.lit("three_prime_UTR")
+    kind = F.when(minus, F.when(high, five).when(low, three)).otherwise(F.when(low, five).when(high, three))
+    return t.select("mrna", kind.alias("type"), "start", "end").where("type IS NOT NULL")
+
+
+#: How ids name a feature, and where it stands among features that begin together.
+SHOWN = {"five_prime_UTR": ("utr5p", 1), "exon": ("exon", 2), "CDS": ("CDS", 3), "intron": ("intron", 4), "three_prime_UTR": ("utr3p", 5)}
+
+
+def other_attributes(col: str) -> Column:
+    """Attributes without ID and Parent, each followed by a semicolon."""
+    kept = F.filter(F.transform(F.split(col, ";"), lambda a: F.trim(a)), lambda a: (a != "") & ~F.lower(a).startswith("id") & ~F.lower(a).startswith("parent"))
+    return F.when(F.size(kept) > 0, F.concat(F.array_join(kept, ";"), F.lit(";"))).otherwise("")
+
+
+def numbered(models: DataFrame, parts: DataFrame, known: DataFrame) -> DataFrame:
+    """Features of models as rows in order: ``mrna, place, seqid, type, start, end, score, strand, attributes``.
+
+    ``parts`` (``mrna, type, start, end``) are numbered by mRNA and type along the strand, but untranslated pieces by
+    position; they stand in order of their starts along the strand, then of their types. A part that ``known`` has with
+    the same place, strand and type (``mrna, seqid, strand, type, start, end, score, attributes, line_no``) keeps its score and
+    further attributes, those of the last such line."""
+    table = F.create_map(*(F.lit(x) for k, (name, rank) in SHOWN.items() for x in (k, F.struct(F.lit(name).alias("name"), F.lit(rank).alias("rank")))))
+    t = parts.join(models.select("mrna", "seqid", "strand"), "mrna").withColumn("_t", F.try_element_at(table, F.col("type")))
+    minus = F.col("strand") == "-"
+    along = F.when(minus, -F.col("start")).otherwise(F.col("start"))
+    by = F.when(minus & ~F.col("type").endswith("_UTR"), -F.col("start")).otherwise(F.col("start"))
+    t = t.withColumn("_k", F.row_number().over(Window.partitionBy("mrna", "type").orderBy(by, "end"))).withColumn("place", F.row_number().over(Window.partitionBy("mrna").orderBy(along, F.col("_t.rank"), "end")))
+    key = ["mrna", "seqid", "strand", "type", "start", "end"]
+    old = known.groupBy(*key).agg(F.max_by(F.struct("score", other_attributes("attributes").alias("more")), "line_no").alias("_old"))
+    t = t.join(old, key, "left")
+    text = F.concat(F.lit("ID="), "mrna", F.lit("."), F.col("_t.name"), F.col("_k").cast("string"), F.lit(";Parent="), "mrna", F.lit(";"), F.coalesce("_old.more", F.lit("")))
+    return t.select("mrna", "place", "seqid", "type", "start", "end", F.col("_old.score").alias("score"), "strand", text.alias("attributes"))

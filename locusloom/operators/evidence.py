@@ -10,8 +10,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..written import written
 from .interval import union_lengths
-from .sweep import carried, within
+from .sweep import carried, measure, within
 
 
 @dataclass(frozen=True)
@@ -166,6 +167,17 @@ def pseudogene_reason(t: DataFrame, cov_cutoff: float = 0.5, tpm_cutoff: float =
     return t.withColumn("reason", F.when(F.col("protected"), None).when(b, "B").when(c, "C").when(a, "A"))
 
 
+def pseudogene_evidence(t: DataFrame, places: DataFrame, shifted: DataFrame, best: DataFrame, proteins: DataFrame, exons: DataFrame) -> DataFrame:
+    """``t`` with what :func:`pseudogene_reason` asks for. ``frameshifts``: how many alignments with a frame shift
+    (``shifted``: ``chrom``, closed ``b_start``, ``b_end``) overlap the transcript (``places``: ``transcript_id, chrom, start, end``,
+    closed; 0 without a place). ``subject_exons``: exons of the best hit's transcript, by :func:`subject_exons`; null if
+    that isn't known."""
+    half_open = places.withColumn("end", F.col("end") + 1)
+    n = measure(half_open, shifted.select("chrom", "b_start", (F.col("b_end") + 1).alias("b_end"))).groupBy("transcript_id").agg(F.max("n_overlaps").alias("frameshifts"))
+    hop = subject_exons(best, proteins, exons).select(F.col("query").alias("transcript_id"), "subject_exons")
+    return t.join(n, "transcript_id", "left").withColumn("frameshifts", F.coalesce("frameshifts", F.lit(0).cast("long"))).join(hop, "transcript_id", "left")
+
+
 def first_by(t: DataFrame, key: str, *order: Column) -> DataFrame:
     """One row per key, the first in the given order (which must be total)."""
     return t.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rn = 1").drop("_rn")
@@ -180,11 +192,12 @@ def only_in(t: DataFrame, key: str, value: str, names: list[str], prefixes: list
 
 
 def _ranked(t: DataFrame, col: str, descending: bool, sums: dict[str, Column]) -> DataFrame:
-    """Distinct values of ``col`` with running ``sums`` in their order, by ranges of values: no task orders all."""
+    """Distinct values of ``col`` with running ``sums`` in their order, by ranges of values whose bounds are sampled, so that
+    a range holds about as many values as any other: no task orders all, however the values are spread."""
     g = t.where(F.col(col).isNotNull()).groupBy(col).agg(*(c.alias(k) for k, c in sums.items()))
-    span = g.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    at = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col(col) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 1024)).otherwise(F.lit(0))
-    g = g.crossJoin(F.broadcast(span)).withColumn("_at", -at if descending else at).drop("_lo", "_hi")
+    order = F.desc(col) if descending else F.asc(col)
+    # the bounds hold for this table only, so that it is written with the number of each row's range
+    g = written(g.repartitionByRange(order).withColumn("_at", F.spark_partition_id()), "ranges")
     g = carried(g, [], F.col("_at"), 1, {f"_{k}": F.sum(k) for k in sums})
     w = within([], F.desc(col) if descending else F.asc(col))
     return g.select(col, *sums, *((F.coalesce(f"_{k}", F.lit(0).cast("long")) + F.sum(k).over(w)).alias(f"run_{k}") for k in sums))

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .interval import overlap_join
+from ..written import written
+from .interval import fitting_bin, overlap_join
 from .models import phases, pick_winner, utrs
 
 PLACE = ("chrom", "strand")
@@ -29,7 +30,7 @@ def _shared(one: int = 1) -> Column:
 def best_partner(a: DataFrame, b: DataFrame) -> DataFrame:
     """``gene, partner, share`` of each gene of ``a`` with any overlap: the gene of ``b`` on its strand that covers most of it;
     ties go to the first line (``line_no``) of ``b``. Work is one row per overlapping pair, reduced by aggregation."""
-    met = overlap_join(a.select("gene", *PLACE, "start", "end"), _as_b(b.select("gene", *PLACE, "start", "end", "line_no"), gene="partner"), PLACE, closed=True)
+    met = overlap_join(a.select("gene", *PLACE, "start", "end"), _as_b(b.select("gene", *PLACE, "start", "end", "line_no"), gene="partner"), PLACE, fitting_bin(a), closed=True)
     share = _shared() / (F.col("end") - F.col("start") + 1)
     return met.select("gene", "partner", "line_no", share.alias("share")).groupBy("gene").agg(F.max(F.struct("share", -F.col("line_no"), "partner")).alias("m")).select("gene", F.col("m.partner").alias("partner"), F.col("m.share").alias("share"))
 
@@ -72,7 +73,7 @@ def grafted(a: DataFrame, mrnas: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def reciprocal(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     """Pairs on one strand of which each covers ``least`` of the other. ``b`` has ``b_start``, ``b_end``."""
-    met = overlap_join(a, b, PLACE, closed=True)
+    met = overlap_join(a, b, PLACE, fitting_bin(a), closed=True)
     n = _shared()
     return met.where((n / (F.col("end") - F.col("start") + 1) >= least) & (n / (F.col("b_end") - F.col("b_start") + 1) >= least))
 
@@ -148,9 +149,10 @@ def refinements(genes: DataFrame, gene_cds: DataFrame, gene_exons: DataFrame, al
     position; the gene stays as it is below ``least`` or if the best comes from the ``barred`` source."""
     pairs = reciprocal(genes, _as_b(alts.select("alt", "source", "identity", "rank", *PLACE, "start", "end")), 0.3)
     short = truncated(pairs.select("gene", "start", "end", "alt", "b_start", "b_end"), gene_cds, alt_cds)
-    pairs = pairs.join(short, "gene", "left_semi")
-    used = alts.join(pairs.select("alt").distinct(), "alt", "left_semi")
-    others = overlap_join(used.select("alt", *PLACE, "start", "end"), _as_b(genes.select("gene", *PLACE, "start", "end"), gene="other"), PLACE, closed=True)
+    short = written(short, "truncated")
+    pairs = written(pairs.join(short, "gene", "left_semi"), "candidates")  # five branches read it
+    used = written(alts.join(pairs.select("alt").distinct(), "alt", "left_semi"), "alternatives")
+    others = overlap_join(used.select("alt", *PLACE, "start", "end"), _as_b(genes.select("gene", *PLACE, "start", "end"), gene="other"), PLACE, fitting_bin(genes), closed=True)
     blocked = others.where(_shared() / (F.col("b_end") - F.col("b_start") + 1) > 0.3).select("alt", "other")
     foreign = pairs.select("gene", "alt").join(blocked, "alt").where("other <> gene").select("gene", "alt").distinct()
     size_g, size_a = structure(gene_cds, "gene").select("gene", F.col("bp").alias("_gbp")), structure(alt_cds, "alt").select("alt", F.col("bp").alias("_abp"))

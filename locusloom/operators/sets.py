@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .evidence import first_by
+from .sweep import carried, within
 
 
 def membership(t: DataFrame, sets: dict[str, DataFrame], key: str) -> DataFrame:
@@ -45,6 +46,38 @@ def childless_report(features: DataFrame, lost: DataFrame) -> DataFrame:
     return m.join(lost.select("mrna"), "mrna", "left_semi").join(n, "gene").select("mrna", "gene", "seqid", "start", "end", "source", "siblings")
 
 
+def removed(before: DataFrame, after: DataFrame, why: str) -> DataFrame:
+    """Audit of a step: ``type, id, why`` of features that it took away."""
+    return before.where("id IS NOT NULL").select("type", "id").distinct().join(after.select("type", "id").distinct(), ["type", "id"], "left_anti").withColumn("why", F.lit(why))
+
+
+def looked_up(ids: DataFrame, t: DataFrame, key: str) -> DataFrame:
+    """Every row of ``ids`` with what ``t`` (one row per key, or the first in no order) has for it, nulls where it has nothing."""
+    return ids.join(t.dropDuplicates([key]), key, "left")
+
+
+def placed(t: DataFrame, by: list[str], at: str, *order: str, size: int = 4096) -> DataFrame:
+    """``t`` with ``place``: its number from 1 in the order of ``at`` (a number) and then ``order`` (total) within ``by``. Ranges of
+    ``at`` are counted first, so that no task orders a whole group."""
+    one = F.count(F.lit(1))
+    c = carried(t, by, F.col(at), size, {"_before": one})
+    return c.withColumn("place", F.coalesce("_before", F.lit(0).cast("long")) + one.over(within(by, at, *order))).drop("_before", "_range")
+
+
+def numbered_within(t: DataFrame, by: list[str], *order, name: str = "place") -> DataFrame:
+    """``t`` numbered within small groups, such as the domains of a gene by e-value."""
+    return t.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def first_of_equal_texts(t: DataFrame, text: str, *order: str) -> DataFrame:
+    """One row of those with equal texts, the first in ``order``. Only digests and keys are exchanged; the rows that stay
+    are taken from ``t`` by their order columns, which must be unique."""
+    digest = F.sha2(F.col(text), 256)
+    first = t.select(digest.alias("_d"), F.struct(*order).alias("_k")).groupBy("_d").agg(F.min("_k").alias("_k"))
+    kept = first.select(*(F.col(f"_k.{c}").alias(c) for c in order))
+    return t.join(kept, list(order), "left_semi")
+
+
 def primary_names(t: DataFrame, col: str, suffix: str = ".t1") -> DataFrame:
     """Rows whose id ends in the suffix, with ``gene`` (the id without it) and how often that occurs."""
     kept = t.where(F.col(col).endswith(suffix)).withColumn("gene", F.expr(f"left({col}, length({col}) - {len(suffix)})"))

@@ -254,7 +254,8 @@ def benchmark_count(features: DataFrame) -> DataFrame:
 def upper_median(t: DataFrame, col: str) -> DataFrame:
     """The value in the middle (the upper one of two) as ``median``, by running counts over ranges of values."""
     g = t.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    c = carried(g, [], F.col("_v"), 1024, {"_b": F.sum("_n")})
+    g = written(g.repartitionByRange("_v").withColumn("_at", F.spark_partition_id()), "ranges")
+    c = carried(g, [], F.col("_at"), 1, {"_b": F.sum("_n")})
     c = c.withColumn("_run", F.coalesce("_b", F.lit(0).cast("long")) + F.sum("_n").over(within([], "_v")))
     total = g.agg(F.sum("_n").alias("_all"))
     return c.crossJoin(F.broadcast(total)).agg(F.min(F.when(F.col("_run") > F.floor(F.col("_all") / 2), F.col("_v"))).alias("median"))

@@ -17,21 +17,22 @@ p AS (SELECT doc_id, a AS "start", b AS "end", f AS phase FROM m UNION ALL SELEC
 
 
 def _models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    d = read(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.upper(F.regexp_replace("text", "[^ATCGatcg]", "")).alias("seq")).where("seq <> ''")
-    d = d.withColumn("seqid", F.col("doc_id").cast("string")).withColumn("n", F.length("seq").cast("long"))
-    f = (F.col("doc_id") % 3).cast("int")
+    """Models, coding parts and the genome; texts are read once, and models follow from the genome's lengths."""
+    d = read(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("seqid"), F.regexp_replace("text", "[^ATCGatcg]", "").alias("seq"))
+    store = written(genome.from_rows(d), "genome")
+    d = genome.lengths(store).select(F.col("seqid").cast("long").alias("mrna"), "seqid", F.col("length").alias("n"))
+    f = (F.col("mrna") % 3).cast("int")
     a, c = F.floor(F.col("n") / 4) + 1, F.floor(F.col("n") / 2) + 1
     part = lambda s, e, p: F.struct(s.alias("start"), e.alias("end"), p.alias("phase"))
     both = F.array(part(a, a + F.floor(F.col("n") / 8), f), part(c, c - 1 + F.floor(F.col("n") / 5), ((f + 1) % 3).cast("int")))
-    models = d.select(F.col("doc_id").alias("mrna"), "seqid", F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-").alias("strand"))
-    cds = d.select(F.col("doc_id").alias("mrna"), F.inline(F.filter(both, lambda x: x["end"] >= x["start"])))
-    return models, cds, genome.from_rows(d.select("seqid", "seq"))
+    d = written(d.select("mrna", "seqid", F.when(F.col("mrna") % 2 == 0, "+").otherwise("-").alias("strand"), F.filter(both, lambda x: x["end"] >= x["start"]).alias("parts")), "models")
+    return d.select("mrna", "seqid", "strand"), d.select("mrna", F.inline("parts")), store
 
 
 def mended_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coding parts after the search for missing stop and start codons, and whether all was found."""
     models, cds, store = _models(spark, sf_dir)
-    status, parts = ends.mended(models, cds, written(store, "genome"))
+    status, parts = ends.mended(models, cds, store)
     return parts.join(status, "mrna").select(F.col("mrna").alias("doc_id"), "start", "end", "phase", "needed", "ok")
 
 

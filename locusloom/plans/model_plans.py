@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import attributes as at
 from ..functions import sequences as sq
-from ..operators import loci, models
+from ..operators import loci, models, sets
 from .adapters import FEATURES_SQL, features, hours, read
 
 #: Children: closed intervals of line items by order and supplier.
@@ -122,7 +122,7 @@ def mate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first id of each distinct sequence."""
-    return read(spark, sf_dir, "documents").groupBy("text").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return sets.first_of_equal_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id").select("doc_id")
 
 
 QUERIES = {f.__name__: f for f in (overlapping_cds, strand_conflict, chimera_filter, childless_strict, phase_calc, utr_split, isoform_number, intron_lengths, single_exon, merge_winner, attr_parse, revcomp, peptide_qc, locus_clusters, depth_sweep, zero_gaps, evidence_score, ntile_split, mate_pairs, dedup_sequence)}

@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.attributes import attribute, parents
+from ..operators.loci import depth_runs
 from ..operators.sweep import carried, within
 from ..operators.tree import line_range
 
 COLUMNS = ["seqid", "source", "type", "start", "end", "score", "strand", "phase", "attributes"]
 
 
-def read_gff3(spark: SparkSession, path: str) -> DataFrame:
-    """Feature rows with ``line_no``, ``id`` and ``parents``. Comments and rows of fewer than nine fields go; further
-    fields are joined to the attributes by a space. Scores and phases of ``.`` are null. ``line_no`` orders lines within
+def read_gff3(spark: SparkSession, path: str, further: bool = True) -> DataFrame:
+    """Feature rows with ``line_no``, ``id`` and ``parents``. Comments and rows of fewer than nine fields go; ``further``
+    fields are joined to the attributes by a space, or go as well. Scores and phases of ``.`` are null. ``line_no`` orders lines within
     a file and numbers files by their place in the scan, so it needs no shuffle."""
     lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.split("value", "\t").alias("f"), "value")
     rows = lines.where(~F.col("value").startswith("#") & (F.size("f") >= 9))
     cols = {c: F.col("f")[i] for i, c in enumerate(COLUMNS[:8])}
-    cols["attributes"] = F.array_join(F.slice("f", 9, 1 << 20), " ")
+    cols["attributes"] = F.array_join(F.slice("f", 9, 1 << 20), " ") if further else F.col("f")[8]
     for c, kind in (("start", "long"), ("end", "long"), ("score", "double"), ("phase", "int")):
         cols[c] = cols[c].try_cast(kind)
     rows = rows.select("line_no", *(v.alias(k) for k, v in cols.items()))
@@ -65,11 +66,40 @@ def write_gff3(features: DataFrame, path: str) -> None:
     features.orderBy("line_no").select(F.concat_ws("\t", *cols).alias("value")).write.text(path)
 
 
+def miniprot_models(features: DataFrame) -> DataFrame:
+    """Protein alignments (mRNA and CDS rows) as models: ``mrna, gene, target, identity, rank, seqid, start, end, strand, score,
+    cds`` (its coding parts in order). Each mRNA stands for a gene of its own; identity is 0 and rank 1 where not given."""
+    m = features.where("type = 'mRNA'").select(F.col("id").alias("mrna"), F.concat("id", F.lit("_gene")).alias("gene"), F.split(F.regexp_extract("attributes", "(?:^|;)Target=([^;]+)", 1), " ")[0].alias("target"), F.coalesce(attribute("attributes", "Identity").try_cast("double"), F.lit(0.0)).alias("identity"), F.coalesce(attribute("attributes", "Rank").try_cast("int"), F.lit(1)).alias("rank"), "seqid", "start", "end", "strand", "score")
+    parts = features.where("type = 'CDS'").select(F.explode("parents").alias("mrna"), F.struct("start", "end").alias("p")).groupBy("mrna").agg(F.array_sort(F.collect_list("p")).alias("cds"))
+    return m.join(parts, "mrna", "left")
+
+
+def with_gene_rows(features: DataFrame) -> DataFrame:
+    """Rows of protein alignments with a gene row above each mRNA (half a line before it), which names it as parent."""
+    m = features.where("type = 'mRNA'")
+    gene = F.concat("id", F.lit("_gene"))
+    rows = m.withColumn("attributes", F.concat(F.lit("ID="), gene)).withColumn("id", gene).withColumn("type", F.lit("gene")).withColumn("parents", F.lit(None).cast("array<string>")).withColumn("line_no", F.col("line_no") * 2)
+    own = m.withColumn("attributes", F.concat("attributes", F.lit(";Parent="), gene)).withColumn("parents", F.array(gene)).withColumn("line_no", F.col("line_no") * 2 + 1)
+    rest = features.where("type <> 'mRNA'").withColumn("line_no", F.col("line_no") * 2 + 1)
+    return rows.unionByName(own).unionByName(rest)
+
+
 def read_miniprot(spark: SparkSession, path: str) -> DataFrame:
-    """Protein alignments as models: ``gene, target, identity, rank, seqid, start, end, strand`` of their mRNA rows (identity 0
-    where it isn't given), each of which stands for a gene of its own."""
-    f = read_gff3(spark, path).where("type = 'mRNA'")
-    return f.select(F.concat(F.lit("gene_"), "id").alias("gene"), attribute("attributes", "Target").alias("target"), F.coalesce(attribute("attributes", "Identity").try_cast("double"), F.lit(0.0)).alias("identity"), F.coalesce(attribute("attributes", "Rank").try_cast("int"), F.lit(1)).alias("rank"), "seqid", "start", "end", "strand")
+    return miniprot_models(read_gff3(spark, path))
+
+
+def protein_depth(features: DataFrame, by: str = "seqid") -> DataFrame:
+    """Runs of depth of the coding rows of protein alignments: ``seqid, start, end, depth``, half-open. Positions are taken
+    over as they stand in the file, so a part covers what follows its first base, up to its last."""
+    return depth_runs(features.where(F.col("type").contains("CDS")).select(by, "start", "end"), [by])
+
+
+def with_depth(positions: DataFrame, runs: DataFrame, name: str, size: int = 4096) -> DataFrame:
+    """``positions`` (``seqid``, ``position``, 1-based) with a column of the depth there (0 without a run)."""
+    runs = runs.select(F.col("seqid").alias("_q"), F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("depth").alias("_d")).withColumn("_b", F.explode(F.sequence(F.floor(F.col("_s") / size), F.floor((F.col("_e") - 1) / size))))
+    at = F.col("position") - 1
+    on = (F.col("seqid") == F.col("_q")) & (F.floor(at / size) == F.col("_b")) & (at >= F.col("_s")) & (at < F.col("_e"))
+    return positions.join(runs, on, "left").withColumn(name, F.coalesce("_d", F.lit(0).cast("long"))).drop("_q", "_s", "_e", "_d", "_b")
 
 
 def as_evidence(features: DataFrame, pattern: str, source: str | None = None, kind: str | None = None, rename: tuple[str, str] | None = None) -> DataFrame:

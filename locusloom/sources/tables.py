@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -158,6 +162,34 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return t.select("file", *(one(rf"{k}:([0-9.]+)%?").alias(n) for k, n in (("C", "complete"), ("S", "single"), ("D", "duplicated"), ("F", "fragmented"), ("M", "missing"), ("n", "n"))))
 
 
+def listed(spark: SparkSession, path: str, extensions: Sequence[str] = ()) -> DataFrame:
+    """``path, bytes`` of all files below ``path`` that aren't empty, at any depth, with one of the ``extensions``. Contents are
+    not read."""
+    t = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("bytes"))
+    ends = [F.lower("path").endswith(e.lower()) for e in extensions]
+    return t.where(reduce(or_, ends)) if ends else t
+
+
+def find_reads(spark: SparkSession, path: str) -> DataFrame:
+    """The samples in all read files below ``path``, see :func:`fastq_pairs`. Empty files are not found."""
+    return fastq_pairs(listed(spark, path, (".fastq", ".fq", ".fastq.gz", ".fq.gz")))
+
+
+def read_plain(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """A table without a header: columns ``column0``, ``column1`` ... with the types that their values have."""
+    t = spark.read.option("sep", sep).option("inferSchema", "true").csv(path)
+    return t.toDF(*(f"column{k}" for k in range(len(t.columns))))
+
+
+def read_omark(spark: SparkSession, path: str) -> DataFrame:
+    """``file, consistent, contaminated, missing`` from the last line ``A:..%[..],I:..%[..],C:..%[..],U:..%`` of proteome
+    summaries (``.sum``); ``N/A`` where there is none, and for files of up to 50 bytes."""
+    t = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+    line = r"(?m)^\s*A:([0-9]+\.?[0-9]*)%.*,I:([0-9]+\.?[0-9]*)%.*,C:([0-9]+\.?[0-9]*)%.*,U:([0-9]+\.?[0-9]*)%"
+    last = lambda k: F.coalesce(F.when(F.octet_length("value") > 50, F.try_element_at(F.regexp_extract_all("value", F.lit(line), F.lit(k)), F.lit(-1))), F.lit("N/A"))
+    return t.select("file", last(1).alias("consistent"), last(3).alias("contaminated"), last(4).alias("missing"))
+
+
 def fastq_pairs(files: DataFrame) -> DataFrame:
     """``sample, one, two, single`` from file names (``path``): mates by ``_1``/``_2`` or ``_R1``/``_R2``. A sample with one mate of
     two raises, and so does an empty listing."""

@@ -8,8 +8,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from locusloom.ml import bagging
-from locusloom.operators import assign, chains, ends, genome, modelset, scoring, tree
-from locusloom.sources import gff3
+from locusloom.operators import assign, chains, ends, genome, modelset, scoring, sets, tree
+from locusloom.functions.attributes import set_attribute
+from locusloom.sources import gff3, tables
 from locusloom.written import written
 
 
@@ -308,3 +309,65 @@ def test_out_of_bag_votes_are_those_of_unseen_trees(spark):
     wrong = [(sum(v) / len(v) > 0.5) != (y[i] == 1) for i, v in votes.items() if v]
     assert abs(bagging.error(got) - sum(wrong) / len(wrong)) < 1e-12 and bagging.error(got) < 0.35
     assert bagging.error(bagging.out_of_bag(t, [None], 5)) is None
+
+
+def test_untranslated_pieces_and_numbers(spark):
+    shape = "mrna string, start long, end long"
+    models = spark.createDataFrame([("p", "s", "+"), ("m", "s", "-")], "mrna string, seqid string, strand string")
+    cds = spark.createDataFrame([(m, *x) for m in "pm" for x in ((20, 30), (41, 50))], shape)
+    exons = spark.createDataFrame([(m, *x) for m in "pm" for x in ((1, 5), (10, 30), (41, 60), (70, 80))], shape)
+    u = ends.outside(cds, exons, models)
+    left, right = [(1, 5), (10, 19)], [(51, 60), (70, 80)]
+    want = {("p", "five_prime_UTR", *x) for x in left} | {("p", "three_prime_UTR", *x) for x in right} | {("m", "three_prime_UTR", *x) for x in left} | {("m", "five_prime_UTR", *x) for x in right}
+    assert set(map(tuple, u.collect())) == want
+    parts = u.unionByName(cds.withColumn("type", F.lit("CDS")))
+    known = spark.createDataFrame([("p", "s", "+", "CDS", 20, 30, 0.5, "ID=q; Note=a ;Parent=p", 1), ("p", "s", "+", "CDS", 20, 30, 0.7, "iD=q; Note=b ;", 2), ("m", "s", "+", "CDS", 20, 30, 0.9, "Note=c", 3)], "mrna string, seqid string, strand string, type string, start long, end long, score double, attributes string, line_no long")
+    got = [(x.mrna, x.start, x.score, x.attributes) for x in ends.numbered(models, parts, known).orderBy("mrna", "place").collect()]
+    assert got == [
+        ("m", 70, None, "ID=m.utr5p2;Parent=m;"), ("m", 51, None, "ID=m.utr5p1;Parent=m;"), ("m", 41, None, "ID=m.CDS1;Parent=m;"), ("m", 20, None, "ID=m.CDS2;Parent=m;"), ("m", 10, None, "ID=m.utr3p2;Parent=m;"), ("m", 1, None, "ID=m.utr3p1;Parent=m;"),
+        ("p", 1, None, "ID=p.utr5p1;Parent=p;"), ("p", 10, None, "ID=p.utr5p2;Parent=p;"), ("p", 20, 0.7, "ID=p.CDS1;Parent=p;Note=b;"), ("p", 41, None, "ID=p.CDS2;Parent=p;"), ("p", 51, None, "ID=p.utr3p1;Parent=p;"), ("p", 70, None, "ID=p.utr3p2;Parent=p;"),
+    ]
+
+
+def test_files_of_alignments_and_summaries(spark, tmp_path):
+    (tmp_path / "a/b").mkdir(parents=True)
+    (tmp_path / "a/x.gff3").write_text("##gff-version 3\ns\tm\tmRNA\t5\t90\t7\t+\t.\tID=M1;Rank=2;Identity=0.9;Target=P1 1 30\ns\tm\tCDS\t5\t30\t.\t+\t0\tParent=M1\ns\tm\tCDS\t61\t90\t.\t+\t0\tParent=M1\ns\tm\tmRNA\t7\t9\t.\t-\t.\tID=M2\n")
+    (tmp_path / "a/b/y.GFF3").write_text("#\n")
+    (tmp_path / "a/b/z.sum").write_text("#The selected clade was x\nA:92.10%[S:1],I:1.43%[p],C:0.25%[q],U:6.47%\nA:93%[S:1],I:1.5%[p],C:0.5%[q],U:3.56%\n")
+    (tmp_path / "a/b/w.sum").write_text("A:1%,I:1%,C:1%,U:1%\n")
+    for name in ("d/r1_1.fq.gz", "d/e/r1_2.fq.gz", "d/e/q.fastq"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("@\n")
+    assert {x.sample: (x.one is None, x.single is None) for x in tables.find_reads(spark, str(tmp_path / "d")).collect()} == {"r1": (False, True), "q": (True, False)}
+    (tmp_path / "t.tsv").write_text("a\t1\t2.5\nb\t2\t3\n")
+    assert tables.read_plain(spark, str(tmp_path / "t.tsv")).dtypes == [("column0", "string"), ("column1", "int"), ("column2", "double")]
+    assert sorted(x.path.rsplit("/", 1)[1] for x in tables.listed(spark, str(tmp_path / "a"), [".gff3"]).collect()) == ["x.gff3", "y.GFF3"]
+    got = {x.file[-5:]: tuple(x)[1:] for x in tables.read_omark(spark, str(tmp_path / "a/b/*.sum")).collect()}
+    assert got == {"z.sum": ("93", "0.5", "3.56"), "w.sum": ("N/A",) * 3}
+    f = gff3.read_gff3(spark, str(tmp_path / "a/x.gff3"))
+    m = {x.mrna: x for x in gff3.miniprot_models(f).collect()}
+    assert (m["M1"].gene, m["M1"].target, m["M1"].identity, m["M1"].rank, [tuple(p) for p in m["M1"].cds]) == ("M1_gene", "P1", 0.9, 2, [(5, 30), (61, 90)])
+    assert (m["M2"].identity, m["M2"].rank, m["M2"].cds) == (0.0, 1, None)
+    rows = gff3.with_gene_rows(f).orderBy("line_no").collect()
+    assert [(x.type, x.id, x.parents) for x in rows] == [("gene", "M1_gene", None), ("mRNA", "M1", ["M1_gene"]), ("CDS", None, ["M1"]), ("CDS", None, ["M1"]), ("gene", "M2_gene", None), ("mRNA", "M2", ["M2_gene"])]
+    at = spark.createDataFrame([("s", p) for p in (5, 6, 30, 31, 62)], "seqid string, position long")
+    assert [x.d for x in gff3.with_depth(at, gff3.protein_depth(f), "d").orderBy("position").collect()] == [0, 1, 1, 0, 1]
+
+
+def test_rows_of_one_line_number_have_one_order(spark):
+    rows = [(7, "Chr1", "s", "gene", 1, 90, "+", "g", None), (8, "Chr1", "s", "mRNA", 1, 90, "+", "m", ["g"]), *((9, "Chr1", "s", "CDS", a, a + 3, "+", "c", ["m"]) for a in (40, 10, 30, 20))]
+    shape = "line_no long, seqid string, source string, type string, start long, end long, strand string, id string, parents array<string>"
+    seen = set()
+    for k in range(3):
+        t = tree.renumbered(tree.linked(spark.createDataFrame(rows[k:] + rows[:k], shape).repartition(k + 1)), "A")
+        seen.add(tuple(sorted((x.start, x.id, x.new_id) for x in t.where("type = 'CDS'").collect())))
+    assert len(seen) == 1 and [x[1:] for x in seen.pop()] == [("c", "A1G0000010.t1.cds1"), ("c_2", "A1G0000010.t1.cds2"), ("c_3", "A1G0000010.t1.cds3"), ("c_4", "A1G0000010.t1.cds4")]
+
+
+def test_sets_and_attributes(spark):
+    t = spark.createDataFrame([(1, "AA"), (2, "B"), (3, "AA"), (4, None), (5, None)], "n int, s string")
+    assert sorted(x.n for x in sets.first_of_equal_texts(t, "s", "n").collect()) == [1, 2, 4]
+    a = spark.createDataFrame([("ID=x;K=1;L=2",), ("K=1",), ("ID=x;",), (".",), (None,)], "a string")
+    assert [x.v for x in a.select(set_attribute("a", "K", F.lit("9")).alias("v")).collect()] == ["ID=x;K=9;L=2", "K=9", "ID=x;K=9", "K=9", "K=9"]
+    p = sets.placed(spark.createDataFrame([("a", 5, 1), ("a", 3, 2), ("a", 900, 3), ("b", 1, 4)], "k string, s long, n long"), ["k"], "s", "n", size=10)
+    assert {x.n: x.place for x in p.collect()} == {2: 1, 1: 2, 3: 3, 4: 1}
