@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ def test_loci_by_assignment(spark):
         assert {x.line_no: x.locus for x in got.collect()} == {line: rank[x[0]] for line, x in want.items()}
         assert {(x.locus, x.start, x.end) for x in loci.collect()} == {(rank[x[0]], x[1], x[2]) for x in want.values()}
         assert assign.islands(t).agg(F.sum("genes")).first()[0] == n
+    with pytest.raises(ValueError, match="total"):
+        assign.assigned(t.unionByName(t.limit(1)))
 
 
 def test_annotations_of_files(spark):
