@@ -54,7 +54,7 @@ def phases(cds: DataFrame) -> DataFrame:
 
 def utrs(exons: DataFrame, spans: DataFrame) -> DataFrame:
     """The parts of exons outside the CDS span (``cds_start``, ``cds_end`` per mRNA), typed by strand."""
-    e = exons.join(spans, "mrna")
+    e = exons.join(spans.hint("merge"), "mrna")
     left = F.struct(F.col("start").alias("s"), F.least(F.col("end"), F.col("cds_start") - 1).alias("e"), F.when(F.col("strand") == "-", "three_prime_UTR").otherwise("five_prime_UTR").alias("type"))
     right = F.struct(F.greatest(F.col("start"), F.col("cds_end") + 1).alias("s"), F.col("end").alias("e"), F.when(F.col("strand") == "-", "five_prime_UTR").otherwise("three_prime_UTR").alias("type"))
     return e.select("mrna", "strand", F.explode(F.array(left, right)).alias("u")).where("u.s <= u.e").select("mrna", "strand", F.col("u.type").alias("type"), F.col("u.s").alias("start"), F.col("u.e").alias("end"))

@@ -95,7 +95,7 @@ def rebuilt_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of rebuilt models by type, with phases and UTRs."""
     genes, _, _, alts, cds, _, _ = _models(spark, sf_dir)
     chosen = genes.select("gene", F.concat(F.lit("x"), F.substring("gene", 2, 20), F.lit(".1")).alias("alt"))
-    exons = cds.join(alts.where("extra > 0").select("alt", "extra"), "alt").select("alt", (F.col("start") - F.col("extra")).alias("start"), F.col("end").alias("end"))
+    exons = cds.join(alts.where("extra > 0").select("alt", "extra").hint("merge"), "alt").select("alt", (F.col("start") - F.col("extra")).alias("start"), F.col("end").alias("end"))
     return merge.rebuilt(chosen, alts, cds, exons)
 
 
