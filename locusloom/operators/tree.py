@@ -34,10 +34,9 @@ def line_range(t: DataFrame, rows: int = 100_000) -> int:
 def _lines(t: DataFrame, value: Column, by: Sequence[str] = (), size: int | None = None) -> DataFrame:
     """``t`` with ``_last``: the struct ``value`` (which begins with the line number) of the latest line up to the current
     one that has it, within ``by``. Of rows of one line, the largest struct counts for all."""
-    named = t.withColumn("_v", value)
-    c = carried(named, by, F.col("line_no"), size or line_range(t), {"_c": F.max("_v")}, "max")
+    c = carried(t, by, F.col("line_no"), size or line_range(t), {"_c": F.max(value)}, "max")
     to_here = Window.partitionBy(*by, "_range").orderBy("line_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return c.withColumn("_last", F.greatest(F.max("_v").over(to_here), "_c")).drop("_v", "_c", "_range")
+    return c.withColumn("_last", F.greatest(F.max(value).over(to_here), "_c")).drop("_c", "_range")
 
 
 def forward_fill(t: DataFrame, value: str, to: str, by: Sequence[str] = ()) -> DataFrame:
@@ -50,20 +49,20 @@ def linked(features: DataFrame) -> DataFrame:
     """Every feature with its ``gene`` and ``mrna``. ``superlocus`` rows go, and so do children that follow an
     ``ncRNA_gene`` before the next gene, or whose parent is no known mRNA of their sequence. An mRNA whose gene is
     missing there stays, with a null gene. Children that repeat an id within an mRNA are told apart as ``_2``, ``_3``."""
-    f = features.where("type <> 'superlocus'")
-    f = _lines(f, F.when(F.col("type").isin("gene", "ncRNA_gene"), F.struct("line_no", (F.col("type") == "gene").alias("coding"))))
-    f = f.withColumn("_coding", F.coalesce("_last.coding", F.lit(True))).drop("_last")
     parent = F.element_at("parents", 1)
-    genes = f.where("type = 'gene'").select("seqid", F.col("id").alias("gene")).distinct()
-    mrnas = f.where("type = 'mRNA'").select("*", parent.alias("_gene"))
+    genes = features.where("type = 'gene'").select("seqid", F.col("id").alias("gene")).distinct()
+    mrnas = features.where("type = 'mRNA'").select("*", parent.alias("_gene"))
     mrnas = mrnas.join(genes.select(F.col("seqid").alias("_s"), "gene"), (F.col("seqid") == F.col("_s")) & (F.col("_gene") == F.col("gene")), "left").drop("_s", "_gene")
     known = mrnas.select(F.col("seqid").alias("_s"), F.col("id").alias("_m"), "gene").dropDuplicates(["_s", "_m"])
-    rest = f.where("type NOT IN ('gene', 'mRNA', 'ncRNA_gene') AND _coding").withColumn("mrna", parent)
+    # only what stands below mRNAs asks for the gene before it: mRNAs stay out of the way by line ranges
+    f = features.where("type NOT IN ('superlocus', 'mRNA')")
+    f = _lines(f, F.when(F.col("type").isin("gene", "ncRNA_gene"), F.struct("line_no", (F.col("type") == "gene").alias("coding"))))
+    rest = f.where(~F.col("type").isin("gene", "ncRNA_gene") & F.coalesce("_last.coding", F.lit(True))).drop("_last").withColumn("mrna", parent)
     rest = rest.join(known, (F.col("seqid") == F.col("_s")) & (F.col("mrna") == F.col("_m"))).drop("_s", "_m")
     k = F.row_number().over(Window.partitionBy("seqid", "mrna", "id").orderBy(*in_line()))
     rest = rest.withColumn("id", F.when(k > 1, F.concat("id", F.lit("_"), k.cast("string"))).otherwise(F.col("id")))
-    top = f.where("type = 'gene'").select("*", F.col("id").alias("gene"), F.lit(None).cast("string").alias("mrna"))
-    return top.unionByName(mrnas.withColumn("mrna", F.col("id"))).unionByName(rest).drop("_coding")
+    top = features.where("type = 'gene'").select("*", F.col("id").alias("gene"), F.lit(None).cast("string").alias("mrna"))
+    return top.unionByName(mrnas.withColumn("mrna", F.col("id"))).unionByName(rest)
 
 
 def closure(features: DataFrame) -> DataFrame:
@@ -173,15 +172,24 @@ def places(tree: DataFrame, pattern: str = CHROMOSOME) -> DataFrame:
     """Linked features with their place in a sorted file, as three numbers: ``seq_place`` (sequences by
     :func:`order_key`), ``gene_place`` (genes, and mRNAs without one, by start) and ``inner_place`` (mRNAs by start, each
     followed by its children as they stood). Ties go by line."""
+    tree = written(tree, "tree")
     sequences = tree.select("seqid").distinct().select("seqid", F.row_number().over(Window.orderBy(*order_key(pattern))).alias("seq_place"))
     tops = tree.where("type = 'gene' OR (type = 'mRNA' AND gene IS NULL)").select("seqid", F.coalesce("gene", "mrna").alias("_top"), "start", "line_no")
     ranked = carried(tops, ["seqid"], F.col("start"), 4096, {"_b": F.count(F.lit(1))})
     ranked = ranked.select("seqid", "_top", (F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(["seqid"], "start", "line_no", "_top"))).alias("gene_place"))
-    mrna = tree.where("type = 'mRNA'").select("seqid", "mrna", F.col("start").alias("_ms"), F.col("line_no").alias("_ml"))
-    t = tree.withColumn("_top", F.coalesce("gene", "mrna")).join(ranked, ["seqid", "_top"]).join(mrna, ["seqid", "mrna"], "left")
-    deep = F.when(F.col("type").isin("gene", "mRNA"), 0).otherwise(1)
-    w = Window.partitionBy("seqid", "_top").orderBy(F.when(F.col("type") == "gene", 0).otherwise(1), "_ms", "_ml", deep, *in_line())
-    return t.withColumn("inner_place", F.row_number().over(w)).join(sequences, "seqid").drop("_top", "_ms", "_ml")
+    ranked = written(ranked.join(sequences, "seqid"), "tops")
+    # a row's place is that of its mRNA and then that below it, so rows below meet their mRNA only
+    mrna = F.when(F.col("type") == "mRNA", F.struct(F.col("start").alias("ms"), F.col("line_no").alias("ml"), "gene"))
+    per = tree.where("mrna IS NOT NULL").groupBy("seqid", "mrna").agg(F.count(F.lit(1)).alias("_n"), F.max(mrna).alias("_m"))
+    per = per.select("seqid", "mrna", "_n", "_m", F.coalesce("_m.gene", "mrna").alias("_top")).join(ranked, ["seqid", "_top"])
+    ahead = Window.partitionBy("seqid", "_top").orderBy("_m.ms", "_m.ml", "mrna").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.when(F.col("_m.gene").isNotNull(), 1).otherwise(0)  # the gene's own row
+    per = per.select("seqid", "mrna", "seq_place", "gene_place", (own + F.coalesce(F.sum("_n").over(ahead), F.lit(0).cast("long"))).alias("_before"))
+    w = Window.partitionBy("seqid", "mrna").orderBy(F.when(F.col("type") == "mRNA", 0).otherwise(1), *in_line())
+    cols = [*tree.columns, "seq_place", "gene_place"]
+    below = tree.where("mrna IS NOT NULL").join(per, ["seqid", "mrna"]).withColumn("inner_place", (F.col("_before") + F.row_number().over(w)).cast("int"))
+    genes = tree.where("mrna IS NULL").join(ranked.withColumnRenamed("_top", "gene"), ["seqid", "gene"]).withColumn("inner_place", F.lit(1))
+    return genes.select(*cols, "inner_place").unionByName(below.select(*cols, "inner_place"))
 
 
 def in_order(tree: DataFrame, pattern: str = CHROMOSOME) -> DataFrame:
@@ -203,6 +211,7 @@ def chromosome_tag(seqid: Column, digits: Column | int, suffix: str = "G") -> Co
 def renumbered(tree: DataFrame, prefix: str, width: int = 6, digits: int = 1, splice: str = "t", by_sequence: bool = True) -> DataFrame:
     """Linked features with ``new_id``: genes ``prefix`` [+ chromosome] + number + ``0`` by start, isoforms ``.t1`` by start, and
     children ``.cds1`` numbered by mRNA and type. With ``by_sequence`` genes count anew on each sequence."""
+    tree = written(tree, "tree")
     rank = tree.where("type = 'gene'").select("seqid", "gene", "start", "line_no")
     group = ["seqid"] if by_sequence else []
     numbered = carried(rank, group, F.col("start"), 4096, {"_b": F.count(F.lit(1))})
@@ -210,14 +219,16 @@ def renumbered(tree: DataFrame, prefix: str, width: int = 6, digits: int = 1, sp
     text = number.cast("string")
     padded = F.concat(F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")), F.lit("0"))
     tag = chromosome_tag(F.col("seqid"), digits) if by_sequence else F.lit("")
-    genes = numbered.select("seqid", "gene", F.concat(F.lit(prefix), tag, padded).alias("_new_gene"))
-    mrnas = tree.where("type = 'mRNA'").select("seqid", "gene", "mrna", F.row_number().over(Window.partitionBy("seqid", "gene").orderBy("start", "line_no", "mrna")).alias("_iso"))
-    t = tree.join(genes, ["seqid", "gene"]).join(mrnas.drop("gene"), ["seqid", "mrna"], "left")
+    genes = written(numbered.select("seqid", "gene", F.concat(F.lit(prefix), tag, padded).alias("_new_gene")), "numbers")
+    mrnas = tree.where("type = 'mRNA' AND gene IS NOT NULL").select("seqid", "gene", "mrna", F.row_number().over(Window.partitionBy("seqid", "gene").orderBy("start", "line_no", "mrna")).alias("_iso"))
+    # rows below meet their mRNA only, which knows its gene's number
+    named = mrnas.join(genes, ["seqid", "gene"]).select("seqid", "mrna", F.concat("_new_gene", F.lit(f".{splice}"), F.col("_iso").cast("string")).alias("_new"))
     kind = F.lower("type")
     k = F.row_number().over(Window.partitionBy("seqid", "mrna", kind).orderBy(*in_line()))
-    iso = F.concat("_new_gene", F.lit(f".{splice}"), F.col("_iso").cast("string"))
-    new = F.when(F.col("type") == "gene", F.col("_new_gene")).when(F.col("type") == "mRNA", iso).otherwise(F.concat(iso, F.lit("."), kind, k.cast("string")))
-    return t.withColumn("new_id", new).drop("_new_gene", "_iso")
+    below = tree.where("mrna IS NOT NULL").join(named, ["seqid", "mrna"])
+    below = below.withColumn("new_id", F.when(F.col("type") == "mRNA", F.col("_new")).otherwise(F.concat("_new", F.lit("."), kind, k.cast("string"))))
+    top = tree.where("mrna IS NULL").join(genes, ["seqid", "gene"]).withColumn("new_id", F.col("_new_gene"))
+    return top.select(*tree.columns, "new_id").unionByName(below.select(*tree.columns, "new_id"))
 
 
 def id_map(renamed: DataFrame) -> DataFrame:
@@ -274,10 +285,11 @@ def flank_length(genes: DataFrame, least: int = 200, size: int = 4096) -> DataFr
 
 def stretched(tree: DataFrame, spans: DataFrame) -> DataFrame:
     """mRNA and outer exon bounds of the genes in ``spans`` (``gene``, ``new_start``, ``new_end``) moved to the new span."""
-    t = tree.join(spans, "gene", "left")
-    lo = F.min(F.when(F.col("type") == "exon", F.col("start"))).over(Window.partitionBy("seqid", "mrna"))
-    hi = F.max(F.when(F.col("type") == "exon", F.col("end"))).over(Window.partitionBy("seqid", "mrna"))
-    whole = F.col("type").isin("gene", "mRNA")
-    outer_left, outer_right = (F.col("type") == "exon") & (F.col("start") == lo), (F.col("type") == "exon") & (F.col("end") == hi)
-    has = F.col("new_start").isNotNull()
-    return t.withColumn("_s", F.when(has & (whole | outer_left), F.col("new_start")).otherwise(F.col("start"))).withColumn("end", F.when(has & (whole | outer_right), F.col("new_end")).otherwise(F.col("end"))).withColumn("start", F.col("_s")).drop("_s", "new_start", "new_end")
+    moved = tree.where("type IN ('gene', 'mRNA', 'exon')").join(spans, "gene", "left")
+    has, exon = F.col("new_start").isNotNull(), F.col("type") == "exon"
+    # only exons look at their mRNA's others: genes, which have no mRNA, would all meet in one task
+    lo, hi = (f("start" if f is F.min else "end").over(Window.partitionBy("seqid", "mrna")) for f in (F.min, F.max))
+    outer = moved.where(exon).withColumn("_left", F.col("start") == lo).withColumn("_right", F.col("end") == hi)
+    moved = moved.where(~exon).withColumn("_left", F.lit(True)).withColumn("_right", F.lit(True)).unionByName(outer)
+    moved = moved.withColumn("start", F.when(has & F.col("_left"), F.col("new_start")).otherwise(F.col("start"))).withColumn("end", F.when(has & F.col("_right"), F.col("new_end")).otherwise(F.col("end")))
+    return moved.select(*tree.columns).unionByName(tree.where("type NOT IN ('gene', 'mRNA', 'exon')"))

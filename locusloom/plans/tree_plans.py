@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import tree
+from ..written import written
 from .adapters import hours, read
 
 ITEM_SQL = """
@@ -118,7 +119,7 @@ def training_flank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stretched_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds of mRNAs and outer exons after a third of the genes got a longer span."""
-    t = tree.linked(gff(spark, sf_dir)).where("gene IS NOT NULL")
+    t = written(tree.linked(gff(spark, sf_dir)).where("gene IS NOT NULL"), "linked")
     spans = t.where("type = 'gene' AND line_no % 300000000000 = 0").select("gene", (F.col("start") - 9).alias("new_start"), (F.col("end") + 7).alias("new_end"))
     return tree.stretched(t, spans).select("line_no", "type", "start", "end")
 
