@@ -82,8 +82,7 @@ def splice_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def truncated_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     genes, gene_cds, _, alts, cds, _, _ = _models(spark, sf_dir)
-    pairs = merge.reciprocal(genes, alts.select("alt", "chrom", "strand", F.col("start").alias("b_start"), F.col("end").alias("b_end")), 0.3)
-    return merge.truncated(pairs.select("gene", "start", "end", "alt", "b_start", "b_end"), gene_cds, cds)
+    return merge.truncated_by_any(genes, alts, gene_cds, cds)
 
 
 def refined_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
