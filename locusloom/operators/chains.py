@@ -1,4 +1,6 @@
-"""Following links from row to row by pointer doubling: as many rounds as the logarithm of the longest path."""
+"""Following links from row to row by pointer doubling: as many rounds as the logarithm of the longest path.
+
+Tables of links grow with the rows and their files are small: joins ask for a merge, or Spark would send them through the driver."""
 
 from __future__ import annotations
 
@@ -21,12 +23,12 @@ def followed(starts: DataFrame, links: DataFrame, by: Sequence[str], at: str = "
     path = written(starts.select(*here), "path")
     for _ in range(MOST_ROUNDS):
         # the path holds the first 2^k places of each chain, and a jump is 2^k links long
-        more = written(path.join(jump, here).select(*by, F.col(to).alias(at)), "path")
+        more = written(path.join(jump.hint("merge"), here).select(*by, F.col(to).alias(at)), "path")
         if more.isEmpty():
             return path
         path = path.unionByName(more)
         over = jump.select(*by, F.col(at).alias(to), F.col(to).alias("_over"))
-        jump = written(jump.join(over, [*by, to]).select(*here, F.col("_over").alias(to)), "jump")
+        jump = written(jump.join(over.hint("merge"), [*by, to]).select(*here, F.col("_over").alias(to)), "jump")
     raise ValueError("links run in circles")
 
 
@@ -37,7 +39,7 @@ def rooted(links: DataFrame, node: str = "id", parent: str = "parent") -> DataFr
     Every node holds a link to an ancestor 2^k steps up; each round joins it with that ancestor's own."""
     t = links.select(F.col(node).alias("node"), F.col(parent).alias("up")).dropDuplicates(["node"])
     known = t.select(F.col("node").alias("_n"))
-    t = t.join(known, F.col("up") == F.col("_n"), "left").select("node", F.col("_n").alias("up"), F.when(F.col("_n").isNotNull(), 1).otherwise(0).cast("long").alias("depth"))
+    t = t.join(known.hint("merge"), F.col("up") == F.col("_n"), "left").select("node", F.col("_n").alias("up"), F.when(F.col("_n").isNotNull(), 1).otherwise(0).cast("long").alias("depth"))
     t = written(t.withColumn("root", F.when(F.col("up").isNull(), F.col("node"))), "links")
     count, k = None, 0
     while True:
@@ -47,7 +49,7 @@ def rooted(links: DataFrame, node: str = "id", parent: str = "parent") -> DataFr
             break
         count = left
         above = t.select(F.col("node").alias("_a"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("root").alias("_r"))
-        t = written(t.join(above, F.col("up") == F.col("_a"), "left").select("node", F.when(F.col("root").isNull(), F.col("_up")).otherwise(F.col("up")).alias("up"), F.when(F.col("root").isNull(), F.col("depth") + F.coalesce("_d", F.lit(0).cast("long"))).otherwise(F.col("depth")).alias("depth"), F.coalesce("root", "_r").alias("root")), "links")
+        t = written(t.join(above.hint("merge"), F.col("up") == F.col("_a"), "left").select("node", F.when(F.col("root").isNull(), F.col("_up")).otherwise(F.col("up")).alias("up"), F.when(F.col("root").isNull(), F.col("depth") + F.coalesce("_d", F.lit(0).cast("long"))).otherwise(F.col("depth")).alias("depth"), F.coalesce("root", "_r").alias("root")), "links")
     return t.select(F.col("node").alias(node), "root", F.when(F.col("root").isNotNull(), F.col("depth")).alias("depth"))
 
 

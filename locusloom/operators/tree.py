@@ -72,7 +72,7 @@ def closure(features: DataFrame) -> DataFrame:
     up = F.element_at("parents", 1)
     ids = features.where("id IS NOT NULL").groupBy("id").agg(F.min_by(F.struct(up.alias("up")), F.struct("line_no", "start", "end")).alias("_p")).select("id", F.col("_p.up").alias("up"))
     top = rooted(ids, "id", "up").select(F.col("id").alias("_i"), F.col("root").alias("_r"), F.col("depth").alias("_d"))
-    t = features.withColumn("_up", up).join(top, F.col("_up") == F.col("_i"), "left")
+    t = features.withColumn("_up", up).join(top.hint("merge"), F.col("_up") == F.col("_i"), "left")
     lone, orphan = F.col("_up").isNull(), F.col("_up").isNotNull() & F.col("_i").isNull()
     t = t.withColumn("root", F.when(lone | orphan, F.col("id")).otherwise(F.col("_r"))).withColumn("depth", F.when(lone | orphan, F.lit(0).cast("long")).otherwise(F.col("_d") + 1))
     return t.withColumn("orphan", orphan).drop("_up", "_i", "_r", "_d")
