@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..written import written
 from .chains import rooted
-from .sweep import carried, within
+from .sweep import _ranged, carried, within
 
 CHILD_TYPES = ("exon", "CDS")
 
@@ -31,12 +31,24 @@ def line_range(t: DataFrame, rows: int = 100_000) -> int:
     return max(1, (hi - lo) // max(1, n // rows) + 1) if n else 1
 
 
-def _lines(t: DataFrame, value: Column, by: Sequence[str] = (), size: int | None = None) -> DataFrame:
+def _lines(t: DataFrame, value: Column | None, by: Sequence[str] = (), size: int | None = None, heads: DataFrame | None = None) -> DataFrame:
     """``t`` with ``_last``: the struct ``value`` (which begins with the line number) of the latest line up to the current
-    one that has it, within ``by``. Of rows of one line, the largest struct counts for all."""
-    c = carried(t, by, F.col("line_no"), size or line_range(t), {"_c": F.max(value)}, "max")
-    to_here = Window.partitionBy(*by, "_range").orderBy("line_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return c.withColumn("_last", F.greatest(F.max(value).over(to_here), "_c")).drop("_c", "_range")
+    one that has it, within ``by``. Of rows of one line, the largest struct counts for all. With ``heads`` (``by``, ``line_no``,
+    ``_v``) the structs come from there, so that what is known of a head needs no join with the rows that follow it.
+
+    What lies before a range enters as a row of that range: rows are shuffled and sorted once."""
+    size = size or line_range(t)
+    ranged = lambda x: x.withColumn("_range", _ranged(by, F.col("line_no"), size)).withColumn("_first", F.lit(1))
+    rows = ranged(t.withColumn("_asks", F.lit(True)))
+    if heads is None:
+        rows = rows.withColumn("_v", value)
+    else:
+        rows = rows.unionByName(ranged(heads), allowMissingColumns=True)
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy(*by, "_range").agg(F.max("_v").alias("_v")).withColumn("_v", F.max("_v").over(before)).where("_v IS NOT NULL").withColumn("_first", F.lit(0))
+    to_here = Window.partitionBy(*by, "_range").orderBy("_first", "line_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    met = rows.unionByName(carry, allowMissingColumns=True).withColumn("_last", F.max("_v").over(to_here))
+    return met.where("_asks").select(*t.columns, "_last")
 
 
 def forward_fill(t: DataFrame, value: str, to: str, by: Sequence[str] = ()) -> DataFrame:
