@@ -51,7 +51,7 @@ class Tokens:
         self.train = np.repeat(~np.array(held_out, bool), self.sizes)
         x = (prev ^ (prev >> np.uint64(31))) * _P + self.hash
         x = (x ^ (x >> np.uint64(29))) * _P
-        self.pair = (x ^ (x >> np.uint64(32))) >> np.uint64(8)  # 56 bits: seven bytes are sent
+        self.pair = (x ^ (x >> np.uint64(32))) >> np.uint64(8)  # 56 bits
         # START is asked for like a word: its count is the number of training texts
         self.words, self.word_of = np.unique(np.concatenate([self.hash, prev[first]]), return_inverse=True)
         self.pairs, self.pair_at, self.pair_of = np.unique(self.pair, return_index=True, return_inverse=True)
@@ -79,24 +79,51 @@ def _table(rows: list[tuple], types: list, schema: str) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[f.strip().split(" ")[0] for f in schema.split(",")])
 
 
-def _seven(h: np.ndarray) -> bytes:
-    return np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of whole numbers, all first bytes before all second ones: high bytes are mostly 0, and shuffles
+    compress them away."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _from_seven(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
-    return out.view(np.uint64).ravel()
+def _from_planes(data: bytes, width: int) -> np.ndarray:
+    part = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((part.shape[1], 8), np.uint8)
+    out[:, :width] = part.T
+    return out.view("<u8").ravel()
+
+
+def _width(x: np.ndarray) -> int:
+    return max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+
+
+def _steps(h: np.ndarray) -> bytes:
+    """Sorted hashes: the first, and then the steps between them in as few bytes each as the largest needs."""
+    if not len(h):
+        return b""
+    d = np.diff(h)
+    width = _width(d)
+    return int(h[0]).to_bytes(8, "little") + bytes([width]) + _planes(d, width)
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    first = np.array([int.from_bytes(data[:8], "little")], np.uint64)
+    return np.cumsum(np.concatenate([first, _from_planes(data[9:], data[8])]), dtype=np.uint64)
 
 
 def _small(counts: np.ndarray) -> bytes:
     """Counts in as few bytes each as the largest needs, named by the first byte."""
-    width = next(w for w in (1, 2, 4, 8) if int(counts.max(initial=0)) < 256**w)
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    width = _width(counts)
+    return bytes([width]) + _planes(counts, width)
 
 
 def _from_small(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    return _from_planes(data[1:], data[0]).astype(np.int64)
+
+
+def _all_small(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([_from_small(x) for x in parts]) if parts else np.zeros(0, np.int64)
 
 
 def _ask(buckets: int):
@@ -106,7 +133,7 @@ def _ask(buckets: int):
         for b in range(buckets):
             ws, ps = slice(w[b], w[b + 1]), slice(p[b], p[b + 1])
             if ws.stop > ws.start or ps.stop > ps.start:
-                rows.append((b, chunk, k.words[ws].tobytes(), _small(k.word_count[ws]), _seven(k.pairs[ps]), _small(k.pair_count[ps])))
+                rows.append((b, chunk, _steps(k.words[ws]), _small(k.word_count[ws]), _steps(k.pairs[ps]), _small(k.pair_count[ps])))
         return _table(rows, [pa.int32(), pa.int32()] + [pa.binary()] * 4, ASKED)
 
     return run
@@ -119,8 +146,8 @@ def _answer(t: pa.Table) -> pa.Table:
     rows: list[list] = [[c, t.column("bucket")[0].as_py(), b"", b""] for c in t.column("chunk").to_pylist()]
     n_tokens = n_types = 0
     for name, place in (("word", 2), ("pair", 3)):
-        h = [np.frombuffer(x, np.uint64) if name == "word" else _from_seven(x) for x in t.column(f"{name}s").to_pylist()]
-        c = np.concatenate([_from_small(x) for x in t.column(f"{name}_counts").to_pylist()])
+        h = [_from_steps(x) for x in t.column(f"{name}s").to_pylist()]
+        c = _all_small(t.column(f"{name}_counts").to_pylist())
         flat = np.concatenate(h)
         u, inverse = np.unique(flat, return_inverse=True)
         total = np.bincount(inverse, c, len(u)).astype(np.int64)
@@ -133,8 +160,8 @@ def _answer(t: pa.Table) -> pa.Table:
             owner[trained[np.unique(inverse[trained], return_index=True)[1]]] = 1
             sent = 2 * total[inverse] + owner
         for r, part in zip(rows, np.split(sent, np.cumsum([len(x) for x in h])[:-1]), strict=True):
-            r[place] = part.tobytes()
-    rows.append([-1, rows[0][1], np.array([n_tokens], np.int64).tobytes(), np.array([n_types], np.int64).tobytes()])
+            r[place] = _small(part)
+    rows.append([-1, rows[0][1], _small(np.array([n_tokens])), _small(np.array([n_types]))])
     return _table([tuple(r) for r in rows], [pa.int32(), pa.int32(), pa.binary(), pa.binary()], ANSWER)
 
 
@@ -166,8 +193,8 @@ class BackoffAutomaton:
 def _score(key: tuple, left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
     types = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     right = right.sort_by("bucket")
-    words = np.frombuffer(b"".join(right.column("words").to_pylist()), np.int64)
-    pairs = np.frombuffer(b"".join(right.column("pairs").to_pylist()), np.int64)
+    words = _all_small(right.column("words").to_pylist())
+    pairs = _all_small(right.column("pairs").to_pylist())
     if not left.num_rows:  # chunk -1
         return _table([(2, None, None, 0, 0, 0.0, 0.0, 0, [int(words.sum())], [int(pairs.sum())], -1, -1, None, None)], types, SEEN)
     chunk = left.column("chunk")[0].as_py()
@@ -201,15 +228,15 @@ def _score(key: tuple, left: pa.Table, right: pa.Table, buckets: int) -> pa.Tabl
     for b in range(buckets):
         part = slice(edge[b], edge[b + 1])
         if part.stop > part.start:
-            rows.append((1, None, None, 0, 0, 0.0, 0.0, 0, None, None, chunk, b, states[part].tobytes(), _small(owned[part])))
+            rows.append((1, None, None, 0, 0, 0.0, 0.0, 0, None, None, chunk, b, _steps(states[part]), _small(owned[part])))
     return _table(rows, types, SEEN)
 
 
 def _totals(t: pa.Table) -> pa.Table:
     """Distinct training pairs of each state of a bucket, for each chunk in the order asked."""
-    h = [np.frombuffer(x, np.uint64) for x in t.column("states").to_pylist()]
+    h = [_from_steps(x) for x in t.column("states").to_pylist()]
     u, inverse = np.unique(np.concatenate(h), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([_from_small(x) for x in t.column("owned").to_pylist()]), len(u)).astype(np.int64)
+    total = np.bincount(inverse, _all_small(t.column("owned").to_pylist()), len(u)).astype(np.int64)
     parts = np.split(total[inverse], np.cumsum([len(x) for x in h])[:-1])
     rows = [(c, b, _small(x)) for c, b, x in zip(t.column("chunk").to_pylist(), t.column("bucket").to_pylist(), parts, strict=True)]
     return _table(rows, [pa.int32(), pa.int32(), pa.binary()], TOTALS)
