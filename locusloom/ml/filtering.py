@@ -25,8 +25,15 @@ def assembled(data: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def _forest(trees: int, per_split: int, seed: int, **more) -> RandomForestClassifier:
-    """Trees grown deep, as forests of single leaves are; ``per_split`` features are tried at each split."""
-    return RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, featureSubsetStrategy=str(per_split), seed=seed, maxDepth=20, minInstancesPerNode=1, **more)
+    """Trees grown deep, as forests of single leaves are; ``per_split`` features are tried at each split. Rows keep the node that
+    they are at in each tree: deep trees would else be gone through from the root for every level."""
+    return RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, featureSubsetStrategy=str(per_split), seed=seed, maxDepth=20, minInstancesPerNode=1, cacheNodeIds=True, **more)
+
+
+def spread(rows: DataFrame, key: str = "transcript_id") -> DataFrame:
+    """``rows`` dealt evenly over the cluster's cores, each part in the order of ``key``. Tables of features are small files, for
+    which Spark takes a task or two, but all trees look at every row on every level."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key).sortWithinPartitions(key)
 
 
 def positive(model, rows: DataFrame, name: str) -> DataFrame:
@@ -47,19 +54,20 @@ def semi_supervised(data: DataFrame, features: Sequence[str], busco: DataFrame,
     and a new forest is grown, until no call is that sure, none is left or ``max_iter`` rounds are over; calls of the last
     round count as well. What stays undecided is rescued by :func:`rescue_tier`, and conserved genes (``busco``:
     ``transcript_id, status``) come back whatever was decided. With only one kind of seed all transcripts are kept.
-    ``kept``: ``transcript_id, reason``; ``process``: one row a round. Each round's labels are a written table."""
+    ``kept``: ``transcript_id, reason``; ``process``: one row a round. Each round's labels are a written table, which holds the
+    features as well, so that rounds need no joins."""
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = data.sparkSession
-    x = written(assembled(data, features).join(data.select("transcript_id", "label"), "transcript_id"), "features")
     y = F.when(F.col("label") == "Keep", 1.0).when(F.col("label") == "Discard", 0.0)
-    labels = written(x.select("transcript_id", y.alias("y"), F.lit(0).alias("round")), "labels")
+    x = assembled(data, features).join(data.select("transcript_id", y.alias("y"), F.lit(0).alias("round")), "transcript_id")
+    labels = written(spread(x), "labels")
     names = "round int, keep long, discard long, undecided long, error double, busco_keep long, busco_discard long, busco_undecided long"
     conserved = busco.where("status <> 'Missing'").select("transcript_id").distinct()
     process = []
     model = None
     for k in range(1, max_iter + 1):
-        known = written(x.select("transcript_id", "x").join(labels.where("y IS NOT NULL"), "transcript_id"), "known")
+        known = labels.where("y IS NOT NULL")
         if known.select("y").distinct().count() < 2:
             break
         model = _forest(trees, per_split, seed).fit(known)
@@ -68,18 +76,17 @@ def semi_supervised(data: DataFrame, features: Sequence[str], busco: DataFrame,
         process.append((k, n[0], n[1], n[2], bag_error(known, trees, per_split, seed) if errors else None, b[0], b[1], b[2]))
         if not n[2]:
             break
-        open_rows = x.select("transcript_id", "x").join(labels.where("y IS NULL"), "transcript_id")
-        p = positive(model, open_rows, "p")
-        sure = p.where(F.greatest(F.col("p"), 1 - F.col("p")) > recycle).select("transcript_id", F.when(F.col("p") > 0.5, 1.0).otherwise(0.0).alias("_y"))
-        after = labels.join(sure, "transcript_id", "left").select("transcript_id", F.coalesce("y", "_y").alias("y"), F.when(F.col("y").isNull() & F.col("_y").isNotNull(), F.lit(k)).otherwise(F.col("round")).alias("round"))
-        labels = written(after, "labels")
+        called = positive(model, labels.where("y IS NULL"), "p")
+        sure = F.greatest(F.col("p"), 1 - F.col("p")) > recycle
+        called = called.select("transcript_id", "x", F.when(sure, F.when(F.col("p") > 0.5, 1.0).otherwise(0.0)).alias("y"), F.when(sure, F.lit(k)).otherwise(F.col("round")).alias("round"))
+        labels = written(spread(known.select(*called.columns).unionByName(called)), "labels")
         if labels.where(F.col("round") == k).isEmpty():
             break
     if model is None:
         return data.select("transcript_id", F.lit("all").alias("reason")), spark.createDataFrame([], names)
-    rest = positive(model, x.select("transcript_id", "x").join(labels.where("y IS NULL").select("transcript_id"), "transcript_id"), "prob").select("transcript_id", "prob")
+    rest = positive(model, labels.where("y IS NULL"), "prob").select("transcript_id", "prob")
     complete = busco.where("status IN ('Complete', 'Duplicated')").select("transcript_id").distinct().withColumn("busco", F.lit(True))
-    t = data.select("transcript_id", "rex_pident", "blast_pident", "pfam", "repeat").join(labels, "transcript_id").join(rest, "transcript_id", "left").join(complete, "transcript_id", "left")
+    t = data.select("transcript_id", "rex_pident", "blast_pident", "pfam", "repeat").join(labels.drop("x"), "transcript_id").join(rest, "transcript_id", "left").join(complete, "transcript_id", "left")
     tier = F.when(F.col("y") == 1, F.when(F.col("round") == 0, "seed").otherwise("recycled")).when(F.col("y").isNull(), F.nullif(rescue_tier(repeat_cutoff), F.lit("none")))
     reason = F.coalesce(tier, F.when(F.coalesce("busco", F.lit(False)), "conserved"))
     return t.select("transcript_id", reason.alias("reason")).where("reason IS NOT NULL"), spark.createDataFrame(process, names)
