@@ -110,12 +110,33 @@ def without_mrnas(features: DataFrame, bad: DataFrame) -> DataFrame:
     """``features`` without the mRNAs in ``bad`` (``mrna``), without genes that lose all their mRNAs by that, and without
     children all of whose parents go."""
     bad = bad.select(F.col("mrna").alias("_bad")).distinct()
+    gone = bad.unionByName(_emptied(features, bad))
+    kept = features.where("type IN ('gene', 'mRNA')").join(gone, F.col("id") == F.col("_bad"), "left_anti")
+    return kept.unionByName(_with_parent_left(features.where("type NOT IN ('gene', 'mRNA')"), bad))
+
+
+def _emptied(features: DataFrame, bad: DataFrame) -> DataFrame:
+    """Genes (``_bad``) all of whose mRNAs are ``_bad``."""
     mrnas = features.where("type = 'mRNA'").select(F.col("id").alias("mrna"), F.element_at("parents", 1).alias("gene")).join(bad, F.col("mrna") == F.col("_bad"), "left")
-    emptied = mrnas.groupBy("gene").agg(F.bool_and(F.col("_bad").isNotNull()).alias("all")).where("all").select(F.col("gene").alias("_bad"))
-    kept = features.where("type IN ('gene', 'mRNA')").join(bad.unionByName(emptied), F.col("id") == F.col("_bad"), "left_anti")
-    rest = features.where("type NOT IN ('gene', 'mRNA')")
+    return mrnas.groupBy("gene").agg(F.bool_and(F.col("_bad").isNotNull()).alias("all")).where("all").select(F.col("gene").alias("_bad"))
+
+
+def _with_parent_left(rest: DataFrame, bad: DataFrame) -> DataFrame:
+    """``rest`` without rows all of whose parents are ``_bad``, and without lines that hold no other rows."""
     some = rest.select("line_no", F.explode_outer("parents").alias("_p")).join(bad, F.col("_p") == F.col("_bad"), "left_anti").select("line_no").distinct()
-    return kept.unionByName(rest.join(some, "line_no", "left_semi"))
+    return rest.join(some, "line_no", "left_semi")
+
+
+def lost_with_mrnas(features: DataFrame, bad: DataFrame) -> DataFrame:
+    """``type, id`` of which :func:`without_mrnas` leaves no row. An id stays while any of its rows keeps a parent, so rows meet
+    what goes once, by what they hang on, and are not put together again by line."""
+    bad = written(bad.select(F.col("mrna").alias("_bad")).distinct(), "bad")
+    top = F.col("type").isin("gene", "mRNA")
+    gone = bad.unionByName(_emptied(features, bad)).select(F.col("_bad"), F.lit(True).alias("_top")).distinct()
+    gone = gone.unionByName(bad.select("_bad", F.lit(False).alias("_top")))
+    hangs = features.where("id IS NOT NULL").select("type", "id", top.alias("_is_top"), F.explode_outer(F.when(top, F.array("id")).otherwise(F.col("parents"))).alias("_on"))
+    met = hangs.join(gone.hint("merge"), (F.col("_on") == F.col("_bad")) & (F.col("_is_top") == F.col("_top")), "left")
+    return met.groupBy("type", "id").agg(F.bool_and(F.col("_bad").isNotNull()).alias("_all")).where("_all").select("type", "id")
 
 
 def childless(features: DataFrame, any_child: bool = False) -> DataFrame:

@@ -56,7 +56,7 @@ def domains_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def removed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the removal of childless mRNAs took away."""
     t = gff(spark, sf_dir)
-    return sets.removed(t, tree.without_mrnas(t, tree.childless(t)), "childless")
+    return tree.lost_with_mrnas(t, tree.childless(t)).withColumn("why", F.lit("childless"))
 
 
 def ordered_models(spark: SparkSession, sf_dir: str) -> DataFrame:
