@@ -114,11 +114,9 @@ def repaired_exons(cds: DataFrame, exons: DataFrame) -> tuple[DataFrame, DataFra
     """``(exons, introns)`` of models (``mrna, start, end``): introns lie between neighbouring coding parts, and between
     neighbouring exons where they touch none of those (nor one before them); exons are what introns leave of the whole
     span. A model's parts are gathered as an array, which is as long as the model has parts."""
-    span = F.struct("start", "end")
-    c = cds.groupBy("mrna").agg(F.array_sort(F.collect_list(span)).alias("c"))
-    e = exons.groupBy("mrna").agg(F.array_sort(F.collect_list(span)).alias("e"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    t = c.join(e, "mrna", "full").select("mrna", F.coalesce("c", none).alias("c"), F.coalesce("e", none).alias("e"))
+    part = F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    both = cds.select("mrna", F.lit(True).alias("_cds"), part.alias("_p")).unionByName(exons.select("mrna", F.lit(False).alias("_cds"), part.alias("_p")))
+    t = both.groupBy("mrna").agg(*(F.array_sort(F.collect_list(F.when(w, F.col("_p")))).alias(k) for k, w in (("c", F.col("_cds")), ("e", ~F.col("_cds")))))
 
     def between(parts: str):
         """Gaps of at least one base between each part and the next."""
@@ -132,8 +130,9 @@ def repaired_exons(cds: DataFrame, exons: DataFrame) -> tuple[DataFrame, DataFra
     t = t.withColumn("i", F.array_sort(F.aggregate(between("e"), between("c"), add)))
     every = F.concat("c", "e")
     lo, hi = F.array_min(F.transform(every, lambda p: p["start"])), F.array_max(F.transform(every, lambda p: p["end"]))
-    begin = F.concat(F.array(lo), F.transform("i", lambda g: g["end"] + 1))
-    stop = F.concat(F.transform("i", lambda g: g["start"] - 1), F.array(hi))
+    t = written(t.select("mrna", lo.alias("lo"), hi.alias("hi"), "i"), "introns")  # replays of gaps would else be repeated for each use
+    begin = F.concat(F.array("lo"), F.transform("i", lambda g: g["end"] + 1))
+    stop = F.concat(F.transform("i", lambda g: g["start"] - 1), F.array("hi"))
     t = t.withColumn("x", F.arrays_zip(begin.alias("start"), stop.alias("end")))
     return t.select("mrna", F.inline("x").alias("start", "end")), t.select("mrna", F.inline("i").alias("start", "end"))
 
@@ -142,15 +141,17 @@ def outside(cds: DataFrame, exons: DataFrame, models: DataFrame) -> DataFrame:
     """``mrna, type, start, end``: untranslated pieces of exons. An exon that meets no coding part is one as a whole; one that
     ends with a coding part gives what lies before it, one that begins with it what lies behind. Pieces up to the least
     coding position, or from the second least on, get their type by strand; others go."""
-    pair = exons.select("mrna", "start", "end").join(cds.select("mrna", F.col("start").alias("_s"), F.col("end").alias("_e")), "mrna", "left")
-    meets = (F.col("_s") <= F.col("end")) & (F.col("_e") >= F.col("start"))
-    before = meets & (F.col("start") < F.col("_s")) & (F.col("end") == F.col("_e"))
-    behind = meets & (F.col("start") == F.col("_s")) & (F.col("end") > F.col("_e"))
-    cut = pair.where(before | behind).select("mrna", F.when(before, F.col("start")).otherwise(F.col("_e") + 1).alias("start"), F.when(before, F.col("_s") - 1).otherwise(F.col("end")).alias("end"))
-    whole = pair.groupBy("mrna", "start", "end").agg(F.max(F.coalesce(meets, F.lit(False))).alias("_met")).where("NOT _met").select("mrna", "start", "end")
-    marks = cds.select("mrna", F.explode(F.array("start", "end")).alias("p")).groupBy("mrna").agg(F.array_sort(F.collect_set("p")).alias("p"))
-    t = cut.unionByName(whole).join(marks, "mrna").join(models.select("mrna", "strand"), "mrna")
-    low, high = F.col("end") <= F.get("p", F.lit(0)), F.col("start") >= F.get("p", F.lit(1))
+    part = F.struct(F.col("start").alias("s"), F.col("end").alias("e"))
+    coding = cds.groupBy("mrna").agg(F.collect_list(part).alias("_c")).join(models.select("mrna", "strand").hint("merge"), "mrna")
+    marks = F.array_sort(F.array_distinct(F.concat(F.transform("_c", lambda c: c["s"]), F.transform("_c", lambda c: c["e"]))))
+    coding = coding.withColumn("_low", F.get(marks, F.lit(0))).withColumn("_high", F.get(marks, F.lit(1)))
+    start, end = F.col("start"), F.col("end")
+    piece = lambda s, e: F.struct(s.alias("s"), e.alias("e"))
+    t = exons.select("mrna", "start", "end").join(coding.hint("merge"), "mrna").withColumn("_met", F.filter("_c", lambda c: (c["s"] <= end) & (c["e"] >= start)))
+    before = F.transform(F.filter("_met", lambda c: (start < c["s"]) & (end == c["e"])), lambda c: piece(start, c["s"] - 1))
+    behind = F.transform(F.filter("_met", lambda c: (start == c["s"]) & (end > c["e"])), lambda c: piece(c["e"] + 1, end))
+    t = t.select("mrna", "strand", "_low", "_high", F.inline(F.when(F.size("_met") == 0, F.array(piece(start, end))).otherwise(F.concat(before, behind))).alias("start", "end"))
+    low, high = F.col("end") <= F.col("_low"), F.col("start") >= F.col("_high")
     minus, five, three = F.col("strand") == "-", F.lit("five_prime_UTR"), F.lit("three_prime_UTR")
     kind = F.when(minus, F.when(high, five).when(low, three)).otherwise(F.when(low, five).when(high, three))
     return t.select("mrna", kind.alias("type"), "start", "end").where("type IS NOT NULL")
@@ -174,13 +175,16 @@ def numbered(models: DataFrame, parts: DataFrame, known: DataFrame) -> DataFrame
     the same place, strand and type (``mrna, seqid, strand, type, start, end, score, attributes, line_no``) keeps its score and
     further attributes, those of the last such line."""
     table = F.create_map(*(F.lit(x) for k, (name, rank) in SHOWN.items() for x in (k, F.struct(F.lit(name).alias("name"), F.lit(rank).alias("rank")))))
-    t = parts.join(models.select("mrna", "seqid", "strand"), "mrna").withColumn("_t", F.try_element_at(table, F.col("type")))
+    key = ["mrna", "seqid", "strand", "type", "start", "end"]
+    # what is known comes as an array per model, so that rows stay where their model is
+    was = known.dropna(subset=[*key]).where(F.col("line_no").isNotNull()).groupBy("mrna").agg(F.collect_list(F.struct("line_no", *(F.col(c).alias(f"_{c}") for c in key[1:]), "score", other_attributes("attributes").alias("more"))).alias("_known"))
+    t = parts.join(models.select("mrna", "seqid", "strand").hint("merge"), "mrna").withColumn("_t", F.try_element_at(table, F.col("type")))
     minus = F.col("strand") == "-"
     along = F.when(minus, -F.col("start")).otherwise(F.col("start"))
     by = F.when(minus & ~F.col("type").endswith("_UTR"), -F.col("start")).otherwise(F.col("start"))
+    same = lambda k: (k["_type"] == F.col("type")) & (k["_start"] == F.col("start")) & (k["_end"] == F.col("end")) & (k["_seqid"] == F.col("seqid")) & (k["_strand"] == F.col("strand"))
     t = t.withColumn("_k", F.row_number().over(Window.partitionBy("mrna", "type").orderBy(by, "end"))).withColumn("place", F.row_number().over(Window.partitionBy("mrna").orderBy(along, F.col("_t.rank"), "end")))
-    key = ["mrna", "seqid", "strand", "type", "start", "end"]
-    old = known.groupBy(*key).agg(F.max_by(F.struct("score", other_attributes("attributes").alias("more")), "line_no").alias("_old"))
-    t = t.join(old, key, "left")
+    # numbered rows stand by their model already: what is known meets them last, so that sorts have narrow rows
+    t = t.join(was.hint("merge"), "mrna", "left").withColumn("_old", F.array_max(F.filter("_known", same)))
     text = F.concat(F.lit("ID="), "mrna", F.lit("."), F.col("_t.name"), F.col("_k").cast("string"), F.lit(";Parent="), "mrna", F.lit(";"), F.coalesce("_old.more", F.lit("")))
     return t.select("mrna", "place", "seqid", "type", "start", "end", F.col("_old.score").alias("score"), "strand", text.alias("attributes"))

@@ -51,7 +51,7 @@ def numbered_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     cds, given = t.where(coding).select("mrna", "start", "end"), t.where(~coding).select("mrna", "start", "end")
     exons, introns = ends.repaired_exons(cds, given)
     utrs = ends.outside(cds, exons, models)
-    parts = utrs.unionByName(exons.withColumn("type", F.lit("exon"))).unionByName(introns.withColumn("type", F.lit("intron"))).unionByName(cds.withColumn("type", F.lit("CDS"))).distinct()
+    parts = utrs.unionByName(exons.withColumn("type", F.lit("exon"))).unionByName(introns.withColumn("type", F.lit("intron"))).unionByName(cds.withColumn("type", F.lit("CDS"))).repartition("mrna").distinct()  # repeats are found where their model is
     known = t.where(coding).join(models, "mrna").select("mrna", "seqid", "strand", F.lit("CDS").alias("type"), "start", "end", F.col("l_suppkey").cast("double").alias("score"), F.concat(F.lit(" ID=x;Note="), F.col("l_suppkey").cast("string"), F.lit(";parent=y;;")).alias("attributes"), F.struct("l_suppkey", "l_linenumber").alias("line_no"))
     return ends.numbered(models, parts, known)
 
