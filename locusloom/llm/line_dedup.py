@@ -10,8 +10,9 @@ they share fill such a pair of blocks. Pairs that meet are linked if their edit
 go. Lines of fewer than ``min_words`` words are never touched.
 
 The words' votes are counted in one-byte counters, eight to a long, by an aggregate that Spark combines before it
-shuffles. Buckets of two classes are known from their least and largest member alone, so that only the rows of larger
-ones are gathered; inside these classes are first compared with the most central one, and then only across components.
+shuffles. Keys are dealt once, with the numbers of classes alone; the texts of classes that share a key are looked up once
+for all comparisons. Buckets of two classes are a pair; inside larger ones classes are first compared with the most central
+one, and then only across components.
 
 Cases: null texts stay null; empty texts and lines stay; a row is known by its id and its text, so rows that repeat an
 id keep their own lines, rows equal in both lose the same lines, and null ids are rows like others (the last in order);
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .graph import cross_pairs, link_buckets
@@ -149,15 +150,21 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: f
     per = blocks(lines).groupBy("c1", "c2").agg(first.alias("first"), F.count(F.lit(1)).alias("n"), F.min("n_chars").alias("m"), *codes)
     classes = scratch.cut(per.select("c1", "c2", "n", "m", "first", *(f"b{j}" for j in range(BLOCKS)), *(F.col(f"n{j}").cast("smallint").alias(f"n{j}") for j in range(BLOCKS)), F.monotonically_increasing_id().alias("node")), "classes")
     scratch.sweep()
+    # keys are dealt once: a bucket's rows are counted where they lie, and only rows that share a key are kept
     keyed = classes.select(F.explode(keys()).alias("key"), "node")
-    met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
-    met = scratch.cut(met.where("low <> high"), "met")
+    met = keyed.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1")
+    met = scratch.cut(met, "met")
     scratch.sweep()
-    two = met.where("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
-    larger = if_small(met.where("size > 2").select("key", "size"), small_rows)
-    rows = scratch.cut(classes.select(F.explode(keys()).alias("key"), "node", "m").join(larger, "key"), "rows")
-    alike = f"greatest(x.m, y.m) * {similarity} <= least(x.m, y.m)"
+    two = met.where("size = 2").groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b").distinct()
     marks = classes.select("node", "m")
+    rows = scratch.cut(met.where("size > 2").join(marks, "node").select("key", "size", "node", "m"), "rows")
+    alike = f"greatest(x.m, y.m) * {similarity} <= least(x.m, y.m)"
+    # the texts of all classes that share a key are looked up once, and not for each round of comparisons
+    wanted = scratch.cut(met.select("node").distinct().join(classes.select("node", "c1", "c2", "first.line_no", "first.th"), "node"), "nodes")
+    found = lines.join(wanted.hint("merge"), ["c1", "c2", "line_no", "th"])
+    texts = scratch.cut(found.select("node", F.col("norm").alias("t")).dropDuplicates(["node"]), "texts")
+    scratch.drop("nodes")
+    scratch.sweep()
 
     def confirm(pairs: DataFrame, tag: str) -> DataFrame:
         """``a, b`` with the edit similarity asked for. Only candidates of fitting lengths get their texts."""
@@ -165,14 +172,10 @@ def line_groups(docs: DataFrame, scratch: Scratch, min_words: int, similarity: f
         pairs = scratch.cut(both.where(f"greatest(ma, mb) * {similarity} <= least(ma, mb)").select("a", "b"), f"{tag}-pairs")
         if pairs.isEmpty():
             return pairs
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        nodes = scratch.cut(wanted.join(classes.select("node", "c1", "c2", "first.line_no", "first.th"), "node"), f"{tag}-nodes")
-        found = lines.join(if_small(nodes, small_rows), ["c1", "c2", "line_no", "th"])
-        texts = scratch.cut(found.select("node", F.col("norm").alias("t")).dropDuplicates(["node"]), f"{tag}-texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
         found = scratch.cut(cores(both, similarity), f"{tag}-cores")
         links = scratch.cut(found.where(SIMILAR).select("a", "b"), f"{tag}-links")
-        scratch.drop(f"{tag}-nodes", f"{tag}-texts", f"{tag}-cores")
+        scratch.drop(f"{tag}-cores")
         scratch.sweep()
         return links
 
