@@ -59,3 +59,12 @@ def test_rows_below_meet_their_mrna_once(spark):
     assert got["g2"] == got["g2.1"] == (99, 141) and got["e2.1.0"] == (99, 105) and got["e2.1.1"] == (110, 114) and got["e2.1.2"] == (119, 141) and got["g1"] == (50, 90)
     order = [r.id for r in tree.in_order(t).collect()]
     assert order[:9] == ["g0", "g0.0", "e0.0.0", "e0.0.1", "e0.0.2", "g0.1", "e0.1.0", "e0.1.1", "e0.1.2"] and len(order) == 40 * 9
+
+
+def test_loci_are_not_gathered_again(spark):
+    from locusloom.operators import assign
+
+    genes = spark.range(300).selectExpr("id AS line_no", "'c' AS seqid", "'+' AS strand", "id * 7 AS start", "id * 7 + id % 20 AS end")
+    _, loci = assign.assigned(genes)
+    assert exchanges(loci) <= 2
+    assert loci.agg(F.sum("genes")).first()[0] == 300
