@@ -61,20 +61,39 @@ def linked(features: DataFrame) -> DataFrame:
     """Every feature with its ``gene`` and ``mrna``. ``superlocus`` rows go, and so do children that follow an
     ``ncRNA_gene`` before the next gene, or whose parent is no known mRNA of their sequence. An mRNA whose gene is
     missing there stays, with a null gene. Children that repeat an id within an mRNA are told apart as ``_2``, ``_3``."""
+    genes, mrnas, below = linked_apart(features)
+    return genes.unionByName(mrnas).unionByName(below)
+
+
+def linked_apart(features: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What :func:`linked` gives, as genes, mRNAs and the rows below them. What reads them one by one need not write the whole,
+    and rows below stay where their mRNA is."""
     parent = F.element_at("parents", 1)
-    genes = features.where("type = 'gene'").select("seqid", F.col("id").alias("gene")).distinct()
-    mrnas = features.where("type = 'mRNA'").select("*", parent.alias("_gene"))
-    mrnas = mrnas.join(genes.select(F.col("seqid").alias("_s"), "gene"), (F.col("seqid") == F.col("_s")) & (F.col("_gene") == F.col("gene")), "left").drop("_s", "_gene")
+    tops, rest = written(features.where("type IN ('gene', 'ncRNA_gene')"), "tops"), features.where("type NOT IN ('superlocus', 'mRNA', 'gene', 'ncRNA_gene')")
+    genes = tops.where("type = 'gene'").select("seqid", F.col("id").alias("gene")).distinct()
+    mrnas = features.where("type = 'mRNA'").withColumn("_gene", parent)
+    mrnas = mrnas.join(genes.select(F.col("seqid").alias("_s"), "gene").hint("merge"), (F.col("seqid") == F.col("_s")) & (F.col("_gene") == F.col("gene")), "left").drop("_s", "_gene")
+    mrnas = written(mrnas.withColumn("mrna", F.col("id")), "mrnas")
     known = mrnas.select(F.col("seqid").alias("_s"), F.col("id").alias("_m"), "gene").dropDuplicates(["_s", "_m"])
-    # only what stands below mRNAs asks for the gene before it: mRNAs stay out of the way by line ranges
-    f = features.where("type NOT IN ('superlocus', 'mRNA')")
-    f = _lines(f, F.when(F.col("type").isin("gene", "ncRNA_gene"), F.struct("line_no", (F.col("type") == "gene").alias("coding"))))
-    rest = f.where(~F.col("type").isin("gene", "ncRNA_gene") & F.coalesce("_last.coding", F.lit(True))).drop("_last").withColumn("mrna", parent)
-    rest = rest.join(known, (F.col("seqid") == F.col("_s")) & (F.col("mrna") == F.col("_m"))).drop("_s", "_m")
+    # only what stands below mRNAs asks for the gene before it: other rows come as heads or stay out of the way
+    heads = tops.select("line_no", F.struct("line_no", (F.col("type") == "gene").alias("coding")).alias("_v"))
+    rest = _lines(rest, None, heads=heads).where(F.coalesce("_last.coding", F.lit(True))).drop("_last").withColumn("mrna", parent)
+    rest = rest.join(known.hint("merge"), (F.col("seqid") == F.col("_s")) & (F.col("mrna") == F.col("_m"))).drop("_s", "_m")
     k = F.row_number().over(Window.partitionBy("seqid", "mrna", "id").orderBy(*in_line()))
     rest = rest.withColumn("id", F.when(k > 1, F.concat("id", F.lit("_"), k.cast("string"))).otherwise(F.col("id")))
-    top = features.where("type = 'gene'").select("*", F.col("id").alias("gene"), F.lit(None).cast("string").alias("mrna"))
-    return top.unionByName(mrnas.withColumn("mrna", F.col("id"))).unionByName(rest)
+    top = tops.where("type = 'gene'").select("*", F.col("id").alias("gene"), F.lit(None).cast("string").alias("mrna"))
+    return top, mrnas.select(*top.columns), rest.select(*top.columns)
+
+
+Tree = DataFrame | tuple[DataFrame, DataFrame, DataFrame]
+
+
+def _apart(tree: Tree) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Genes, mRNAs and the rows below them, of which mRNAs are read more than once."""
+    if isinstance(tree, tuple):
+        return tree
+    tree = written(tree, "tree")
+    return tree.where("mrna IS NULL"), tree.where("type = 'mRNA'"), tree.where("type <> 'mRNA' AND mrna IS NOT NULL")
 
 
 def closure(features: DataFrame) -> DataFrame:
@@ -201,31 +220,31 @@ def order_key(pattern: str = CHROMOSOME) -> list[Column]:
     return [F.when(prefix != "", 0).otherwise(1), prefix, F.when(prefix != "", rest).otherwise(""), F.when(prefix == "", number).asc_nulls_last(), F.col("seqid")]
 
 
-def places(tree: DataFrame, pattern: str = CHROMOSOME) -> DataFrame:
+def places(tree: Tree, pattern: str = CHROMOSOME) -> DataFrame:
     """Linked features with their place in a sorted file, as three numbers: ``seq_place`` (sequences by
     :func:`order_key`), ``gene_place`` (genes, and mRNAs without one, by start) and ``inner_place`` (mRNAs by start, each
     followed by its children as they stood). Ties go by line."""
-    tree = written(tree, "tree")
-    sequences = tree.select("seqid").distinct().select("seqid", F.row_number().over(Window.orderBy(*order_key(pattern))).alias("seq_place"))
-    tops = tree.where("type = 'gene' OR (type = 'mRNA' AND gene IS NULL)").select("seqid", F.coalesce("gene", "mrna").alias("_top"), "start", "line_no")
+    genes, mrnas, below = _apart(tree)
+    cols = genes.columns
+    tops = written(genes.select("seqid", F.col("gene").alias("_top"), "start", "line_no").unionByName(mrnas.where("gene IS NULL").select("seqid", F.col("mrna").alias("_top"), "start", "line_no")), "tops")
+    every = tops.select("seqid").unionByName(mrnas.select("seqid")).distinct()
+    sequences = every.select("seqid", F.row_number().over(Window.orderBy(*order_key(pattern))).alias("seq_place"))
     ranked = carried(tops, ["seqid"], F.col("start"), 4096, {"_b": F.count(F.lit(1))})
     ranked = ranked.select("seqid", "_top", (F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(["seqid"], "start", "line_no", "_top"))).alias("gene_place"))
-    ranked = written(ranked.join(sequences, "seqid"), "tops")
-    # a row's place is that of its mRNA and then that below it, so rows below meet their mRNA only
-    mrna = F.when(F.col("type") == "mRNA", F.struct(F.col("start").alias("ms"), F.col("line_no").alias("ml"), "gene"))
-    per = tree.where("mrna IS NOT NULL").groupBy("seqid", "mrna").agg(F.count(F.lit(1)).alias("_n"), F.max(mrna).alias("_m"))
-    per = per.select("seqid", "mrna", "_n", "_m", F.coalesce("_m.gene", "mrna").alias("_top")).join(ranked, ["seqid", "_top"])
-    ahead = Window.partitionBy("seqid", "_top").orderBy("_m.ms", "_m.ml", "mrna").rowsBetween(Window.unboundedPreceding, -1)
-    own = F.when(F.col("_m.gene").isNotNull(), 1).otherwise(0)  # the gene's own row
-    per = per.select("seqid", "mrna", "seq_place", "gene_place", (own + F.coalesce(F.sum("_n").over(ahead), F.lit(0).cast("long"))).alias("_before"))
-    w = Window.partitionBy("seqid", "mrna").orderBy(F.when(F.col("type") == "mRNA", 0).otherwise(1), *in_line())
-    cols = [*tree.columns, "seq_place", "gene_place"]
-    below = tree.where("mrna IS NOT NULL").join(per, ["seqid", "mrna"]).withColumn("inner_place", (F.col("_before") + F.row_number().over(w)).cast("int"))
-    genes = tree.where("mrna IS NULL").join(ranked.withColumnRenamed("_top", "gene"), ["seqid", "gene"]).withColumn("inner_place", F.lit(1))
-    return genes.select(*cols, "inner_place").unionByName(below.select(*cols, "inner_place"))
-
-
-def in_order(tree: DataFrame, pattern: str = CHROMOSOME) -> DataFrame:
+    ranked = written(ranked.join(sequences.hint("merge"), "seqid"), "ranked")
+    # rows below stand by their mRNA already: they are counted there and take along where it stands
+    of = mrnas.groupBy("seqid", "mrna").agg(F.max(F.struct(F.col("start").alias("_ms"), F.col("line_no").alias("_ml"), F.coalesce("gene", "mrna").alias("_top"))).alias("_m")).select("seqid", "mrna", "_m.*")
+    w = Window.partitionBy("seqid", "mrna").orderBy(*in_line())
+    below = below.withColumn("_k", F.row_number().over(w)).join(of.hint("merge"), ["seqid", "mrna"])
+    mrnas = mrnas.withColumns({"_k": F.lit(0), "_ms": F.col("start"), "_ml": F.col("line_no"), "_top": F.coalesce("gene", "mrna")})
+    genes = genes.withColumns({"_k": F.lit(0), "_ms": F.lit(None).cast("long"), "_ml": F.lit(None).cast("long"), "_top": F.col("gene")})
+    more = [*cols, "_k", "_ms", "_ml", "_top"]
+    t = genes.select(*more).unionByName(mrnas.select(*more)).unionByName(below.select(*more)).join(ranked.hint("merge"), ["seqid", "_top"])
+    inside = Window.partitionBy("seqid", "_top").orderBy(F.col("mrna").isNotNull(), "_ms", "_ml", "mrna", "_k")
+    return t.select(*cols, "seq_place", "gene_place", F.row_number().over(inside).alias("inner_place"))
+
+
+def in_order(tree: Tree, pattern: str = CHROMOSOME) -> DataFrame:
     """Linked features in file order, by a range sort: no task holds everything."""
     return places(tree, pattern).orderBy("seq_place", "gene_place", "inner_place").drop("seq_place", "gene_place", "inner_place")
 
@@ -241,11 +260,12 @@ def chromosome_tag(seqid: Column, digits: Column | int, suffix: str = "G") -> Co
     return F.when(seqid.rlike("^(Chr|chr|LG|Ch)"), F.concat(F.when(rest.rlike("^[0-9]+$"), padded).otherwise(named), F.lit(suffix))).when(seqid.rlike("^[0-9]"), F.concat(plain, F.lit(suffix))).otherwise(seqid)
 
 
-def renumbered(tree: DataFrame, prefix: str, width: int = 6, digits: int = 1, splice: str = "t", by_sequence: bool = True) -> DataFrame:
+def renumbered(tree: Tree, prefix: str, width: int = 6, digits: int = 1, splice: str = "t", by_sequence: bool = True) -> DataFrame:
     """Linked features with ``new_id``: genes ``prefix`` [+ chromosome] + number + ``0`` by start, isoforms ``.t1`` by start, and
     children ``.cds1`` numbered by mRNA and type. With ``by_sequence`` genes count anew on each sequence."""
-    tree = written(tree, "tree")
-    rank = tree.where("type = 'gene'").select("seqid", "gene", "start", "line_no")
+    top, mrnas, below = _apart(tree)
+    cols = top.columns
+    rank = top.select("seqid", "gene", "start", "line_no")
     group = ["seqid"] if by_sequence else []
     numbered = carried(rank, group, F.col("start"), 4096, {"_b": F.count(F.lit(1))})
     number = F.coalesce("_b", F.lit(0).cast("long")) + F.count(F.lit(1)).over(within(group, "start", "line_no", "seqid", "gene"))
@@ -253,15 +273,16 @@ def renumbered(tree: DataFrame, prefix: str, width: int = 6, digits: int = 1, sp
     padded = F.concat(F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")), F.lit("0"))
     tag = chromosome_tag(F.col("seqid"), digits) if by_sequence else F.lit("")
     genes = written(numbered.select("seqid", "gene", F.concat(F.lit(prefix), tag, padded).alias("_new_gene")), "numbers")
-    mrnas = tree.where("type = 'mRNA' AND gene IS NOT NULL").select("seqid", "gene", "mrna", F.row_number().over(Window.partitionBy("seqid", "gene").orderBy("start", "line_no", "mrna")).alias("_iso"))
-    # rows below meet their mRNA only, which knows its gene's number
-    named = mrnas.join(genes, ["seqid", "gene"]).select("seqid", "mrna", F.concat("_new_gene", F.lit(f".{splice}"), F.col("_iso").cast("string")).alias("_new"))
+    iso = F.row_number().over(Window.partitionBy("seqid", "gene").orderBy("start", "line_no", "mrna"))
+    mrnas = mrnas.where("gene IS NOT NULL").withColumn("_iso", iso).join(genes.hint("merge"), ["seqid", "gene"])
+    mrnas = written(mrnas.select(*cols, F.concat("_new_gene", F.lit(f".{splice}"), F.col("_iso").cast("string")).alias("new_id")), "mrnas")
+    # rows below stand by their mRNA already, which knows its gene's number
     kind = F.lower("type")
     k = F.row_number().over(Window.partitionBy("seqid", "mrna", kind).orderBy(*in_line()))
-    below = tree.where("mrna IS NOT NULL").join(named, ["seqid", "mrna"])
-    below = below.withColumn("new_id", F.when(F.col("type") == "mRNA", F.col("_new")).otherwise(F.concat("_new", F.lit("."), kind, k.cast("string"))))
-    top = tree.where("mrna IS NULL").join(genes, ["seqid", "gene"]).withColumn("new_id", F.col("_new_gene"))
-    return top.select(*tree.columns, "new_id").unionByName(below.select(*tree.columns, "new_id"))
+    below = below.withColumn("_k", k).join(mrnas.select("seqid", "mrna", F.col("new_id").alias("_new")).hint("merge"), ["seqid", "mrna"])
+    below = below.withColumn("new_id", F.concat("_new", F.lit("."), kind, F.col("_k").cast("string")))
+    top = top.join(genes.hint("merge"), ["seqid", "gene"]).withColumn("new_id", F.col("_new_gene"))
+    return top.select(*cols, "new_id").unionByName(mrnas.select(*cols, "new_id")).unionByName(below.select(*cols, "new_id"))
 
 
 def id_map(renamed: DataFrame) -> DataFrame:
@@ -316,13 +337,23 @@ def flank_length(genes: DataFrame, least: int = 200, size: int = 4096) -> DataFr
     return a.crossJoin(b).withColumn("flank", F.greatest(F.lit(least), F.least(F.floor(F.col("gap_median") / 8), F.col("gene_median"))))
 
 
-def stretched(tree: DataFrame, spans: DataFrame) -> DataFrame:
+def stretched(tree: Tree, spans: DataFrame) -> DataFrame:
     """mRNA and outer exon bounds of the genes in ``spans`` (``gene``, ``new_start``, ``new_end``) moved to the new span."""
-    moved = tree.where("type IN ('gene', 'mRNA', 'exon')").join(spans, "gene", "left")
-    has, exon = F.col("new_start").isNotNull(), F.col("type") == "exon"
-    # only exons look at their mRNA's others: genes, which have no mRNA, would all meet in one task
-    lo, hi = (f("start" if f is F.min else "end").over(Window.partitionBy("seqid", "mrna")) for f in (F.min, F.max))
-    outer = moved.where(exon).withColumn("_left", F.col("start") == lo).withColumn("_right", F.col("end") == hi)
-    moved = moved.where(~exon).withColumn("_left", F.lit(True)).withColumn("_right", F.lit(True)).unionByName(outer)
-    moved = moved.withColumn("start", F.when(has & F.col("_left"), F.col("new_start")).otherwise(F.col("start"))).withColumn("end", F.when(has & F.col("_right"), F.col("new_end")).otherwise(F.col("end")))
-    return moved.select(*tree.columns).unionByName(tree.where("type NOT IN ('gene', 'mRNA', 'exon')"))
+    genes, mrnas, below = _apart(tree)
+    new = ["new_start", "new_end"]
+    spans = spans.select("gene", *new)
+    genes, mrnas = (t.join(spans.hint("merge"), "gene", "left").withColumn("_left", F.lit(True)).withColumn("_right", F.lit(True)) for t in (genes, mrnas))
+    # exons stand by their mRNA already, which takes the span along; they look at their mRNA's other exons
+    of = mrnas.where("new_start IS NOT NULL").groupBy("seqid", "mrna").agg(F.max(F.struct(*new)).alias("_n")).select("seqid", "mrna", "_n.*")
+    exon = F.col("type") == "exon"
+    lo, hi = (f(F.when(exon, F.col("start" if f is F.min else "end"))).over(Window.partitionBy("seqid", "mrna")) for f in (F.min, F.max))
+    below = below.withColumn("_lo", lo).withColumn("_hi", hi).join(of.hint("merge"), ["seqid", "mrna"], "left")
+    below = below.withColumn("_left", exon & (F.col("start") == F.col("_lo"))).withColumn("_right", exon & (F.col("end") == F.col("_hi")))
+
+    def moved(t: DataFrame) -> DataFrame:
+        has = F.col("new_start").isNotNull()
+        t = t.withColumn("start", F.when(has & F.col("_left"), F.col("new_start")).otherwise(F.col("start"))).withColumn("end", F.when(has & F.col("_right"), F.col("new_end")).otherwise(F.col("end")))
+        return t.drop("_left", "_right", "_lo", "_hi", *new)
+
+    cols = moved(genes).columns
+    return moved(genes).unionByName(moved(mrnas).select(*cols)).unionByName(moved(below).select(*cols))

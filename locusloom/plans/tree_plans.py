@@ -89,13 +89,13 @@ def phantom_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def renumber_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The id map after renumbering genes by sequence, isoforms by gene, and children by mRNA and type."""
-    t = tree.linked(gff(spark, sf_dir))
+    t = tree.linked_apart(gff(spark, sf_dir))
     return tree.renumbered(t, "Osa", digits=2).select("line_no", "type", F.col("id").alias("old_id"), "new_id")
 
 
 def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each line stands in the sorted file."""
-    t = tree.places(tree.linked(gff(spark, sf_dir)))
+    t = tree.places(tree.linked_apart(gff(spark, sf_dir)))
     return t.select("line_no", "seq_place", "gene_place", "inner_place")
 
 
@@ -122,8 +122,8 @@ def training_flank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stretched_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds of mRNAs and outer exons after a third of the genes got a longer span."""
-    t = written(tree.linked(gff(spark, sf_dir)).where("gene IS NOT NULL"), "linked")
-    spans = t.where("type = 'gene' AND line_no % 300000000000 = 0").select("gene", (F.col("start") - 9).alias("new_start"), (F.col("end") + 7).alias("new_end"))
+    t = tuple(x.where("gene IS NOT NULL") for x in tree.linked_apart(gff(spark, sf_dir)))
+    spans = t[0].where("line_no % 300000000000 = 0").select("gene", (F.col("start") - 9).alias("new_start"), (F.col("end") + 7).alias("new_end"))
     return tree.stretched(t, spans).select("line_no", "type", "start", "end")
 
 

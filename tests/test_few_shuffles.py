@@ -68,3 +68,18 @@ def test_loci_are_not_gathered_again(spark):
     _, loci = assign.assigned(genes)
     assert exchanges(loci) <= 2
     assert loci.agg(F.sum("genes")).first()[0] == 300
+
+
+def test_rows_below_stay_where_their_mrna_is(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = tree.linked_apart(features(spark))
+        spans = t[0].where("start % 100 = 0").select("gene", (F.col("start") - 1).alias("new_start"), (F.col("end") + 1).alias("new_end"))
+        below = t[2]
+        assert exchanges(tree.stretched((t[0].limit(0), t[1], below), spans)) - exchanges(below) <= 5
+        whole = tree.linked(features(spark))
+        for f in (tree.places, lambda x: tree.renumbered(x, "A"), lambda x: tree.stretched(x, spans)):
+            assert sorted(map(str, f(t).drop("parents").collect())) == sorted(map(str, f(whole).drop("parents").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
