@@ -83,3 +83,15 @@ def test_rows_below_stay_where_their_mrna_is(spark):
             assert sorted(map(str, f(t).drop("parents").collect())) == sorted(map(str, f(whole).drop("parents").collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_whole_annotation_rows_are_shuffled_once(spark, monkeypatch):
+    from locusloom.operators import assign
+
+    seen, lines = [], assign._lines
+    monkeypatch.setattr(assign, "_lines", lambda t, *more, **named: (seen.append("attributes" in t.columns), lines(t, *more, **named))[1])
+    rows = [(1, "exon", "ID=e0"), (2, "mRNA", "ID=m0"), (3, "exon", "ID=e1"), (4, "gene", "ID=g1"), (5, "mRNA", "ID=m1"), (6, "ncRNA_gene", "ID=n"), (7, "mRNA", "ID=m2"), (8, "gene", "Name=x"), (9, "exon", "ID=e2"), (10, "gene", "ID=g2"), (11, "exon", "ID=e3"), (12, "mRNA", "ID=m3;primary=False"), (13, "CDS", "ID=c"), (14, "mRNA", "Name=y"), (15, "CDS", "ID=d")]
+    t = spark.createDataFrame([(n, "c", "s", k, 10 * n, 10 * n + 5, None, "+", None, x) for n, k, x in rows], "line_no long, seqid string, source string, type string, start long, end long, score double, strand string, phase int, attributes string")
+    got = sorted((r.line_no, r.gene_id, r.mrna_id, r.locus) for r in assign.annotated(t)[0].collect())
+    assert got == [(1, None, None, None), (2, None, "m0", None), (3, None, "m0", None), (4, "g1", None, 1), (5, "g1", "m1", 1), (10, "g2", None, 2), (11, "g2", "m1", 2), (15, "g2", "m1", 2)]
+    assert seen.count(True) == 1
